@@ -112,8 +112,8 @@ def rfm_scores(
     marks the weakest customers; ``scoring="standard"`` uses ``6 - tile``.
 
     Recency ascending is the same order as the calendar day of the last
-    order descending, so the first pass sorts on that day and recency is
-    computed last, from the already materialised rows.
+    order descending, so the first pass sorts on that day; the latest order
+    time is taken in that same pass and recency follows from it.
     """
     if scoring not in ("reference", "standard"):
         raise ValueError(f"unknown scoring {scoring!r}")
@@ -126,8 +126,12 @@ def rfm_scores(
     ]
     scored = base
     for name, order in passes:
-        scored = distributed_ntile(scored, tiles, order + ties, name, num_partitions)
-    scored = with_recency(scored)
+        latest = {"_latest": ("max", "last_order_date")} if name == "r_score" else None
+        scored = distributed_ntile(scored, tiles, order + ties, name, num_partitions, latest)
+        if latest:
+            scored = scored.withColumn(
+                "recency_days", F.datediff(F.col("_latest"), F.col("last_order_date"))
+            ).drop("_latest")
     if scoring == "standard":
         scored = scored.withColumns(
             {n: (F.lit(tiles + 1) - F.col(n)).cast("int") for n, _ in passes}

@@ -6,10 +6,13 @@ on a total order instead, sorted inside each partition and numbered there;
 per-partition counts (one row per partition, so their size is bounded by
 the partition count) then turn local numbers into global positions.
 
-The numbered rows are checkpointed to the session's checkpoint folder
-before counting: range bounds come from sampling, and re-running the plan
-after a lost executor could sample differently. Reading the checkpoint
-keeps the counts and the positions consistent.
+Counts and numbered rows must see the same partitioning. Range bounds come
+from sampling, so two executions of the range shuffle could cut the data
+differently. Both branches are therefore built from one plan whose range
+exchange Spark reuses: a single shuffle dependency fixes the bounds once,
+also when lost map outputs are recomputed after an executor failure. When
+exchange reuse is switched off, the numbered rows are checkpointed to the
+session's checkpoint folder instead.
 """
 
 from __future__ import annotations
@@ -48,24 +51,36 @@ def with_global_position(
     position_col: str = "_pos",
     total_col: str = "_total",
     num_partitions: int | None = None,
+    totals: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row under ``order`` and the row count.
 
     ``order`` must be total (add tie-breakers), otherwise positions among
     equal keys are arbitrary. Equal keys may span partitions; nothing here
     needs one key to fit in one task.
+
+    ``totals`` adds whole-table aggregates in the same pass, e.g.
+    ``{"_latest": ("max", "order_date")}``; ``min``, ``max`` and ``sum``
+    are supported (each is taken per partition, then over partitions).
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     columns = df.columns
     numbered = (
         df.repartitionByRange(_partition_count(df, num_partitions), *order)
         .sortWithinPartitions(*order)
         .withColumn("_rowid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        checkpoint_dir(spark)
+        numbered = numbered.checkpoint(eager=True)
     part = F.shiftright(F.col("_rowid"), _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND((1 << _LOCAL_BITS) - 1)
-    counts = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    totals = totals or {}
+    combine = {"min": F.min, "max": F.max, "sum": F.sum}
+    counts = numbered.groupBy(part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[combine[fn](F.col(c)).alias(name) for name, (fn, c) in totals.items()],
+    )
     # One row per partition: a single-partition window over it is cheap.
     by_part = Window.orderBy("_part")
     offsets = counts.select(
@@ -75,6 +90,10 @@ def with_global_position(
             F.lit(0),
         ).alias("_offset"),
         F.sum("_n").over(Window.partitionBy()).alias(total_col),
+        *[
+            combine[fn](F.col(name)).over(Window.partitionBy()).alias(name)
+            for name, (fn, _) in totals.items()
+        ],
     )
     return numbered.join(
         F.broadcast(offsets), part == F.col("_part"), "inner"
@@ -82,6 +101,7 @@ def with_global_position(
         *columns,
         (F.col("_offset") + local).alias(position_col),
         F.col(total_col),
+        *[F.col(name) for name in totals],
     )
 
 
@@ -105,9 +125,13 @@ def distributed_ntile(
     order: Sequence[Column],
     out_col: str,
     num_partitions: int | None = None,
+    totals: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """``ntile(n) over (order by <order>)`` computed across partitions."""
-    placed = with_global_position(df, order, num_partitions=num_partitions)
+    """``ntile(n) over (order by <order>)`` computed across partitions.
+
+    ``totals`` is passed to :func:`with_global_position`; its columns are kept.
+    """
+    placed = with_global_position(df, order, num_partitions=num_partitions, totals=totals)
     return placed.withColumn(
         out_col, ntile_of(F.col("_pos"), F.col("_total"), n)
     ).drop("_pos", "_total")

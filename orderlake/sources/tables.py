@@ -28,6 +28,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer splits
+    than there are task slots.
+
+    A fact table stored as one large row group is read by a single task,
+    and everything up to the next shuffle would run there. Large tables
+    stored as many files already have enough splits and pass unchanged.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
+
+
 def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as raw order rows (strings, ints and doubles).
 
@@ -37,7 +51,7 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     Catalyst from their measured size.
     """
     t = lambda name: _table(spark, sf_dir, name)
-    line = t("lineitem").select(
+    line = spread(t("lineitem")).select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
@@ -47,7 +61,7 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate",
     )
     orders = (
-        t("orders")
+        spread(t("orders"))
         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
         .join(t("customer").select("c_custkey", "c_name", "c_nationkey"),
               F.col("o_custkey") == F.col("c_custkey"))
