@@ -7,12 +7,12 @@ per-partition counts (one row per partition, so their size is bounded by
 the partition count) then turn local numbers into global positions.
 
 Counts and numbered rows must see the same partitioning. Range bounds come
-from sampling, so two executions of the range shuffle could cut the data
-differently. Both branches are therefore built from one plan whose range
-exchange Spark reuses: a single shuffle dependency fixes the bounds once,
-also when lost map outputs are recomputed after an executor failure. When
-exchange reuse is switched off, the numbered rows are checkpointed to the
-session's checkpoint folder instead.
+from sampling, so two executions of the range shuffle can cut the data
+differently, and Spark does not reliably reuse one shuffle for both
+(column pruning gives the counting branch its own exchange). The numbered
+rows are therefore checkpointed to the session's checkpoint folder, and
+both the counts and the positions are read from that one copy; a lost
+executor cannot make them disagree.
 """
 
 from __future__ import annotations
@@ -63,16 +63,14 @@ def with_global_position(
     ``{"_latest": ("max", "order_date")}``; ``min``, ``max`` and ``sum``
     are supported (each is taken per partition, then over partitions).
     """
-    spark = df.sparkSession
+    checkpoint_dir(df.sparkSession)
     columns = df.columns
     numbered = (
         df.repartitionByRange(_partition_count(df, num_partitions), *order)
         .sortWithinPartitions(*order)
         .withColumn("_rowid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        checkpoint_dir(spark)
-        numbered = numbered.checkpoint(eager=True)
     part = F.shiftright(F.col("_rowid"), _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND((1 << _LOCAL_BITS) - 1)
     totals = totals or {}
