@@ -1,0 +1,150 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake import schema
+from orderlake.operators.metadata import add_ingestion_metadata
+from orderlake.operators.quality import validate_schema
+from orderlake.plans.pipeline import LayerPaths, run_pipeline
+from orderlake.plans.silver import silver_from_bronze
+from orderlake.sources.csv import corrupt_records, read_raw_csv, write_raw_csv
+from orderlake.sources.inventory import file_inventory
+from orderlake.sources.parquet import read_bronze, read_silver
+from orderlake.sources.sinks import write_bronze, write_gold_mart, write_silver
+from orderlake.sources.synthetic import synthetic_orders
+from orderlake.streaming.ingest import ingest_new_files
+from tests.conftest import order, raw_frame
+
+GOOD = ['"O1"', '"C1"', '"n"', '"e"', '"r"', '"c"', '"s"', '"P1"', '"pn"', '"cat"', "3",
+        "900.10", "5.00", "0.00", "0.00", "0.00", '"pm"', '" COMPLETED "',
+        '"2024-01-01 00:00:00"', "2024", "1", "1", '"2024-01-02 00:00:00"']
+HEADER = ",".join(schema.RAW_COLUMNS)
+
+
+def _write_lines(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write("\n".join([HEADER] + lines) + "\n")
+
+
+def test_csv_permissive_keeps_bad_rows_with_nulls(spark, tmp_dir):
+    bad_int = list(GOOD)
+    bad_int[10] = '"qty"'
+    empty_id = list(GOOD)
+    empty_id[1] = ""
+    lines = [",".join(GOOD), ",".join(bad_int), ",".join(GOOD[:-2]),
+             ",".join(GOOD + ['"extra"']), ",".join(empty_id)]
+    _write_lines(f"{tmp_dir}/2024/01/01/sales_raw.csv", lines)
+    raw = read_raw_csv(spark, f"{tmp_dir}/*/*/*/sales_raw.csv")
+    rows = raw.collect()
+    assert len(rows) == 5
+    assert rows[0].status == " COMPLETED " and rows[0].unit_price == 900.1
+    assert rows[1].quantity is None and rows[1]._corrupt_record is not None
+    assert rows[2].created_at is None and rows[2]._corrupt_record is not None
+    assert rows[3].created_at == "2024-01-02 00:00:00" and rows[3]._corrupt_record is not None
+    assert rows[4].customer_id is None and rows[4]._corrupt_record is None
+    assert len(corrupt_records(raw).collect()) == 3
+    assert validate_schema(raw).count() == 4
+
+
+def test_csv_roundtrip_keeps_spaces(spark, tmp_dir):
+    df = raw_frame(spark, [order(status=" COMPLETED ", customer_email=" A@B.com ")])
+    write_raw_csv(df, f"{tmp_dir}/landing")
+    back = read_raw_csv(spark, f"{tmp_dir}/landing", keep_corrupt=False)
+    assert back.collect() == df.collect()
+
+
+def test_bronze_append_doubles_and_dedup_repairs(spark, tmp_dir, sample_bronze):
+    path = f"{tmp_dir}/bronze"
+    assert write_bronze(sample_bronze, path) == 6
+    assert write_bronze(sample_bronze, path) == 6
+    bronze = read_bronze(spark, path)
+    assert bronze.count() == 12
+    assert dict(bronze.dtypes)["order_year"] == "int"
+    assert silver_from_bronze(bronze).count() == 5
+
+
+def test_silver_overwrite_and_null_partition(spark, tmp_dir, sample_raw):
+    rows = [order(order_id="A", category=None), order(order_id="B")]
+    bronze = add_ingestion_metadata(raw_frame(spark, rows), "p", "2024-01-01 00:00:00")
+    path = f"{tmp_dir}/silver"
+    assert write_silver(silver_from_bronze(bronze), path) == 2
+    assert any("__HIVE_DEFAULT_PARTITION__" in d for d in os.listdir(f"{path}/order_year=2024/order_month=3"))
+    back = read_silver(spark, path, completed_only=False)
+    assert back.filter(F.col("category").isNull()).count() == 1
+    assert write_silver(silver_from_bronze(bronze.limit(1)), path) == 1
+    assert read_silver(spark, path, completed_only=False).count() == 1
+
+
+def test_completed_filter_is_pushed_to_the_scan(spark, tmp_dir, sample_bronze):
+    path = f"{tmp_dir}/silver"
+    write_silver(silver_from_bronze(sample_bronze), path)
+    df = read_silver(spark, path).select("order_id", "net_revenue")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(status), EqualTo(status,completed)]" in plan
+    assert "ReadSchema: struct<order_id:string,net_revenue:decimal(14,2),status:string>" in plan
+    assert df.count() == 4
+
+
+def test_gold_mart_overwrite(spark, tmp_dir, sample_raw):
+    assert write_gold_mart(sample_raw, tmp_dir, "m") == 7
+    assert write_gold_mart(sample_raw.limit(2), tmp_dir, "m") == 2
+    assert spark.read.parquet(f"{tmp_dir}/m").count() == 2
+
+
+def test_pipeline_runs_layers_in_order(spark, tmp_dir, sample_raw):
+    write_raw_csv(sample_raw, f"{tmp_dir}/landing")
+    paths = LayerPaths(f"{tmp_dir}/landing/*.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    res = run_pipeline(spark, ["load", "ingestion", "transformation"], paths, "2024-03-15 00:00:00")
+    assert list(res) == ["ingestion", "transformation", "load"]
+    assert res["ingestion"]["records"] == 6
+    assert res["ingestion"]["metrics"] == {"read_rows": 7, "corrupt_rows": 0, "invalid_rows": 1}
+    assert res["transformation"]["records"] == 5
+    assert res["transformation"]["metrics"]["duplicates_removed"] == 1
+    assert res["load"]["metrics"] == {"sales_by_region": 3, "product_performance": 2, "customer_segments": 3}
+
+
+def test_pipeline_rejects_unknown_steps_before_work(spark, tmp_dir):
+    paths = LayerPaths(f"{tmp_dir}/none/*.csv", f"{tmp_dir}/b", f"{tmp_dir}/s", f"{tmp_dir}/g")
+    with pytest.raises(ValueError, match="validate"):
+        run_pipeline(spark, ["ingestion", "validate"], paths)
+    assert not os.path.exists(f"{tmp_dir}/b")
+
+
+def test_stream_ingests_each_file_once(spark, tmp_dir, sample_raw):
+    landing, bronze, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt"
+    write_raw_csv(sample_raw.limit(3), f"{landing}/a")
+    assert ingest_new_files(spark, f"{landing}/*", bronze, ckpt) == 3
+    assert ingest_new_files(spark, f"{landing}/*", bronze, ckpt) == 0
+    write_raw_csv(raw_frame(spark, [order(order_id="NEW")]), f"{landing}/b")
+    assert ingest_new_files(spark, f"{landing}/*", bronze, ckpt) == 1
+    back = read_bronze(spark, bronze)
+    assert back.count() == 4
+    assert set(schema.METADATA_COLUMNS) <= set(back.columns)
+
+
+def test_file_inventory_lists_files_without_content(spark):
+    inv = file_inventory(spark, "/root/testdata/sf0.001", "*.parquet")
+    assert inv.columns == ["path", "length", "modificationTime"]
+    rows = inv.collect()
+    assert len(rows) == len([f for f in os.listdir("/root/testdata/sf0.001") if f.endswith(".parquet")])
+    assert all(r.length > 0 for r in rows)
+    plan = inv._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_synthetic_orders_domains(spark):
+    ids = spark.range(2000)
+    gen = synthetic_orders(ids)
+    assert gen.columns == schema.RAW_COLUMNS
+    r = gen.agg(
+        F.min("quantity"), F.max("quantity"), F.min("unit_price"), F.max("unit_price"),
+        F.countDistinct("category"), F.countDistinct("status"), F.countDistinct("region"),
+        F.count_if(F.abs(F.col("gross_revenue") - F.col("discount_amount") - F.col("net_revenue")) > 1e-6),
+    ).first()
+    assert (r[0], r[1]) == (1, 10)
+    assert 9.99 <= r[2] and r[3] <= 999.99
+    assert (r[4], r[5], r[6], r[7]) == (6, 4, 5, 0)
+    assert set(x.discount_pct for x in gen.select("discount_pct").distinct().collect()) <= {0.0, 5.0, 10.0, 15.0, 20.0}
+    assert gen.collect() == synthetic_orders(ids).collect()
