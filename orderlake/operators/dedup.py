@@ -22,22 +22,25 @@ def latest_first(df: DataFrame) -> list[Column]:
     return order
 
 
-def _ranked(df: DataFrame, key: str) -> DataFrame:
-    window = Window.partitionBy(key).orderBy(*latest_first(df))
-    return df.withColumn("_rank", F.row_number().over(window))
-
-
 def deduplicate(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
     """One row per ``key``: the latest arrival.
 
     ``row_number() = 1`` lets Spark put a partial top-1 before the shuffle,
     so a key repeated across many map tasks sends one row per task.
     """
-    return _ranked(df, key).filter(F.col("_rank") == 1).drop("_rank")
+    window = Window.partitionBy(key).orderBy(*latest_first(df))
+    return (
+        df.withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
 
 
 def duplicates_removed(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
-    """The rows :func:`deduplicate` drops, with their position per key."""
-    return _ranked(df, key).filter(F.col("_rank") > 1).withColumnRenamed(
-        "_rank", "arrival_rank"
-    )
+    """The rows :func:`deduplicate` drops (every copy but the survivor).
+
+    Computed as ``df EXCEPT ALL survivors``: rows are grouped on all their
+    columns with map-side combining, so copies of one key never have to
+    meet in a single window task.
+    """
+    return df.exceptAll(deduplicate(df, key))

@@ -40,9 +40,18 @@ def sort_key(name: str, direction: str = "asc", nulls: str | None = None) -> Col
 
 
 def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
+    """Explicit count, else the session's initial shuffle partition count.
+
+    The count is fixed (adaptive execution does not merge these partitions),
+    so on large inputs set ``spark.sql.adaptive.coalescePartitions.
+    initialPartitionNum`` or pass ``num_partitions`` to keep partitions near
+    the advisory size.
+    """
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_global_position(

@@ -409,7 +409,7 @@ ORACLE: dict[str, str] = {
     "bronze_roundtrip": q("SELECT * FROM bronze"),
     "bronze_append_rerun": q("SELECT * FROM bronze UNION ALL SELECT * FROM bronze"),
     "dedupe_latest": q("SELECT * FROM dedup"),
-    "dedupe_removed": q("SELECT * FROM arrivals WHERE arrival_rank > 1"),
+    "dedupe_removed": q("SELECT * FROM bronze EXCEPT ALL SELECT * FROM dedup"),
     "clean_orders": q(_money("clean")),
     "recomputed_financials": q(
         "SELECT order_id, quantity, " + MONEY_OUT + " FROM clean"

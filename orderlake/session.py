@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Ranking checkpoints are removed once their DataFrames are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -43,7 +43,15 @@ def test_dedup_is_deterministic_on_full_ties(spark):
 
 def test_duplicates_removed_is_the_complement(sample_bronze):
     removed = duplicates_removed(sample_bronze).collect()
-    assert [(r.order_id, r.status, r.arrival_rank) for r in removed] == [("ORD-5", "pending", 2)]
+    assert [(r.order_id, r.status) for r in removed] == [("ORD-5", "pending")]
+
+
+def test_duplicates_removed_keeps_exact_copies(spark):
+    rows = [order(), order(), order(), order(quantity=9)]
+    bronze = _bronze(spark, rows)
+    assert deduplicate(bronze).count() == 1
+    removed = duplicates_removed(bronze).collect()
+    assert sorted(r.quantity for r in removed) == [2, 2, 9]
 
 
 @pytest.mark.parametrize("qty,expected", [(0, None), (1, 1), (100, 100), (101, None), (None, None)])
