@@ -40,18 +40,30 @@ def sort_key(name: str, direction: str = "asc", nulls: str | None = None) -> Col
 
 
 def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    """Explicit count, else the session's initial shuffle partition count.
-
-    The count is fixed (adaptive execution does not merge these partitions),
-    so on large inputs set ``spark.sql.adaptive.coalescePartitions.
-    initialPartitionNum`` or pass ``num_partitions`` to keep partitions near
-    the advisory size.
+    """Explicit count, else sized from the plan's estimate.
+
+    Range partitions are fixed (adaptive execution does not merge them). The
+    ceiling is the session's initial shuffle partition count; below it, one
+    partition per advisory partition size of the optimizer's size estimate.
+    Estimates are upper bounds (joins without statistics estimate very
+    high), so this only shrinks the count for inputs known to be small. On
+    large inputs set ``spark.sql.adaptive.coalescePartitions.
+    initialPartitionNum`` (or pass ``num_partitions``) high enough.
     """
     if num_partitions:
         return num_partitions
-    conf = df.sparkSession.conf
+    spark = df.sparkSession
+    conf = spark.conf
     initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return int(initial or conf.get("spark.sql.shuffle.partitions"))
+    ceiling = int(initial or conf.get("spark.sql.shuffle.partitions"))
+    try:
+        advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+            conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+        )
+        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM access (e.g. Spark Connect): use the ceiling
+        return ceiling
+    return max(1, min(ceiling, -(-estimate // max(int(advisory), 1))))
 
 
 def with_global_position(
