@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from orderlake import schema
 from orderlake.functions import report_doubles
-from orderlake.operators.checks import bronze_checks, gold_checks, silver_checks
 from orderlake.operators.dedup import deduplicate, duplicates_removed
 from orderlake.operators.clean import clean_and_standardize
 from orderlake.operators.marts import (
@@ -35,7 +34,7 @@ from orderlake.operators.quality import (
     validate_schema,
     validation_report,
 )
-from orderlake.plans.jobs import run_load
+from orderlake.plans.jobs import run_load, validate_layers
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.session import scratch_path
@@ -263,20 +262,10 @@ def layer_counts(spark, d):
 
 
 def layer_checks(spark, d):
-    bronze = _bronze(spark, d)
-    silver = _silver(spark, d)
-    done = completed_orders(silver)
-    return (
-        bronze_checks(bronze)
-        .unionByName(silver_checks(silver))
-        .unionByName(
-            gold_checks(
-                build_sales_by_region(done),
-                build_product_performance(done),
-                build_customer_segments(done),
-            )
-        )
-    )
+    paths = _layer_paths(spark)
+    write_raw_csv(raw_orders_from_tables(spark, d), paths.source.rsplit("/", 1)[0])
+    run_pipeline(spark, None, paths, ingested_at=FIXED_RUN_TIME)
+    return validate_layers(spark, paths.bronze, paths.silver, paths.gold)
 
 
 def inventory(spark, d):

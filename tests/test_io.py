@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from orderlake import schema
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import validate_schema
+from orderlake.plans.jobs import validate_layers
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.sources.csv import corrupt_records, read_raw_csv, write_raw_csv
@@ -103,6 +104,11 @@ def test_pipeline_runs_layers_in_order(spark, tmp_dir, sample_raw):
     assert res["transformation"]["records"] == 5
     assert res["transformation"]["metrics"]["duplicates_removed"] == 1
     assert res["load"]["metrics"] == {"sales_by_region": 3, "product_performance": 2, "customer_segments": 3}
+    checks = {(r.layer, r.rule): r.violations for r in validate_layers(spark, paths.bronze, paths.silver, paths.gold).collect()}
+    assert len(checks) == 15
+    assert checks[("silver", "duplicate_order_id")] == 0
+    assert checks[("silver", "unknown_category")] == 0
+    assert all(v == 0 for v in checks.values())
 
 
 def test_pipeline_rejects_unknown_steps_before_work(spark, tmp_dir):
