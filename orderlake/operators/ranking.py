@@ -10,9 +10,9 @@ Counts and numbered rows must see the same partitioning. Range bounds come
 from sampling, so two executions of the range shuffle can cut the data
 differently, and Spark does not reliably reuse one shuffle for both
 (column pruning gives the counting branch its own exchange). The numbered
-rows are therefore checkpointed to the session's checkpoint folder, and
-both the counts and the positions are read from that one copy; a lost
-executor cannot make them disagree.
+rows are therefore written once as a table in the session's checkpoint
+folder (or checkpointed), and both the counts and the positions are read
+from that one copy; a lost executor cannot make them disagree.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.session import checkpoint_dir
+from orderlake.session import checkpoint_dir, scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -66,6 +66,25 @@ def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
     return max(1, min(ceiling, -(-estimate // max(int(advisory), 1))))
 
 
+def _materialize(df: DataFrame, cut: str) -> DataFrame:
+    """Write ``df`` once and read it back, cutting its lineage.
+
+    ``cut="table"`` writes a Parquet table under the checkpoint folder:
+    compressed and columnar, so the counting pass reads one long per row.
+    ``cut="checkpoint"`` uses ``Dataset.checkpoint`` (whole serialized rows;
+    a little faster on tiny inputs, much more I/O on large ones).
+    """
+    spark = df.sparkSession
+    if cut == "checkpoint":
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    if cut != "table":
+        raise ValueError(f"unknown cut {cut!r}")
+    path = scratch_path(spark, "positions")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_global_position(
     df: DataFrame,
     order: Sequence[Column],
@@ -73,6 +92,7 @@ def with_global_position(
     total_col: str = "_total",
     num_partitions: int | None = None,
     totals: dict[str, tuple[str, str]] | None = None,
+    cut: str = "table",
 ) -> DataFrame:
     """Add the 0-based position of each row under ``order`` and the row count.
 
@@ -84,13 +104,12 @@ def with_global_position(
     ``{"_latest": ("max", "order_date")}``; ``min``, ``max`` and ``sum``
     are supported (each is taken per partition, then over partitions).
     """
-    checkpoint_dir(df.sparkSession)
     columns = df.columns
-    numbered = (
+    numbered = _materialize(
         df.repartitionByRange(_partition_count(df, num_partitions), *order)
         .sortWithinPartitions(*order)
-        .withColumn("_rowid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_rowid", F.monotonically_increasing_id()),
+        cut,
     )
     part = F.shiftright(F.col("_rowid"), _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND((1 << _LOCAL_BITS) - 1)

@@ -128,3 +128,12 @@ def test_customer_scoring_never_meets_in_one_partition(spark, sample_bronze):
             found += 1
             assert "count(1)" in lines[i + 1] and "_part" in lines[i + 1], lines[i + 1]
     assert found >= 1  # earlier passes sit behind their checkpoints
+
+
+@pytest.mark.parametrize("cut", ["table", "checkpoint"])
+def test_both_materializations_give_the_same_positions(spark, cut):
+    df = _frame(spark, 400, seed=21)
+    out = with_global_position(df, [sort_key("v"), sort_key("id")], num_partitions=5, cut=cut)
+    assert sorted((r.id, r._pos) for r in out.select("id", "_pos").collect()) == sorted(
+        (r.id, i) for i, r in enumerate(df.orderBy(F.col("v").asc_nulls_first(), "id").collect())
+    )
