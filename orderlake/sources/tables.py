@@ -36,10 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     and everything up to the next shuffle would run there. Large tables
     stored as many files already have enough splits and pass unchanged.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as is
         return df
-    return df.repartition(slots)
+    return df if splits >= slots else df.repartition(slots)
 
 
 def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,3 +156,14 @@ def test_synthetic_orders_domains(spark):
     assert (r[4], r[5], r[6], r[7]) == (6, 4, 5, 0)
     assert set(x.discount_pct for x in gen.select("discount_pct").distinct().collect()) <= {0.0, 5.0, 10.0, 15.0, 20.0}
     assert gen.collect() == synthetic_orders(ids).collect()
+
+
+def test_silver_dynamic_overwrite_replaces_only_touched_partitions(spark, tmp_dir):
+    rows = [order(order_id="A"), order(order_id="B", order_month=4, order_date="2024-04-02 00:00:00")]
+    bronze = add_ingestion_metadata(raw_frame(spark, rows), "p", "2024-05-01 00:00:00")
+    path = f"{tmp_dir}/silver"
+    write_silver(silver_from_bronze(bronze), path)
+    march_only = bronze.filter(F.col("order_month") == 3).withColumn("quantity", F.lit(7))
+    assert write_silver(silver_from_bronze(march_only), path, dynamic=True) == 1
+    back = {r.order_id: r.quantity for r in read_silver(spark, path, completed_only=False).collect()}
+    assert back == {"A": 7, "B": 2}
