@@ -52,7 +52,7 @@ def main() -> None:
         run_pipeline(spark, None, paths, ingested_at=Q.FIXED_RUN_TIME)
 
     jobs = {
-        "silver_orders": lambda: _noop(Q.silver_columns(spark, SF_DIR)),
+        "silver_from_tables": lambda: _noop(Q.silver_columns(spark, SF_DIR)),
         "sales_by_region": lambda: _noop(Q.sales_by_region(spark, SF_DIR)),
         "product_performance": lambda: _noop(Q.product_performance(spark, SF_DIR)),
         "customer_segments": lambda: _noop(Q.customer_segments(spark, SF_DIR)),
