@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for the registered queries.
+"""Oracle SQL (DuckDB dialect) for the registered queries.
 
 Each query is the shared chain of CTEs below plus a final SELECT. The
 chain restates every layer in plain SQL over the same order tables:
