@@ -188,35 +188,37 @@ def distributed_rank(
     Rows are placed in one global order: group columns, the ranking keys,
     then ``tiebreak``. A row's rank is the position of the first row with its
     (group, keys) minus the position of the group's first row, plus one.
-    Both starts come from aggregations joined back on null-safe keys, so a
-    group holding a large share of the rows is spread over many tasks.
+    Both starts are found per tie group (an aggregation with map-side
+    combining), the rank is computed on that small table, and it is joined
+    back to the rows once on null-safe keys; adaptive execution splits a tie
+    group holding a large share of the rows.
     """
+    groups = list(partition_by)
+    tie_cols = groups + [c for c, _ in order_by]
     order = (
-        [sort_key(c) for c in partition_by]
+        [sort_key(c) for c in groups]
         + [sort_key(c, d) for c, d in order_by]
         + [sort_key(c) for c in tiebreak]
     )
     placed = with_global_position(df, order, num_partitions=num_partitions)
-    key_cols = [c for c, _ in order_by]
-
-    def starts(cols: Sequence[str], name: str) -> tuple[DataFrame, Column, list[str]]:
-        renamed = {c: f"_k{i}_{name}" for i, c in enumerate(cols)}
-        agg = placed.groupBy(*[F.col(c).alias(renamed[c]) for c in cols]).agg(
-            F.min("_pos").alias(name)
+    ties = placed.groupBy(*tie_cols).agg(F.min("_pos").alias("_tstart"))
+    if groups:
+        firsts = ties.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)]).agg(
+            F.min("_tstart").alias("_gstart")
         )
-        cond = F.lit(True)
-        for c in cols:
-            cond = cond & F.col(c).eqNullSafe(F.col(renamed[c]))
-        return agg, cond, list(renamed.values())
-
-    tie_agg, tie_cond, tie_tmp = starts(list(partition_by) + key_cols, "_tstart")
-    joined = placed.join(tie_agg, tie_cond, "inner")
-    group_tmp: list[str] = []
-    if partition_by:
-        group_agg, group_cond, group_tmp = starts(list(partition_by), "_gstart")
-        joined = joined.join(group_agg, group_cond, "inner")
+        ties = ties.join(firsts, _null_safe_eq(groups, [f"_g{i}" for i in range(len(groups))]))
     else:
-        joined = joined.withColumn("_gstart", F.lit(0).cast("long"))
-    return joined.withColumn(
-        out_col, (F.col("_tstart") - F.col("_gstart") + 1).cast("int")
-    ).drop("_pos", "_total", "_tstart", "_gstart", *group_tmp, *tie_tmp)
+        ties = ties.withColumn("_gstart", F.lit(0).cast("long"))
+    keys = [f"_t{i}" for i in range(len(tie_cols))]
+    ranks = ties.select(
+        *[F.col(c).alias(k) for c, k in zip(tie_cols, keys)],
+        (F.col("_tstart") - F.col("_gstart") + 1).cast("int").alias(out_col),
+    )
+    return placed.join(ranks, _null_safe_eq(tie_cols, keys)).drop("_pos", "_total", *keys)
+
+
+def _null_safe_eq(left: Sequence[str], right: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
