@@ -407,6 +407,7 @@ ORACLE: dict[str, str] = {
         "'2024-01-01T000000' AS _pipeline_run_id FROM valid"
     ),
     "bronze_roundtrip": q("SELECT * FROM bronze"),
+    "stream_ingest": q("SELECT * FROM valid"),
     "bronze_append_rerun": q("SELECT * FROM bronze UNION ALL SELECT * FROM bronze"),
     "dedupe_latest": q("SELECT * FROM dedup"),
     "dedupe_removed": q("SELECT * FROM bronze EXCEPT ALL SELECT * FROM dedup"),
