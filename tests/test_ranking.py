@@ -117,7 +117,8 @@ def test_customer_scoring_never_meets_in_one_partition(spark, sample_bronze):
     from orderlake.operators.marts import build_customer_segments, completed_orders
     from orderlake.plans.silver import silver_from_bronze
 
-    seg = build_customer_segments(completed_orders(silver_from_bronze(sample_bronze)))
+    # tiny input: ask for several partitions so the distributed path is planned
+    seg = build_customer_segments(completed_orders(silver_from_bronze(sample_bronze)), num_partitions=3)
     seg.collect()
     lines = seg._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
     assert not any("ntile" in line for line in lines)
@@ -137,3 +138,14 @@ def test_both_materializations_give_the_same_positions(spark, cut):
     assert sorted((r.id, r._pos) for r in out.select("id", "_pos").collect()) == sorted(
         (r.id, i) for i, r in enumerate(df.orderBy(F.col("v").asc_nulls_first(), "id").collect())
     )
+
+
+def test_single_partition_path_matches_distributed(spark):
+    df = _frame(spark, 700, seed=31, key_span=3)
+    order = [sort_key("v", "desc"), sort_key("id")]
+    one = distributed_ntile(df, 5, order, "t", num_partitions=1, totals={"_mx": ("max", "v")})
+    many = distributed_ntile(df, 5, order, "t", num_partitions=6, totals={"_mx": ("max", "v")})
+    assert sorted(one.collect()) == sorted(many.select(*one.columns).collect())
+    r1 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=1)
+    r6 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=6)
+    assert sorted(r1.collect()) == sorted(r6.select(*r1.columns).collect())
