@@ -217,8 +217,8 @@ def distributed_rank(
     placed = with_global_position(df, order, num_partitions=num_partitions)
     ties = placed.groupBy(*tie_cols).agg(F.min("_pos").alias("_tstart"))
     if groups:
-        firsts = ties.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)]).agg(
-            F.min("_tstart").alias("_gstart")
+        firsts = placed.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)]).agg(
+            F.min("_pos").alias("_gstart")
         )
         ties = ties.join(firsts, _null_safe_eq(groups, [f"_g{i}" for i in range(len(groups))]))
     else:
