@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from orderlake.plans import queries as Q  # noqa: E402
 from orderlake.plans.pipeline import LayerPaths, run_pipeline  # noqa: E402
-from orderlake.session import get_session, scratch_path  # noqa: E402
+from orderlake.session import clear_scratch, get_session, scratch_path  # noqa: E402
 from orderlake.sources.csv import write_raw_csv  # noqa: E402
 from orderlake.sources.tables import raw_orders_from_tables  # noqa: E402
 
@@ -81,6 +81,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

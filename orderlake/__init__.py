@@ -1,5 +1,5 @@
 """Order analytics on Spark: raw orders -> bronze -> silver -> gold marts."""
 
-from orderlake.session import checkpoint_dir, get_session
+from orderlake.session import checkpoint_dir, clear_scratch, get_session
 
-__all__ = ["checkpoint_dir", "get_session"]
+__all__ = ["checkpoint_dir", "clear_scratch", "get_session"]

@@ -60,3 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint folder for intermediate tables."""
     return f"{checkpoint_dir(spark)}/orderlake-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's scratch folder (positions tables, landed
+    test files). Call it once no DataFrame still reads from it, e.g. after a
+    pipeline's writes have finished. Returns whether anything was removed."""
+    root = f"{checkpoint_dir(spark)}/orderlake-scratch"
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path) and fs.delete(path, True))

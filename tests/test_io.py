@@ -167,3 +167,16 @@ def test_silver_dynamic_overwrite_replaces_only_touched_partitions(spark, tmp_di
     assert write_silver(silver_from_bronze(march_only), path, dynamic=True) == 1
     back = {r.order_id: r.quantity for r in read_silver(spark, path, completed_only=False).collect()}
     assert back == {"A": 7, "B": 2}
+
+
+def test_clear_scratch_removes_positions_tables(spark):
+    from orderlake.operators.ranking import distributed_ntile, sort_key
+    from orderlake.session import checkpoint_dir, clear_scratch
+
+    df = spark.range(50).withColumnRenamed("id", "v")
+    distributed_ntile(df, 5, [sort_key("v")], "t", num_partitions=3).collect()
+    root = checkpoint_dir(spark).replace("file:", "") + "/orderlake-scratch"
+    assert os.path.isdir(root)
+    assert clear_scratch(spark) is True
+    assert not os.path.exists(root)
+    assert clear_scratch(spark) is False
