@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tools.compare_oracle import TABLES, digest
+from tools.compare_oracle import TABLES, digest, duck_types, spark_types
 
 KEYS = sorted(entry.queries())
 
@@ -29,6 +29,7 @@ def test_query_matches_sql(spark, duck, key):
     res = duck.execute(entry.oracle_sql()[key])
     d_cols, d_hash, d_lines = digest([c[0] for c in res.description], res.fetchall())
     assert s_cols == d_cols
+    assert spark_types(df) == duck_types(duck.sql(entry.oracle_sql()[key]))
     assert len(s_lines) == len(d_lines)
     assert s_hash == d_hash, (sorted(set(s_lines) - set(d_lines))[:2], sorted(set(d_lines) - set(s_lines))[:2])
 
