@@ -97,8 +97,10 @@ def test_gold_mart_overwrite(spark, tmp_dir, sample_raw):
 def test_pipeline_runs_layers_in_order(spark, tmp_dir, sample_raw):
     write_raw_csv(sample_raw, f"{tmp_dir}/landing")
     paths = LayerPaths(f"{tmp_dir}/landing/*.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold")
-    res = run_pipeline(spark, ["load", "ingestion", "transformation"], paths, "2024-03-15 00:00:00")
-    assert list(res) == ["ingestion", "transformation", "load"]
+    res = run_pipeline(spark, ["load", "ingestion", "transformation"], paths, "2024-03-15 00:00:00", validate=True)
+    assert list(res) == ["ingestion", "transformation", "load", "validate"]
+    assert res["validate"]["violations"] == 1  # the product sold under two categories
+    assert res["validate"]["rules"]["gold.product_performance.duplicate_product_id"] == 1
     assert res["ingestion"]["records"] == 6
     assert res["ingestion"]["metrics"] == {"read_rows": 7, "corrupt_rows": 0, "invalid_rows": 1}
     assert res["transformation"]["records"] == 5
