@@ -36,11 +36,30 @@ def deduplicate(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
     )
 
 
-def duplicates_removed(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
+CHUNK_ROWS = 1_000_000
+
+
+def duplicates_removed(
+    df: DataFrame, key: str = schema.DEDUP_KEY, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """The rows :func:`deduplicate` drops (every copy but the survivor).
 
-    Computed as ``df EXCEPT ALL survivors``: rows are grouped on all their
-    columns with map-side combining, so copies of one key never have to
-    meet in a single window task.
+    The same multiset as ``df EXCEPT ALL survivors``, built so that no group
+    of copies has to meet in one task: rows are counted per distinct full row
+    (map-side combining collapses exact copies early), the survivor is
+    subtracted, and each surplus count is cut into chunks of at most
+    ``chunk_rows`` that are spread over tasks before being expanded.
     """
-    return df.exceptAll(deduplicate(df, key))
+    cols = df.columns
+    tagged = df.withColumn("_v", F.lit(1)).unionByName(
+        deduplicate(df, key).withColumn("_v", F.lit(-1))
+    )
+    surplus = tagged.groupBy(*cols).agg(F.sum("_v").alias("_extra")).filter(
+        F.col("_extra") > 0
+    )
+    chunks = surplus.withColumn(
+        "_c",
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("_extra") - 1) / chunk_rows).cast("long"))),
+    ).repartition(*cols, "_c")
+    size = F.least(F.lit(chunk_rows).cast("long"), F.col("_extra") - F.col("_c") * chunk_rows)
+    return chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*cols)

@@ -121,3 +121,12 @@ def test_iso_week_and_quarter(spark, date, week, quarter):
     silver = add_silver_columns(clean_and_standardize(_bronze(spark, [order(order_date=date)]))).first()
     assert (silver.order_week, silver.order_quarter) == (week, quarter)
     assert silver.order_date == dt.datetime.strptime(date, "%Y-%m-%d %H:%M:%S")
+
+
+def test_duplicates_removed_spreads_large_copy_groups(spark):
+    # 25 exact copies of one order and one variant: 24 copies + the variant go
+    rows = [order()] * 25 + [order(quantity=9)]
+    bronze = _bronze(spark, rows)
+    out = duplicates_removed(bronze, chunk_rows=5)
+    assert sorted(r.quantity for r in out.collect()) == [2] * 24 + [9]
+    assert "Exchange hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()
