@@ -26,6 +26,7 @@ from orderlake.sources.tables import raw_orders_from_tables  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+SHUFFLE = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", CPUS))
 
 
 def _noop(df) -> None:
@@ -37,7 +38,7 @@ def main() -> None:
         "orderlake-bench",
         master=f"local[{CPUS}]",
         conf={
-            "spark.sql.shuffle.partitions": str(CPUS * 2),
+            "spark.sql.shuffle.partitions": str(SHUFFLE),
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
         },

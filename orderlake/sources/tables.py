@@ -28,20 +28,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, unless_broadcast: bool = False) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan yields fewer splits
     than there are task slots.
 
     A fact table stored as one large row group is read by a single task,
     and everything up to the next shuffle would run there. Large tables
     stored as many files already have enough splits and pass unchanged.
+    With ``unless_broadcast`` a table small enough to be broadcast is left
+    alone: it would only be collected as a join's build side.
     """
     try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as is
+        spark = df.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+        if unless_broadcast:
+            threshold = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+                spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+            )
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            if 0 <= int(threshold) and size <= int(threshold):
+                return df
+    except Exception:  # no RDD or JVM access (e.g. Spark Connect): leave the scan as is
         return df
-    return df if splits >= slots else df.repartition(slots)
+    return df.repartition(slots)
 
 
 def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,14 +64,19 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     Catalyst from their measured size.
     """
     t = lambda name: _table(spark, sf_dir, name)
-    line = spread(t("lineitem")).select(
-        "l_orderkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_discount",
-        "l_returnflag",
-        "l_shipdate",
+    # The order side streams through the join chain below; line items stream
+    # only when they are too large to broadcast.
+    line = spread(
+        t("lineitem").select(
+            "l_orderkey",
+            "l_partkey",
+            "l_linenumber",
+            "l_quantity",
+            "l_discount",
+            "l_returnflag",
+            "l_shipdate",
+        ),
+        unless_broadcast=True,
     )
     orders = (
         spread(t("orders"))
