@@ -104,6 +104,8 @@ def with_global_position(
     ``{"_latest": ("max", "order_date")}``; ``min``, ``max`` and ``sum``
     are supported (each is taken per partition, then over partitions).
     """
+    if not order:
+        raise ValueError("with_global_position needs at least one sort key")
     columns = df.columns
     numbered = _materialize(
         df.repartitionByRange(_partition_count(df, num_partitions), *order)
@@ -171,6 +173,8 @@ def distributed_ntile(
     When the input fits one partition (by the optimizer's upper-bound
     estimate) Spark's own window gives the same result with fewer jobs.
     """
+    if not order:
+        raise ValueError("distributed_ntile needs at least one sort key")
     if _partition_count(df, num_partitions) == 1:
         whole = Window.partitionBy()
         combine = {"min": F.min, "max": F.max, "sum": F.sum}
@@ -204,6 +208,8 @@ def distributed_rank(
     back to the rows once on null-safe keys; adaptive execution splits a tie
     group holding a large share of the rows.
     """
+    if not order_by:
+        raise ValueError("distributed_rank needs at least one ranking key")
     groups = list(partition_by)
     tie_cols = groups + [c for c, _ in order_by]
     if _partition_count(df, num_partitions) == 1:  # fits one task anyway

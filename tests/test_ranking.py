@@ -149,3 +149,13 @@ def test_single_partition_path_matches_distributed(spark):
     r1 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=1)
     r6 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=6)
     assert sorted(r1.collect()) == sorted(r6.select(*r1.columns).collect())
+
+
+def test_empty_orders_are_rejected(spark):
+    df = _frame(spark, 10, seed=1)
+    with pytest.raises(ValueError):
+        distributed_rank(df, ["grp"], [], ["id"], "rk")
+    with pytest.raises(ValueError):
+        distributed_ntile(df, 5, [], "t")
+    with pytest.raises(ValueError):
+        with_global_position(df, [])
