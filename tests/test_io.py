@@ -182,3 +182,20 @@ def test_clear_scratch_removes_positions_tables(spark):
     assert clear_scratch(spark) is True
     assert not os.path.exists(root)
     assert clear_scratch(spark) is False
+
+
+def test_ingestion_observes_corrupt_and_invalid_rows(spark, tmp_dir):
+    from orderlake.plans.jobs import run_ingestion
+
+    bad_int = list(GOOD)
+    bad_int[10] = '"qty"'
+    empty_id = list(GOOD)
+    empty_id[1] = ""
+    lines = [",".join(GOOD), ",".join(bad_int), ",".join(GOOD[:-2]),
+             ",".join(GOOD + ['"extra"']), ",".join(empty_id)]
+    _write_lines(f"{tmp_dir}/landing/2024/01/01/sales_raw.csv", lines)
+    res = run_ingestion(spark, f"{tmp_dir}/landing/*/*/*/*.csv", f"{tmp_dir}/bronze", "2024-01-02 00:00:00")
+    assert res.metrics == {"read_rows": 5, "corrupt_rows": 3, "invalid_rows": 1}
+    assert int(res) == 4
+    bronze = read_bronze(spark, f"{tmp_dir}/bronze")
+    assert bronze.count() == 4 and schema.CORRUPT_COLUMN not in bronze.columns
