@@ -38,10 +38,10 @@ from orderlake.plans.jobs import run_load, validate_layers
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.session import scratch_path
-from orderlake.sources.csv import corrupt_records, read_raw_csv, write_raw_csv
+from orderlake.sources.csv import read_raw_csv, write_raw_csv
 from orderlake.sources.inventory import file_inventory
 from orderlake.sources.parquet import read_bronze, read_silver
-from orderlake.sources.sinks import write_bronze, write_silver
+from orderlake.sources.sinks import write_bronze, write_corrupt_records, write_silver
 from orderlake.sources.synthetic import synthetic_orders
 from orderlake.sources.tables import bronze_from_tables, raw_orders_from_tables
 from orderlake.streaming.ingest import ingest_new_files
@@ -79,7 +79,9 @@ def csv_corrupt_records(spark, d):
     landing = scratch_path(spark, "landing-lines")
     render_csv_lines(raw_orders_from_tables(spark, d)).write.text(landing)
     raw = read_raw_csv(spark, landing, header=False)
-    return corrupt_records(raw)
+    stored = scratch_path(spark, "corrupt")
+    write_corrupt_records(raw, stored)
+    return spark.read.schema(raw.schema).parquet(stored)
 
 
 def valid_orders(spark, d):

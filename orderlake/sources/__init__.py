@@ -3,7 +3,7 @@
 from orderlake.sources.csv import corrupt_records, read_raw_csv, write_raw_csv
 from orderlake.sources.inventory import file_inventory
 from orderlake.sources.parquet import read_bronze, read_silver
-from orderlake.sources.sinks import write_bronze, write_gold_mart, write_silver
+from orderlake.sources.sinks import write_bronze, write_corrupt_records, write_gold_mart, write_silver
 from orderlake.sources.tables import bronze_from_tables, raw_orders_from_tables
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "read_raw_csv",
     "read_silver",
     "write_bronze",
+    "write_corrupt_records",
     "write_gold_mart",
     "write_raw_csv",
     "write_silver",

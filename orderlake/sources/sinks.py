@@ -62,3 +62,17 @@ def write_gold_mart(df: DataFrame, gold_path: str, mart_name: str) -> int:
         lambda d: d.write.mode("overwrite").parquet(f"{gold_path}/{mart_name}"),
         mart_name,
     )
+
+
+def write_corrupt_records(raw: DataFrame, path: str, mode: str = "append") -> int:
+    """Store the lines that did not parse cleanly, with their text.
+
+    All columns are written, so Spark parses every field and flags wrong
+    field counts as well as bad values; the stored rows can then be counted
+    or filtered like any table.
+    """
+    return observed_write(
+        raw.filter(F.col(schema.CORRUPT_COLUMN).isNotNull()),
+        lambda d: d.write.mode(mode).parquet(path),
+        "corrupt",
+    )
