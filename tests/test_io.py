@@ -199,3 +199,14 @@ def test_ingestion_observes_corrupt_and_invalid_rows(spark, tmp_dir):
     assert int(res) == 4
     bronze = read_bronze(spark, f"{tmp_dir}/bronze")
     assert bronze.count() == 4 and schema.CORRUPT_COLUMN not in bronze.columns
+
+
+def test_recursive_csv_lookup_reads_nested_days(spark, tmp_dir):
+    _write_lines(f"{tmp_dir}/landing/2024/01/01/sales_raw.csv", [",".join(GOOD)])
+    _write_lines(f"{tmp_dir}/landing/2024/02/15/sales_raw.csv", [",".join(GOOD), ",".join(GOOD)])
+    _write_lines(f"{tmp_dir}/landing/README.txt", ["not,a,csv"])
+    raw = read_raw_csv(spark, f"{tmp_dir}/landing", keep_corrupt=False, recursive=True)
+    assert raw.count() == 3
+    # a two-level glob does not reach three-level folders
+    with pytest.raises(Exception):
+        read_raw_csv(spark, f"{tmp_dir}/landing/*/*/sales_raw.csv").count()
