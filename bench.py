@@ -78,6 +78,7 @@ def main() -> None:
                 "queries": medians,
                 "sf": float(sf.group(1)) if sf else SF_DIR,
                 "cpus": CPUS,
+                "shuffle_partitions": SHUFFLE,
                 "runs": RUNS,
             }
         )
