@@ -1,0 +1,37 @@
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake.functions import avg2, report_doubles
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        ["0.01", "0.02"],  # 0.015 -> 0.02
+        ["-0.01", "-0.02"],  # -0.015 -> -0.02 (half away from zero)
+        ["1.00", "1.00", "1.01"],  # 1.00333 -> 1.00
+        ["0.05", "0.05", "0.06", "0.06"],  # 0.055 -> 0.06
+        [None, "2.50", "2.51"],  # nulls ignored: 2.505 -> 2.51
+        [None, None],  # all null -> null
+    ],
+)
+def test_avg2_is_the_exactly_rounded_mean(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(
+        F.col("v").cast("decimal(14,2)").alias("v")
+    )
+    got = df.agg(avg2("v").alias("m")).first().m
+    present = [Decimal(v) for v in values if v is not None]
+    if not present:
+        assert got is None
+        return
+    exact = (sum(present) / len(present)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert Decimal(got) == exact
+
+
+def test_report_doubles_only_touches_decimals(spark):
+    df = spark.createDataFrame([("a", 1)], "s string, i int").select(
+        "s", "i", F.lit("1.25").cast("decimal(5,2)").alias("d")
+    )
+    assert report_doubles(df).dtypes == [("s", "string"), ("i", "int"), ("d", "double")]
