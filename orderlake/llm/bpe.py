@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Distinct pre-tokens whose results a Python worker keeps.
-KEPT = 1 << 18
+KEPT = 3 << 17
 #: Longer pre-tokens aren't kept.
 KEPT_CHARS = 64
 _LEAF = 9  # ranks per leaf bitmap, as a power of two
@@ -42,7 +42,10 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     n = len(word)
     # Places of the pairs of each rank, as heaps: the leftmost comes first.
+    # Filled buckets have a bit per rank in the leaves and a bit per filled leaf in the top.
     buckets: dict[int, list[int]] = {}
+    leaves: dict[int, int] = {}
+    top = 0
     for i in range(n - 1):
         rank = get(word[i : i + 2])
         if rank is not None:
@@ -50,29 +53,29 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
                 buckets[rank].append(i)
             else:
                 buckets[rank] = [i]
-    # Filled buckets: a bit per rank in the leaves, a bit per filled leaf in the top.
-    top = 0
-    leaves: dict[int, int] = {}
-    for rank in buckets:
-        leaf = rank >> _LEAF
-        leaves[leaf] = leaves.get(leaf, 0) | 1 << (rank & _MASK)
-        top |= 1 << leaf
+                leaf = rank >> _LEAF
+                if leaf in leaves:
+                    leaves[leaf] |= 1 << (rank & _MASK)
+                else:
+                    leaves[leaf] = 1 << (rank & _MASK)
+                    top |= 1 << leaf
     # Part i spans word[i:after[i]]; before[i] is where the previous part starts; after is 0 in merged parts.
     after, before = list(range(1, n + 2)), list(range(-1, n))
     while top:
         leaf = (top & -top).bit_length() - 1
         bits = leaves[leaf]
-        low = bits & -bits
-        rank = leaf << _LEAF | low.bit_length() - 1
+        rank = leaf << _LEAF | (bits & -bits).bit_length() - 1
         bucket = buckets[rank]
         if len(bucket) > 1:
             i = heappop(bucket)
         else:
             i = bucket[0]
             del buckets[rank]
-            bits ^= low
-            leaves[leaf] = bits
-            if not bits:
+            bits &= bits - 1
+            if bits:
+                leaves[leaf] = bits
+            else:
+                del leaves[leaf]
                 top ^= 1 << leaf
         j = after[i]
         if not j or j >= n:
@@ -81,28 +84,34 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         if get(word[i:k]) != rank:
             continue  # stale: a neighbour has changed
         after[i], after[j] = k, 0
-        places = []
+        start, end = i, 0
         if k < n:
             before[k] = i
-            places.append((i, after[k]))
-        if i:
-            places.append((before[i], k))
-        for start, end in places:
-            rank = get(word[start:end])
-            if rank is None:
-                continue
-            if rank in buckets:
-                heappush(buckets[rank], start)
-            else:
-                buckets[rank] = [start]
-                leaf = rank >> _LEAF
-                leaves[leaf] = leaves.get(leaf, 0) | 1 << (rank & _MASK)
-                top |= 1 << leaf
+            end = after[k]
+        while True:
+            # The new part with its right neighbour, then with its left one.
+            if end:
+                rank = get(word[start:end])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], start)
+                    else:
+                        buckets[rank] = [start]
+                        leaf = rank >> _LEAF
+                        if leaf in leaves:
+                            leaves[leaf] |= 1 << (rank & _MASK)
+                        else:
+                            leaves[leaf] = 1 << (rank & _MASK)
+                            top |= 1 << leaf
+            if start != i or not i:
+                break
+            start, end = before[i], k
     out = []
     i = 0
     while i < n:
-        out.append(ranks[word[i : after[i]]])
-        i = after[i]
+        j = after[i]
+        out.append(ranks[word[i:j]])
+        i = j
     return out
 
 
@@ -117,19 +126,19 @@ class Codec:
         self._known: dict[str, tuple] = {}
         self._older: dict[str, tuple] = {}
 
-    def word(self, word: str) -> tuple[list[int], int, str, bytes]:
-        """Ids of a pre-token, their number, their decimal form and the bytes they decode to."""
+    def word(self, word: str) -> tuple[int, str, bytes]:
+        """Number of a pre-token's ids, the ids in decimal form and the bytes they decode to."""
         item = self._known.get(word) or self._older.get(word)
         if item is None:
             ids = encode_word(word.encode("utf-8"), self.ranks)
-            item = (ids, len(ids), " ".join(map(str, ids)), self.decode(ids))
+            item = (len(ids), " ".join(map(str, ids)), self.decode(ids))
         if len(word) <= KEPT_CHARS:
             if len(self._known) >= KEPT:
                 self._older, self._known = self._known, {}
             self._known[word] = item
         return item
 
-    def words(self, text: str) -> list[tuple[list[int], int, str, bytes]]:
+    def words(self, text: str) -> list[tuple[int, str, bytes]]:
         """The same for each pre-token of a text."""
         found = self._find(text)
         items = list(map(self._known.get, found))
@@ -139,10 +148,7 @@ class Codec:
         return items
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for item in self.words(text):
-            out += item[0]
-        return out
+        return list(map(int, " ".join(map(itemgetter(1), self.words(text))).split()))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -211,7 +217,7 @@ def round_trip(docs: DataFrame, path: Callable[[], str], pattern: str) -> DataFr
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path(), pattern)
-        count, decimal, back_of = itemgetter(1), itemgetter(2), itemgetter(3)
+        count, decimal, back_of = itemgetter(0), itemgetter(1), itemgetter(2)
         for part in parts:
             n, ids, back = [], [], []
             for t in part["_in"]:
