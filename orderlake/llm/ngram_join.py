@@ -338,7 +338,7 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
     members = (
         sets.where("n > 0").select("ord", "crc", "n", "s1", "s2")
         .join(first.select("s1", "s2", "n", "rid"), ["s1", "s2", "n"]).select("ord", "crc", "n", "rid").distinct()
-        .unionByName(sets.where("n = 0").select("ord", "crc", "n", F.col("row").alias("rid")))
+        .unionByName(sets.where("n = 0").groupBy("ord", "crc", "n").agg(F.min("row").alias("rid")))
     )
     classes = sets.where("n > 0").drop("ord", "crc", "s1", "s2", "n").join(
         first.select(F.col("rid").alias("row"), "ord", "crc", "n"), "row"
@@ -385,6 +385,28 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
     return members, links
 
 
+def component_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """ord, crc, n (shingles) and root (a row number that names the component) of each distinct document."""
+    members, links = shingle_links(docs, words, percent)
+    nodes = components(links.toDF("a", "b"))
+    named = members.join(nodes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    return _stored(named.select("ord", "crc", "n", "root"), "shingle-components")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of docs that stay when of each component only its first document is kept.
+
+    First is the smallest doc_id (null last), then the smallest CRC-32 of the text. Of rows with the same doc_id and text one stays.
+    All columns are kept. Documents without words are components of their own.
+    """
+    named = component_rows(docs, words, percent)
+    first = named.groupBy("root").agg(F.min(F.struct("ord", "crc")).alias("f")).select(F.col("f.ord").alias("_ord"), F.col("f.crc").alias("_crc"))
+    keyed = docs.withColumns(
+        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
+    )
+    return keyed.join(first, ["_ord", "_crc"]).dropDuplicates(["_ord", "_crc"]).select(*docs.columns)
+
+
 def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """Shingle set size and component of each document: doc_id, n_shingles, component_id.
 
@@ -399,10 +421,7 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     Empty tables give an empty result. Whole texts count, of any length.
     """
     members, links = shingle_links(docs, words, percent)
-    # links connect rids; the component's name is the least ord of its classes' members.
-    nodes = components(links.toDF("a", "b"))
-    named = members.join(nodes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    named = _stored(named.select("ord", "crc", "n", "root"), "shingle-components")
+    named = component_rows(docs, words, percent)
     least = named.groupBy("root").agg(F.min("ord").alias("least"))
     result = named.join(least, "root")
     rows = docs.select(

@@ -276,8 +276,9 @@ def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part["ord"], part["crc"], part["doc_id"], pa.array(z, pa.binary())], schema=schema)
 
 
-def _cut(min_len: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()),
+def _cut(min_len: int, as_text: bool):
+    kept_field = pa.field("text", pa.string()) if as_text else pa.field("kept", pa.binary())
+    schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("crc", pa.int64()), ("n_bytes", pa.int64()), kept_field,
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,12 +302,11 @@ def _cut(min_len: int):
                     at = b
                 pieces.append(raw[at:])
                 sizes.append(len(raw))
-                kept.append(b"".join(pieces))
+                left = b"".join(p.decode("utf-8", "ignore").encode() for p in pieces) if as_text else b"".join(pieces)
+                kept.append(left.decode() if as_text else left)
                 spans.append([{"start": a, "end": b} for a, b in runs])
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, schema.field("spans").type)],
-                schema=schema,
-            )
+            columns = [part["doc_id"], part["ord"], part["crc"], pa.array(sizes, pa.int64()), pa.array(kept, kept_field.type)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, schema.field("spans").type)], schema=schema)
 
     return apply
 
@@ -331,12 +331,9 @@ def frequent_grams(keyed: DataFrame, min_len: int, share: int = 2000) -> np.ndar
 
 
 def _earlier(keys: list[str], cols: list[str]) -> Column:
-    """Whether the sorted predecessor has the same names and another place."""
-    w = Window.partitionBy(*cols).orderBy(*keys, "ord", "crc", "at")
+    """Whether a sorted predecessor has the same names and another place."""
     lead = Window.partitionBy(*cols, *keys).orderBy("ord", "crc", "at")
-    first = F.first(F.struct("ord", "crc", "at")).over(lead)
-    del w
-    return first != F.struct("ord", "crc", "at")
+    return F.first(F.struct("ord", "crc", "at")).over(lead) != F.struct("ord", "crc", "at")
 
 
 def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
@@ -389,13 +386,15 @@ def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_len: int = 100, as_text: bool = False) -> DataFrame:
     """Documents without the bytes that repeat earlier text.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Returns
     per input row ``doc_id``, ``n_bytes``, ``kept`` (the remaining UTF-8 bytes,
     which may begin or end inside a character) and ``spans`` (maximal removed
-    byte ranges, end exclusive).
+    byte ranges, end exclusive). With ``as_text`` there is ``text`` instead of ``kept``:
+    the remaining whole characters. ``ord`` and ``crc`` name the document: doc_id with
+    a stand-in for null, and the CRC-32 of its text.
 
     A null text counts as empty. Documents of fewer than ``min_len`` bytes
     lose nothing. A null doc_id comes after all others. Rows with the same
@@ -413,6 +412,22 @@ def remove_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     )
     marks = repeated_windows(keyed, min_len).groupBy("ord", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
     packed = keyed.mapInArrow(_squeeze, "ord long, crc long, doc_id long, z binary")
-    return packed.join(marks, ["ord", "crc"], "left").select("doc_id", "z", "marks").mapInArrow(
-        _cut(min_len), "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>"
+    kept = "text string" if as_text else "kept binary"
+    return packed.join(marks, ["ord", "crc"], "left").select("doc_id", "ord", "crc", "z", "marks").mapInArrow(
+        _cut(min_len, as_text), f"doc_id long, ord long, crc long, n_bytes long, {kept}, spans array<struct<start: long, end: long>>"
     )
+
+
+def without_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
+    """``docs`` with the remaining whole characters as ``text``; all rows and columns are kept.
+
+    ``n_chars``, if there is such a column, becomes the length of the new text. Null texts become
+    empty ones.
+    """
+    kept = remove_repeats(docs, min_len, as_text=True).select(F.col("ord").alias("_ord"), F.col("crc").alias("_crc"), F.col("text").alias("_text"))
+    keyed = docs.withColumns(
+        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
+    ).drop("text")
+    joined = keyed.join(kept.dropDuplicates(["_ord", "_crc"]), ["_ord", "_crc"])
+    fresh = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return joined.withColumns(fresh).select(*docs.columns)
