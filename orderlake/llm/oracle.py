@@ -61,8 +61,8 @@ sh AS (
   UNION ALL
   SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) IN (1, 2)),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both >= 90 * (a.n + b.n - both)),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 90 * (a.n + b.n - common)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(doc_id, x) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.x)
 SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.x) AS component_id
