@@ -41,22 +41,25 @@ from pyspark.sql import functions as F
 from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, signed, text_buffer
 from orderlake.session import scratch_path
 
-GRAM = 20
+GRAM = 16
 BLOCK = 9
 #: Window starts that are handled at once; a longer document takes several rounds.
 CHUNK = 1 << 18
 NULL_ID = (1 << 63) - 1
 
-_RUNS = pa.schema(
-    [("gram", pa.int64()), ("salt", pa.int32()), ("name", pa.int64()), ("ord", pa.int64()), ("crc", pa.int64()),
-     ("at", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("dup", pa.bool_())]
-)
+# A run's place packs its sampled place, the distances from it back to the first and the last window start, and two marks:
+# the gram is frequent, and the run repeats inside its batch. A block's place packs in the same way. Shuffled rows stay small so.
+_RUNS = pa.schema([("gram", pa.int64()), ("name", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("place", pa.int64())])
 _BLOCKS = pa.schema(
-    [("c1", pa.int64()), ("c2", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("lo", pa.int32()),
-     ("hi", pa.int32()), ("ord", pa.int64()), ("crc", pa.int64()), ("at", pa.int64()), ("dup", pa.bool_())]
+    [("c1", pa.int64()), ("c2", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()),
+     ("place", pa.int64())]
 )
 
 
+def _bits(shift: int, width: int) -> Column:
+    return F.shiftright("place", shift).bitwiseAND((1 << width) - 1)
+
+
 def _ddl(schema: pa.Schema) -> str:
     kinds = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary", pa.float64(): "double"}
     return ", ".join(f"`{f.name}` {kinds[f.type]}" for f in schema)
@@ -88,7 +91,7 @@ def sampled_runs(raw: np.ndarray, offs: np.ndarray, min_len: int) -> Iterator[tu
             continue
         buf = padded(raw[begin:byte_end])
         g = mix(eights(buf)[: n + PAD - 16])
-        grams = mix(g[:n] * U64(3) + g[8 : n + 8] * U64(0x9FB21C651E98DF25) + g[12 : n + 12])
+        grams = mix(g[:n] * U64(3) + g[8 : n + 8])
         place = np.arange(n, dtype=np.int64)
         least = (grams & ~U64((1 << 20) - 1)) | place.astype(U64)
         size = 1
@@ -139,11 +142,11 @@ def first_in_batch(keys: list[np.ndarray], doc: np.ndarray, rank: np.ndarray, at
     return firsts, dups
 
 
-def _ranks(ords: np.ndarray, crcs: np.ndarray) -> np.ndarray:
+def _ranks(ords: np.ndarray, ties: np.ndarray) -> np.ndarray:
     """Dense order of a batch's documents; equal rows share a rank."""
-    o = np.lexsort((crcs, ords))
+    o = np.lexsort((ties, ords))
     new = np.ones(len(o), bool)
-    new[1:] = (ords[o[1:]] != ords[o[:-1]]) | (crcs[o[1:]] != crcs[o[:-1]])
+    new[1:] = (ords[o[1:]] != ords[o[:-1]]) | (ties[o[1:]] != ties[o[:-1]])
     rank = np.empty(len(o), np.int64)
     rank[o] = np.cumsum(new) - 1
     return rank
@@ -157,17 +160,18 @@ def _run_rows(min_len: int, hot: np.ndarray):
             if not found:
                 continue
             gram, name, doc, at, lo, hi = (np.concatenate(x) for x in zip(*found))
-            ords, crcs = part["ord"].to_numpy(zero_copy_only=False), part["crc"].to_numpy(zero_copy_only=False)
-            firsts, dups = first_in_batch([gram, name], doc, _ranks(ords, crcs), at)
+            ords, ties = part["ord"].to_numpy(zero_copy_only=False), part["tie"].to_numpy(zero_copy_only=False)
+            firsts, dups = first_in_batch([gram, name], doc, _ranks(ords, ties), at)
             keep = firsts | dups
-            salt = np.zeros(len(gram), np.int32)
+            busy = np.zeros(len(gram), bool)
             if len(hot):
-                place = np.minimum(np.searchsorted(hot, gram), len(hot) - 1)
-                salt = np.where(hot[place] == gram, 1 + (name % U64(64)).astype(np.int32), 0).astype(np.int32)
+                busy = hot[np.minimum(np.searchsorted(hot, gram), len(hot) - 1)] == gram
+                # A frequent gram is dealt out by the names of its runs.
+                gram = np.where(busy, mix(gram + name % U64(64)), gram)
             # Marked rows need no comparison: they go to any task.
             gram = np.where(dups, mix(gram + at.astype(U64)), gram)
-            rows = {"gram": signed(gram), "salt": salt, "name": signed(name), "ord": ords[doc], "crc": crcs[doc],
-                    "at": at, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "dup": dups}
+            place = at << 26 | (at - lo) << 14 | (at - hi) << 2 | busy.astype(np.int64) << 1 | dups
+            rows = {"gram": signed(gram), "name": signed(name), "ord": ords[doc], "tie": ties[doc], "place": place}
             yield from batches({k: v[keep] for k, v in rows.items()}, _RUNS)
 
     return apply
@@ -205,7 +209,7 @@ def _block_rows(min_len: int):
         unzip = zstandard.ZstdDecompressor()
         for part in parts:
             found = []
-            ords, crcs = part["ord"].to_numpy(zero_copy_only=False), part["crc"].to_numpy(zero_copy_only=False)
+            ords, ties = part["ord"].to_numpy(zero_copy_only=False), part["tie"].to_numpy(zero_copy_only=False)
             open_rows = part["open"]
             for i, z in enumerate(part["z"]):
                 raw = np.frombuffer(unzip.decompress(z.as_py()), np.uint8)
@@ -240,10 +244,10 @@ def _block_rows(min_len: int):
             c1, c2, left, right, j0, j1, doc, c0 = (np.concatenate(x) for x in zip(*found))
             # Bytes that no window of the block covers don't belong to its name.
             left, right = left & _left_mask(j1), right & _right_mask(j0)
-            firsts, dups = first_in_batch([c1, c2, left, right, j0, j1], doc, _ranks(ords, crcs), c0)
+            firsts, dups = first_in_batch([c1, c2, left, right, j0, j1], doc, _ranks(ords, ties), c0)
             c1 = np.where(dups, mix(c1 + c0.astype(U64)), c1)
-            rows = {"c1": signed(c1), "c2": signed(c2), "left": signed(left), "right": signed(right), "lo": j0.astype(np.int32),
-                    "hi": j1.astype(np.int32), "ord": ords[doc], "crc": crcs[doc], "at": c0, "dup": dups}
+            rows = {"c1": signed(c1), "c2": signed(c2), "left": signed(left), "right": signed(right), "ord": ords[doc], "tie": ties[doc],
+                    "place": c0 << 9 | j0 << 5 | j1 << 1 | dups}
             keep = firsts | dups
             yield from batches({k: v[keep] for k, v in rows.items()}, _BLOCKS)
 
@@ -267,18 +271,18 @@ def _as_long(x: int) -> int:
 
 
 def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("ord", pa.int64()), ("crc", pa.int64()), ("doc_id", pa.int64()), ("z", pa.binary())])
-    zip_ = zstandard.ZstdCompressor(level=1)
+    schema = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("doc_id", pa.int64()), ("z", pa.binary())])
+    zip_ = zstandard.ZstdCompressor(level=3)
     for part in parts:
         raw, offs = text_buffer(part["text"])
         data = raw.tobytes()
         z = [zip_.compress(data[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
-        yield pa.RecordBatch.from_arrays([part["ord"], part["crc"], part["doc_id"], pa.array(z, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([part["ord"], part["tie"], part["doc_id"], pa.array(z, pa.binary())], schema=schema)
 
 
 def _cut(min_len: int, as_text: bool):
     kept_field = pa.field("text", pa.string()) if as_text else pa.field("kept", pa.binary())
-    schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("crc", pa.int64()), ("n_bytes", pa.int64()), kept_field,
+    schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("n_bytes", pa.int64()), kept_field,
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +309,7 @@ def _cut(min_len: int, as_text: bool):
                 left = b"".join(p.decode("utf-8", "ignore").encode() for p in pieces) if as_text else b"".join(pieces)
                 kept.append(left.decode() if as_text else left)
                 spans.append([{"start": a, "end": b} for a, b in runs])
-            columns = [part["doc_id"], part["ord"], part["crc"], pa.array(sizes, pa.int64()), pa.array(kept, kept_field.type)]
+            columns = [part["doc_id"], part["ord"], part["tie"], pa.array(sizes, pa.int64()), pa.array(kept, kept_field.type)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, schema.field("spans").type)], schema=schema)
 
     return apply
@@ -332,40 +336,52 @@ def frequent_grams(keyed: DataFrame, min_len: int, share: int = 2000) -> np.ndar
 
 def _earlier(keys: list[str], cols: list[str]) -> Column:
     """Whether a sorted predecessor has the same names and another place."""
-    lead = Window.partitionBy(*cols, *keys).orderBy("ord", "crc", "at")
-    return F.first(F.struct("ord", "crc", "at")).over(lead) != F.struct("ord", "crc", "at")
+    lead = Window.partitionBy(*cols, *keys).orderBy("ord", "tie", "place")
+    return F.first(F.struct("ord", "tie", "place")).over(lead) != F.struct("ord", "tie", "place")
+
+
+def _marked(bit: int = 0) -> Column:
+    return _bits(bit, 1) == 1
 
 
 def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
-    """Ranges (lo..hi) of starts of windows that occur earlier: ord, crc, lo, hi."""
+    """Ranges (lo..hi) of starts of windows that occur earlier: ord, tie, lo, hi."""
     hot = frequent_grams(keyed, min_len)
-    runs = keyed.select("ord", "crc", "text").mapInArrow(_run_rows(min_len, hot), _ddl(_RUNS))
-    group = ["gram", "salt"]
-    whole = Window.partitionBy(*group)
+    runs = keyed.select("ord", "tie", "text").mapInArrow(_run_rows(min_len, hot), _ddl(_RUNS))
+    whole = Window.partitionBy("gram")
     runs = runs.withColumns(
         {
-            "open": (F.col("salt") > 0) | (F.min("name").over(whole) != F.max("name").over(whole)),
-            "again": F.col("dup") | _earlier(["name"], group),
+            "open": _marked(1) | (F.min("name").over(whole) != F.max("name").over(whole)),
+            "again": _marked() | _earlier(["name"], ["gram"]),
         }
     )
+    at = F.shiftright("place", 26)
     runs = _stored(
-        runs.where("open OR again").select("ord", "crc", "at", "lo", "hi", "again"),
+        runs.where("open OR again").select(
+            "ord", "tie", at.cast("int").alias("at"), (at - _bits(14, 12)).cast("int").alias("lo"), (at - _bits(2, 12)).cast("int").alias("hi"), "again"
+        ),
         "repeat-runs",
     )
     unresolved = (
-        runs.where("NOT again").groupBy("ord", "crc").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open"))
+        runs.where("NOT again").groupBy("ord", "tie").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open"))
     )
-    packed = keyed.mapInArrow(_squeeze, "ord long, crc long, doc_id long, z binary").drop("doc_id").dropDuplicates(["ord", "crc"])
-    blocks = packed.join(unresolved, ["ord", "crc"]).select("ord", "crc", "z", "open").mapInArrow(_block_rows(min_len), _ddl(_BLOCKS))
-    blocks = blocks.withColumn("side", F.xxhash64("left", "right", "lo", "hi"))
+    packed = keyed.mapInArrow(_squeeze, "ord long, tie long, doc_id long, z binary").drop("doc_id").dropDuplicates(["ord", "tie"])
+    blocks = packed.join(unresolved, ["ord", "tie"]).select("ord", "tie", "z", "open").mapInArrow(_block_rows(min_len), _ddl(_BLOCKS))
+    blocks = blocks.withColumn("side", F.xxhash64("left", "right", _bits(1, 8)))
     core = Window.partitionBy("c1", "c2")
     blocks = blocks.withColumns(
         {
             "open": F.min("side").over(core) != F.max("side").over(core),
-            "again": F.col("dup") | _earlier(["side"], ["c1", "c2"]),
+            "again": _marked() | _earlier(["side"], ["c1", "c2"]),
         }
     )
-    blocks = _stored(blocks.where("open OR again").drop("side", "dup", "open"), "repeat-blocks")
+    at = F.shiftright("place", 9)
+    blocks = _stored(
+        blocks.where("open OR again").select(
+            "c1", "c2", "left", "right", "ord", "tie", at.cast("int").alias("at"), _bits(5, 4).cast("int").alias("lo"), _bits(1, 4).cast("int").alias("hi"), "again"
+        ),
+        "repeat-blocks",
+    )
     # Single windows: j bytes of the left side, the core, 8 - j bytes of the right one.
     left = [_as_long(int(_left_mask(np.array([j]))[0])) for j in range(BLOCK)]
     right = [_as_long(int(_right_mask(np.array([j]))[0])) for j in range(BLOCK)]
@@ -374,27 +390,36 @@ def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
         blocks.where("NOT again")
         .withColumn("j", F.explode(F.sequence("lo", "hi")))
         .select("c1", "c2", "j", F.col("left").bitwiseAND(pick(left)).alias("left"), F.col("right").bitwiseAND(pick(right)).alias("right"),
-                "ord", "crc", (F.col("at") - F.col("j")).alias("at"))
+                "ord", "tie", (F.col("at") - F.col("j")).alias("at"))
     )
     name = ["c1", "c2", "j", "left", "right"]
-    earliest = single.groupBy(*name).agg(F.min(F.struct("ord", "crc", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = single.join(earliest.drop("n"), name).where(F.struct("ord", "crc", "at") != F.col("first"))
+    earliest = single.groupBy(*name).agg(F.min(F.struct("ord", "tie", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = single.join(earliest.drop("n"), name).where(F.struct("ord", "tie", "at") != F.col("first"))
     return (
-        runs.where("again").select("ord", "crc", "lo", "hi")
-        .unionByName(blocks.where("again").select("ord", "crc", (F.col("at") - F.col("hi")).cast("int").alias("lo"), (F.col("at") - F.col("lo")).cast("int").alias("hi")))
-        .unionByName(later.select("ord", "crc", F.col("at").cast("int").alias("lo"), F.col("at").cast("int").alias("hi")))
+        runs.where("again").select("ord", "tie", "lo", "hi")
+        .unionByName(blocks.where("again").select("ord", "tie", (F.col("at") - F.col("hi")).alias("lo"), (F.col("at") - F.col("lo")).alias("hi")))
+        .unionByName(later.select("ord", "tie", F.col("at").alias("lo"), F.col("at").alias("hi")))
     )
 
 
-def remove_repeats(docs: DataFrame, min_len: int = 100, as_text: bool = False) -> DataFrame:
+def _keys(docs: DataFrame) -> dict[str, Column]:
+    """Columns that name a document: ord (doc_id, with a stand-in for null), and tie.
+
+    The checksum of the text travels with the rows only if some doc_id has several texts.
+    """
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    several = docs.groupBy(order.alias("o")).agg(F.min(crc).alias("a"), F.max(crc).alias("b")).where("a <> b")
+    return {"ord": order, "tie": F.lit(0).cast("long") if several.isEmpty() else crc}
+
+
+def remove_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     """Documents without the bytes that repeat earlier text.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Returns
     per input row ``doc_id``, ``n_bytes``, ``kept`` (the remaining UTF-8 bytes,
     which may begin or end inside a character) and ``spans`` (maximal removed
-    byte ranges, end exclusive). With ``as_text`` there is ``text`` instead of ``kept``:
-    the remaining whole characters. ``ord`` and ``crc`` name the document: doc_id with
-    a stand-in for null, and the CRC-32 of its text.
+    byte ranges, end exclusive).
 
     A null text counts as empty. Documents of fewer than ``min_len`` bytes
     lose nothing. A null doc_id comes after all others. Rows with the same
@@ -402,19 +427,23 @@ def remove_repeats(docs: DataFrame, min_len: int = 100, as_text: bool = False) -
     texts with the same doc_id the one with the smaller CRC-32 is earlier. Empty
     tables give an empty result. Texts of any length are read in chunks.
     """
+    return _removed(docs.select("doc_id", "text"), min_len, _keys(docs), as_text=False).drop("ord", "tie")
+
+
+def _removed(docs: DataFrame, min_len: int, keys: dict[str, Column], as_text: bool) -> DataFrame:
     if not GRAM + BLOCK < min_len <= 4096:
-        raise ValueError("min_len must lie between 30 and 4096")
+        raise ValueError("min_len must lie between 26 and 4096")
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("ord"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"),
+        keys["ord"].alias("ord"),
+        keys["tie"].alias("tie"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    marks = repeated_windows(keyed, min_len).groupBy("ord", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
-    packed = keyed.mapInArrow(_squeeze, "ord long, crc long, doc_id long, z binary")
+    marks = repeated_windows(keyed, min_len).groupBy("ord", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
+    packed = keyed.mapInArrow(_squeeze, "ord long, tie long, doc_id long, z binary")
     kept = "text string" if as_text else "kept binary"
-    return packed.join(marks, ["ord", "crc"], "left").select("doc_id", "ord", "crc", "z", "marks").mapInArrow(
-        _cut(min_len, as_text), f"doc_id long, ord long, crc long, n_bytes long, {kept}, spans array<struct<start: long, end: long>>"
+    return packed.join(marks, ["ord", "tie"], "left").select("doc_id", "ord", "tie", "z", "marks").mapInArrow(
+        _cut(min_len, as_text), f"doc_id long, ord long, tie long, n_bytes long, {kept}, spans array<struct<start: long, end: long>>"
     )
 
 
@@ -424,10 +453,11 @@ def without_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     ``n_chars``, if there is such a column, becomes the length of the new text. Null texts become
     empty ones.
     """
-    kept = remove_repeats(docs, min_len, as_text=True).select(F.col("ord").alias("_ord"), F.col("crc").alias("_crc"), F.col("text").alias("_text"))
-    keyed = docs.withColumns(
-        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
-    ).drop("text")
-    joined = keyed.join(kept.dropDuplicates(["_ord", "_crc"]), ["_ord", "_crc"])
+    keys = _keys(docs)
+    kept = _removed(docs.select("doc_id", "text"), min_len, keys, as_text=True).select(
+        F.col("ord").alias("_ord"), F.col("tie").alias("_tie"), F.col("text").alias("_text")
+    )
+    keyed = docs.withColumns({"_ord": keys["ord"], "_tie": keys["tie"]}).drop("text")
+    joined = keyed.join(kept.dropDuplicates(["_ord", "_tie"]), ["_ord", "_tie"])
     fresh = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return joined.withColumns(fresh).select(*docs.columns)
