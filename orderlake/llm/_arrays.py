@@ -48,6 +48,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def row_slices(column: pa.Array, size: int = 1 << 21) -> Iterator[pa.Array]:
+    """Slices of a text column with about ``size`` bytes each, at least a row: what is worked on at once stays small."""
+    _, offs = text_buffer(column)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + size, side="right")) - 1)
+        yield column.slice(a, b - a)
+        a = b
+
+
 def padded(raw: np.ndarray) -> np.ndarray:
     """A copy with PAD zero bytes behind it."""
     out = np.zeros(len(raw) + PAD, np.uint8)

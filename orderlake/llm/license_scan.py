@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import _arrays
-from orderlake.llm._arrays import U64, lower_ascii, rolling, text_buffer, word_hashes
+from orderlake.llm._arrays import U64, lower_ascii, rolling, row_slices, text_buffer, word_hashes
 
 GRAM, WINNOW = 3, 2
 #: Wording of widely used license notices.
@@ -185,20 +185,21 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, lea
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            raw, offs = text_buffer(part["text"])
-            start, end, row, h = scan_words(lower_ascii(raw), offs)
-            cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
-            # Only texts with an indexed fingerprint are looked at one by one.
-            rows = []
-            if len(h) >= GRAM:
-                grams = rolling(h, GRAM)
-                near = np.minimum(np.searchsorted(index.prints, grams), len(index.prints) - 1)
-                ids = part["doc_id"]
-                for i in np.unique(row[np.flatnonzero(index.prints[near] == grams)]):
-                    a, b = cuts[i], cuts[i + 1]
-                    for t, matched, first, last in scan_text(h[a:b], index, least):
-                        rows.append((ids[int(i)].as_py(), index.names[t], t, matched, len(index.words[t]), last - first + 1,
-                                     int(start[a + first] - offs[i]), int(end[a + last] - offs[i])))
+            rows, base = [], 0
+            for texts in row_slices(part["text"]):
+                raw, offs = text_buffer(texts)
+                start, end, row, h = scan_words(lower_ascii(raw), offs)
+                cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+                # Only texts with an indexed fingerprint are looked at one by one.
+                if len(h) >= GRAM:
+                    grams = rolling(h, GRAM)
+                    near = np.minimum(np.searchsorted(index.prints, grams), len(index.prints) - 1)
+                    for i in np.unique(row[np.flatnonzero(index.prints[near] == grams)]).tolist():
+                        a, b = cuts[i], cuts[i + 1]
+                        for t, matched, first, last in scan_text(h[a:b], index, least):
+                            rows.append((part["doc_id"][base + i].as_py(), index.names[t], t, matched, len(index.words[t]), last - first + 1,
+                                         int(start[a + first] - offs[i]), int(end[a + last] - offs[i])))
+                base += len(texts)
             columns = list(zip(*rows)) or [()] * len(_FOUND)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._arrays import U64, batches, lower_ascii, mix, rolling, text_buffer, word_hashes, words_of
+from orderlake.llm._arrays import U64, batches, lower_ascii, mix, rolling, row_slices, text_buffer, word_hashes, words_of
 from orderlake.llm.components import components
 from orderlake.session import scratch_path
 
@@ -76,8 +76,9 @@ def _counters(words: int):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for part in parts:
-            grams, _ = shingle_rows(part["text"], words)
-            total += np.bincount((grams % U64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            for texts in row_slices(part["text"]):
+                grams, _ = shingle_rows(texts, words)
+                total += np.bincount((grams % U64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         filled = [i for i in range(COUNTERS // chunk) if total[i * chunk : (i + 1) * chunk].any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(filled, pa.int32()), pa.array([total[i * chunk : (i + 1) * chunk].tobytes() for i in filled], pa.binary())],
@@ -114,22 +115,23 @@ _SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig bi
 def _sets(words: int, percent: int, levels: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            grams, offs = shingle_rows(part["text"], words)
             n, s1, s2, prefix, sig = [], [], [], [], []
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                u = np.unique(grams[a:b])
-                k = len(u)
-                n.append(k)
-                if not k:
-                    s1.append(0), s2.append(0), prefix.append([]), sig.append(b"")
-                    continue
-                m = mix(u)
-                s1.append(int(m.sum().astype(np.int64)))
-                s2.append(int(mix(m).sum().astype(np.int64)))
-                take = k - -(-percent * k // 100) + 1
-                key = (levels[(u % U64(COUNTERS)).astype(np.int64)].astype(U64) << U64(56)) | (u >> U64(8))
-                prefix.append(u[np.argsort(key, kind="stable")[:take]].view(np.int64))
-                sig.append(signature(u).tobytes())
+            for texts in row_slices(part["text"]):
+                grams, offs = shingle_rows(texts, words)
+                for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+                    u = np.unique(grams[a:b])
+                    k = len(u)
+                    n.append(k)
+                    if not k:
+                        s1.append(0), s2.append(0), prefix.append([]), sig.append(b"")
+                        continue
+                    m = mix(u)
+                    s1.append(int(m.sum().astype(np.int64)))
+                    s2.append(int(mix(m).sum().astype(np.int64)))
+                    take = k - -(-percent * k // 100) + 1
+                    key = (levels[(u % U64(COUNTERS)).astype(np.int64)].astype(U64) << U64(56)) | (u >> U64(8))
+                    prefix.append(u[np.argsort(key, kind="stable")[:take]].view(np.int64))
+                    sig.append(signature(u).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part["ord"], part["crc"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
