@@ -7,12 +7,13 @@ puts shingles of heavily filled hash counters last, so what many documents share
 hardly ever joins. Documents that share such a shingle meet in a tile:
 
 1. Documents with equal sets become one class before anything is joined.
-2. Tiles over the first two shingles: neighbouring members are joined by the
-   shortest spanning trees of their bitmap signatures, and the tree edges are
-   checked exactly. This only shrinks later work: whole groups of near copies
-   become one component through a number of edges that is linear in the group.
-3. Tiles over all prefix shingles and size bands: only members of different
-   components are compared, by size, by place in the order and by signature. All
+2. Tiles over three shingles of a document (the least under three hashes), then tiles over all
+   prefix shingles and size bands: members are joined by the shortest spanning trees of their
+   bitmap signatures, and the tree edges are checked exactly. This only shrinks
+   later work: whole groups of near copies become one component through a number of
+   edges that is linear in the group.
+3. Tiles over all prefix shingles and size bands again: members of components that are still
+   different are compared by size, by place in the order and by signature. All
    pairs that these bounds can't exclude are checked exactly.
 
 A signature holds the parity of the number of shingles per hash bit. The bits in which two
@@ -39,8 +40,10 @@ BITS = 512
 #: Hash counters that order the shingles: a fixed size, whatever the input.
 COUNTERS = 1 << 17
 NULL_ID = (1 << 63) - 1
-#: Tile members whose spanning tree is found at once; larger tiles take several trees that share a member.
-TREE = 2048
+#: Tile members whose spanning tree is found at once; larger tiles take several trees.
+TREE = 8192
+#: Members of the previous part that a tree of a larger tile begins with.
+SHARED = 256
 
 
 def shingle_rows(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,13 +112,13 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(bit, minlength=BITS) & 1).astype(np.uint8))
 
 
-_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig binary"
+_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, front array<long>, sig binary"
 
 
 def _sets(words: int, percent: int, levels: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            n, s1, s2, prefix, sig = [], [], [], [], []
+            n, s1, s2, prefix, front, sig = [], [], [], [], [], []
             for texts in row_slices(part["text"]):
                 grams, offs = shingle_rows(texts, words)
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
@@ -123,19 +126,21 @@ def _sets(words: int, percent: int, levels: np.ndarray):
                     k = len(u)
                     n.append(k)
                     if not k:
-                        s1.append(0), s2.append(0), prefix.append([]), sig.append(b"")
+                        s1.append(0), s2.append(0), prefix.append([]), front.append([]), sig.append(b"")
                         continue
                     m = mix(u)
+                    m2 = mix(m)
                     s1.append(int(m.sum().astype(np.int64)))
-                    s2.append(int(mix(m).sum().astype(np.int64)))
+                    s2.append(int(m2.sum().astype(np.int64)))
+                    front.append(np.unique(u[[0, m.argmin(), m2.argmin()]]).view(np.int64))
                     take = k - -(-percent * k // 100) + 1
                     key = (levels[(u % U64(COUNTERS)).astype(np.int64)].astype(U64) << U64(56)) | (u >> U64(8))
                     prefix.append(u[np.argsort(key, kind="stable")[:take]].view(np.int64))
                     sig.append(signature(u).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part["ord"], part["crc"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                names=["ord", "crc", "n", "s1", "s2", "prefix", "sig"],
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(front, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                names=["ord", "crc", "n", "s1", "s2", "prefix", "front", "sig"],
             )
 
     return apply
@@ -199,34 +204,37 @@ def _candidates(x: dict[str, np.ndarray], v: int, rest: np.ndarray, percent: int
 _PAIRS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
-def _trees(percent: int):
-    """Edges of the shortest spanning trees of a tile's signatures."""
+def _trees(percent: int, keys: list[str]):
+    """Edges of the shortest spanning trees of a tile's signatures; members of one component are joined beforehand."""
+    none = 1 << 30
 
     def tree(x: dict[str, np.ndarray]) -> Iterator[tuple[int, int]]:
         m = len(x["rid"])
-        best = np.full(m, 1 << 30)
+        best = np.full(m, none)
         link = np.zeros(m, np.int64)
         rest = np.arange(1, m)
         v = 0
         while len(rest):
-            d = _candidates(x, v, rest, percent)
+            d = np.where(x["comp"][rest] == x["comp"][v], -1, _candidates(x, v, rest, percent))
             nearer = d < best[rest]
             best[rest[nearer]] = d[nearer]
             link[rest[nearer]] = v
             k = int(np.argmin(best[rest]))
             v = int(rest[k])
-            if best[v] < 1 << 30:
+            if 0 <= best[v] < none:
                 yield int(x["rid"][link[v]]), int(x["rid"][v])
             rest = np.delete(rest, k)
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
-        for group in _groups(parts, ["token"]):
+        for group in _groups(parts, keys):
+            if group["comp"].min() == group["comp"].max():
+                continue
             m = len(group["rid"])
             for at in range(0, m, TREE):
                 pick = np.arange(at, min(m, at + TREE))
                 if at:
-                    pick = np.append(0, pick)
+                    pick = np.append(np.linspace(at - TREE, at - 1, SHARED).astype(int), pick)
                 out.extend(tree({k: v[pick] for k, v in group.items()}))
             if len(out) > 1 << 16:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_PAIRS)
@@ -237,9 +245,6 @@ def _trees(percent: int):
     return apply
 
 
-_LIVE = pa.schema([("token", pa.int64()), ("band", pa.int32()), ("rid", pa.int64()), ("comp", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
-
-
 def _tile_pairs(percent: int):
     """Pairs of different components that size, place and signature can't exclude.
 
@@ -359,29 +364,36 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
         ids = pairs.select(F.explode(F.array("x", "y")).alias("rid")).distinct()
         return _stored(_texts(keyed, ids.join(classes.select("rid", "ord", "crc"), "rid")), name)
 
-    # Near copies meet over their first two shingles.
-    front = classes.select("rid", "n", "sig", F.explode(F.slice("prefix", 1, 2)).alias("token"))
+    # Near copies meet over three of their shingles, the least ones under different hashes.
+    front = classes.select("rid", F.col("rid").alias("comp"), "n", "sig", F.explode("front").alias("token"))
     edges = _stored(
-        front.select("token", "n", "rid", "sig").repartition("token").sortWithinPartitions("token", "n", "rid")
-        .mapInArrow(_trees(percent), "x long, y long").distinct(),
+        front.select("token", "n", "rid", "comp", "sig").repartition("token").sortWithinPartitions("token", "n", "rid")
+        .mapInArrow(_trees(percent, ["token"]), "x long, y long").distinct(),
         "tree-edges",
     )
     stars = _stored(components(linked(edges, texts_of(edges, "tree-texts")).toDF("a", "b")).where("node <> root"), "stars")
-    # All prefix shingles, between different components.
-    whole = classes.join(stars.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "rid", F.coalesce("root", "rid").alias("comp"), "n", F.posexplode("prefix").alias("pos", "token")
-    )
-    several = whole.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    live = whole.join(several, "token").withColumn("size", _band(F.col("n"), percent))
-    tiles = live.withColumn("home", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
-        "band", F.when(F.col("home"), F.col("size")).otherwise(F.col("size") - 1)
+
+    def tiles(stars: DataFrame) -> DataFrame:
+        """Rows of all prefix shingles that several components have, by shingle and size band."""
+        whole = classes.join(stars.withColumnRenamed("node", "rid"), "rid", "left").select(
+            "rid", F.coalesce("root", "rid").alias("comp"), "n", F.posexplode("prefix").alias("pos", "token")
+        )
+        several = whole.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+        live = whole.join(several, "token").withColumn("size", _band(F.col("n"), percent))
+        dealt = live.withColumn("home", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
+            "band", F.when(F.col("home"), F.col("size")).otherwise(F.col("size") - 1)
+        )
+        rows = dealt.join(classes.select("rid", "sig"), "rid").select("token", "band", "home", "rid", "comp", "n", "pos", "sig")
+        return rows.repartition("token", "band").sortWithinPartitions("token", "band", F.desc("home"), "n", "rid")
+
+    # First the tree edges of every tile, a linear number.
+    edges = _stored(tiles(stars).mapInArrow(_trees(percent, ["token", "band"]), "x long, y long").distinct(), "tile-edges")
+    found = _stored(linked(edges, texts_of(edges, "edge-texts")), "tile-links")
+    stars = _stored(
+        components(stars.toDF("a", "b").unionByName(found.toDF("a", "b"))).where("node <> root"), "stars"
     )
-    pairs = _stored(
-        tiles.join(classes.select("rid", "sig"), "rid").select("token", "band", "home", "rid", "comp", "n", "pos", "sig")
-        .repartition("token", "band").sortWithinPartitions("token", "band", F.desc("home"), "n", "rid")
-        .mapInArrow(_tile_pairs(percent), "x long, y long").distinct(),
-        "tile-pairs",
-    )
+    # Then all pairs of components that are still different: of pairs that the bounds can't exclude, none is left out.
+    pairs = _stored(tiles(stars).mapInArrow(_tile_pairs(percent), "x long, y long").distinct(), "tile-pairs")
     more = linked(pairs, texts_of(pairs, "tile-texts"))
     links = stars.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more)
     return members, links
@@ -422,7 +434,6 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     Rows with the same doc_id and text are one document and get the same row each.
     Empty tables give an empty result. Whole texts count, of any length.
     """
-    members, links = shingle_links(docs, words, percent)
     named = component_rows(docs, words, percent)
     least = named.groupBy("root").agg(F.min("ord").alias("least"))
     result = named.join(least, "root")
