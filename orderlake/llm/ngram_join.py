@@ -7,13 +7,11 @@ puts shingles of heavily filled hash counters last, so what many documents share
 hardly ever joins. Documents that share such a shingle meet in a tile:
 
 1. Documents with equal sets become one class before anything is joined.
-2. Tiles over three shingles of a document (the least under three hashes), then tiles over all
-   prefix shingles and size bands: members are joined by the shortest spanning trees of their
-   bitmap signatures, and the tree edges are checked exactly. This only shrinks
-   later work: whole groups of near copies become one component through a number of
-   edges that is linear in the group.
-3. Tiles over all prefix shingles and size bands again: members of components that are still
-   different are compared by size, by place in the order and by signature. All
+2. Tiles over prefix shingles and size bands: members are joined by the shortest
+   spanning trees of their bitmap signatures, and the tree edges are checked exactly. This
+   only shrinks later work: whole groups of near copies become one component through a
+   number of edges that is linear in the group.
+3. The same tiles again: members of components that are still different are compared by size, by place in the order and by signature. All
    pairs that these bounds can't exclude are checked exactly.
 
 A signature holds the parity of the number of shingles per hash bit. The bits in which two
@@ -29,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import U64, batches, lower_ascii, mix, rolling, row_slices, text_buffer, word_hashes, words_of
@@ -112,13 +110,13 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(bit, minlength=BITS) & 1).astype(np.uint8))
 
 
-_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, front array<long>, sig binary"
+_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig binary"
 
 
 def _sets(words: int, percent: int, levels: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            n, s1, s2, prefix, front, sig = [], [], [], [], [], []
+            n, s1, s2, prefix, sig = [], [], [], [], []
             for texts in row_slices(part["text"]):
                 grams, offs = shingle_rows(texts, words)
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
@@ -126,21 +124,19 @@ def _sets(words: int, percent: int, levels: np.ndarray):
                     k = len(u)
                     n.append(k)
                     if not k:
-                        s1.append(0), s2.append(0), prefix.append([]), front.append([]), sig.append(b"")
+                        s1.append(0), s2.append(0), prefix.append([]), sig.append(b"")
                         continue
                     m = mix(u)
-                    m2 = mix(m)
                     s1.append(int(m.sum().astype(np.int64)))
-                    s2.append(int(m2.sum().astype(np.int64)))
-                    front.append(np.unique(u[[0, m.argmin(), m2.argmin()]]).view(np.int64))
+                    s2.append(int(mix(m).sum().astype(np.int64)))
                     take = k - -(-percent * k // 100) + 1
                     key = (levels[(u % U64(COUNTERS)).astype(np.int64)].astype(U64) << U64(56)) | (u >> U64(8))
                     prefix.append(u[np.argsort(key, kind="stable")[:take]].view(np.int64))
                     sig.append(signature(u).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part["ord"], part["crc"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(front, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                names=["ord", "crc", "n", "s1", "s2", "prefix", "front", "sig"],
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                names=["ord", "crc", "n", "s1", "s2", "prefix", "sig"],
             )
 
     return apply
@@ -364,36 +360,29 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
         ids = pairs.select(F.explode(F.array("x", "y")).alias("rid")).distinct()
         return _stored(_texts(keyed, ids.join(classes.select("rid", "ord", "crc"), "rid")), name)
 
-    # Near copies meet over three of their shingles, the least ones under different hashes.
-    front = classes.select("rid", F.col("rid").alias("comp"), "n", "sig", F.explode("front").alias("token"))
-    edges = _stored(
-        front.select("token", "n", "rid", "comp", "sig").repartition("token").sortWithinPartitions("token", "n", "rid")
-        .mapInArrow(_trees(percent, ["token"]), "x long, y long").distinct(),
-        "tree-edges",
-    )
-    stars = _stored(components(linked(edges, texts_of(edges, "tree-texts")).toDF("a", "b")).where("node <> root"), "stars")
+    # Rows of prefix shingles that several components have; one shuffle by shingle.
+    tile = Window.partitionBy("token")
+    several = F.min("comp").over(tile) != F.max("comp").over(tile)
 
-    def tiles(stars: DataFrame) -> DataFrame:
-        """Rows of all prefix shingles that several components have, by shingle and size band."""
-        whole = classes.join(stars.withColumnRenamed("node", "rid"), "rid", "left").select(
-            "rid", F.coalesce("root", "rid").alias("comp"), "n", F.posexplode("prefix").alias("pos", "token")
-        )
-        several = whole.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-        live = whole.join(several, "token").withColumn("size", _band(F.col("n"), percent))
-        dealt = live.withColumn("home", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
-            "band", F.when(F.col("home"), F.col("size")).otherwise(F.col("size") - 1)
-        )
+    def shared(rows: DataFrame, name: str) -> DataFrame:
+        return _stored(rows.withColumn("several", several).where("several").drop("several"), name)
+
+    def tiles(rows: DataFrame) -> DataFrame:
+        """Rows by shingle and size band: each at home in its band, and a guest in the next smaller one."""
+        banded = rows.withColumn("size", _band(F.col("n"), percent)).withColumn("home", F.explode(F.array(F.lit(True), F.lit(False))))
+        dealt = banded.withColumn("band", F.when(F.col("home"), F.col("size")).otherwise(F.col("size") - 1))
         rows = dealt.join(classes.select("rid", "sig"), "rid").select("token", "band", "home", "rid", "comp", "n", "pos", "sig")
         return rows.repartition("token", "band").sortWithinPartitions("token", "band", F.desc("home"), "n", "rid")
 
+    live = shared(classes.select("rid", F.col("rid").alias("comp"), "n", F.posexplode("prefix").alias("pos", "token")), "tile-rows")
     # First the tree edges of every tile, a linear number.
-    edges = _stored(tiles(stars).mapInArrow(_trees(percent, ["token", "band"]), "x long, y long").distinct(), "tile-edges")
-    found = _stored(linked(edges, texts_of(edges, "edge-texts")), "tile-links")
-    stars = _stored(
-        components(stars.toDF("a", "b").unionByName(found.toDF("a", "b"))).where("node <> root"), "stars"
-    )
+    edges = _stored(tiles(live).mapInArrow(_trees(percent, ["token", "band"]), "x long, y long").distinct(), "tile-edges")
+    found = linked(edges, texts_of(edges, "edge-texts"))
+    stars = _stored(components(found.toDF("a", "b")).where("node <> root"), "stars")
     # Then all pairs of components that are still different: of pairs that the bounds can't exclude, none is left out.
-    pairs = _stored(tiles(stars).mapInArrow(_tile_pairs(percent), "x long, y long").distinct(), "tile-pairs")
+    live = live.drop("comp").join(stars.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("root", "rid")).drop("root")
+    live = shared(live, "tile-rows")
+    pairs = _stored(tiles(live).mapInArrow(_tile_pairs(percent), "x long, y long").distinct(), "tile-pairs")
     more = linked(pairs, texts_of(pairs, "tile-texts"))
     links = stars.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more)
     return members, links
