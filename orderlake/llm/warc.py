@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from orderlake.session import scratch_path
 
-#: Payload bytes aimed at per archive file.
-ARCHIVE_BYTES = 16 << 20
+#: Records of an archive file at most.
+ARCHIVE_RECORDS = 4096
 MAX_HEADER = 1 << 16
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -165,8 +165,6 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 1000) -> None:
         rows.where(F.col("n") >= min_revisit).groupBy("digest", "n")
         .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
     )
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    files = max(1, -(-total // ARCHIVE_BYTES))
     linked = rows.join(kept, ["digest", "n"], "left").withColumn(
         "refers_to", F.when(F.col("page_id").isNotNull() & (F.col("page_id") != F.col("first")), F.col("first"))
     )
@@ -182,7 +180,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 1000) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array([member(record(*x))[:-1] for x in args], pa.binary())], names=["member"])
 
     members = linked.select("page_id", "url", "payload", "digest", "n", "refers_to").mapInArrow(pack, "member binary")
-    members.repartition(int(files)).select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
+    writer = members.select(F.col("member").cast("string").alias("value")).write
+    writer.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
 
 
 def _read(spark: SparkSession, path: str, wanted: str, ddl: str) -> DataFrame:
