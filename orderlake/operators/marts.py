@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake import schema
 from orderlake.functions import avg2, rfm_segment
-from orderlake.operators.ranking import distributed_ntile, distributed_rank, sort_key
+from orderlake.operators.ranking import distributed_rank, stored_rows, with_ntiles
 
 CUSTOMER_KEYS = ["customer_id", "customer_name", "region"]
 PRODUCT_KEYS = ["product_id", "product_name", "category"]
@@ -93,9 +93,14 @@ def rfm_base(df: DataFrame) -> DataFrame:
 
 
 def with_recency(base: DataFrame) -> DataFrame:
-    """Whole days from each last order to the latest order in the data."""
-    latest = base.agg(F.max("last_order_date")).scalar()
-    return base.withColumn("recency_days", F.datediff(latest, F.col("last_order_date")))
+    """Whole days from each last order to the latest order in the data.
+
+    The base is stored first: the customers are aggregated once, and the latest
+    date is read from one column of the stored table.
+    """
+    stored, _ = stored_rows(base, "rfm-base")
+    latest = stored.agg(F.max("last_order_date")).scalar()
+    return stored.withColumn("recency_days", F.datediff(latest, F.col("last_order_date")))
 
 
 def rfm_scores(
@@ -112,29 +117,26 @@ def rfm_scores(
     marks the weakest customers; ``scoring="standard"`` uses ``6 - tile``.
 
     Recency ascending is the same order as the calendar day of the last
-    order descending, so the first pass sorts on that day; the latest order
-    time is taken in that same pass and recency follows from it.
+    order descending, so that pass sorts on the day. The customers are
+    stored once; each score is a narrow pass over its own keys.
     """
     if scoring not in ("reference", "standard"):
         raise ValueError(f"unknown scoring {scoring!r}")
-    ties = [sort_key(c) for c in CUSTOMER_KEYS]
+    stored, rows = stored_rows(base, "rfm-base")
+    latest = stored.agg(F.max("last_order_date")).scalar()
+    ties = [(F.col(c), "asc", "first") for c in CUSTOMER_KEYS]
     tiles = schema.RFM_TILES
-    passes = [
-        ("r_score", [F.to_date("last_order_date").desc_nulls_first()]),
-        ("f_score", [sort_key("frequency", "desc")]),
-        ("m_score", [sort_key("monetary", "desc")]),
-    ]
-    scored = base
-    for name, order in passes:
-        latest = {"_latest": ("max", "last_order_date")} if name == "r_score" else None
-        scored = distributed_ntile(scored, tiles, order + ties, name, num_partitions, latest)
-        if latest:
-            scored = scored.withColumn(
-                "recency_days", F.datediff(F.col("_latest"), F.col("last_order_date"))
-            ).drop("_latest")
+    passes = {
+        "r_score": [(F.to_date("last_order_date"), "desc", "first"), *ties],
+        "f_score": [(F.col("frequency"), "desc", "last"), *ties],
+        "m_score": [(F.col("monetary"), "desc", "last"), *ties],
+    }
+    scored = with_ntiles(stored, rows, tiles, passes).withColumn(
+        "recency_days", F.datediff(latest, F.col("last_order_date"))
+    )
     if scoring == "standard":
         scored = scored.withColumns(
-            {n: (F.lit(tiles + 1) - F.col(n)).cast("int") for n, _ in passes}
+            {n: (F.lit(tiles + 1) - F.col(n)).cast("int") for n in passes}
         )
     return scored.withColumn(
         "rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score")

@@ -11,7 +11,7 @@ from sampling, so two executions of the range shuffle can cut the data
 differently, and Spark does not reliably reuse one shuffle for both
 (column pruning gives the counting branch its own exchange). The numbered
 rows are therefore written once as a table in the session's checkpoint
-folder (or checkpointed), and both the counts and the positions are read
+folder, and both the counts and the positions are read
 from that one copy; a lost executor cannot make them disagree.
 """
 
@@ -19,10 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from orderlake.session import checkpoint_dir, scratch_path
+from orderlake.session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -39,50 +39,30 @@ def sort_key(name: str, direction: str = "asc", nulls: str | None = None) -> Col
     }[(direction, nulls)]
 
 
-def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    """Explicit count, else sized from the plan's estimate.
+#: Rows per range partition when no count is given.
+ROWS_PER_TASK = 1_000_000
 
-    Range partitions are fixed (adaptive execution does not merge them). The
-    ceiling is the session's initial shuffle partition count; below it, one
-    partition per advisory partition size of the optimizer's size estimate.
-    Estimates are upper bounds (joins without statistics estimate very
-    high), so this only shrinks the count for inputs known to be small. On
-    large inputs set ``spark.sql.adaptive.coalescePartitions.
-    initialPartitionNum`` (or pass ``num_partitions``) high enough.
-    """
-    if num_partitions:
-        return num_partitions
+
+def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once under the checkpoint folder; the table read back and its row count."""
     spark = df.sparkSession
-    conf = spark.conf
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    ceiling = int(initial or conf.get("spark.sql.shuffle.partitions"))
-    try:
-        advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-            conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-        )
-        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM access (e.g. Spark Connect): use the ceiling
-        return ceiling
-    return max(1, min(ceiling, -(-estimate // max(int(advisory), 1))))
+    path = scratch_path(spark, name)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
 
 
-def _materialize(df: DataFrame, cut: str) -> DataFrame:
-    """Write ``df`` once and read it back, cutting its lineage.
+def partitions_for(rows: int) -> int:
+    """Range partitions for a counted number of rows: no ceiling, and never a single task."""
+    return max(2, -(-rows // ROWS_PER_TASK))
 
-    ``cut="table"`` writes a Parquet table under the checkpoint folder:
-    compressed and columnar, so the counting pass reads one long per row.
-    ``cut="checkpoint"`` uses ``Dataset.checkpoint`` (whole serialized rows;
-    a little faster on tiny inputs, much more I/O on large ones).
-    """
-    spark = df.sparkSession
-    if cut == "checkpoint":
-        checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    if cut != "table":
-        raise ValueError(f"unknown cut {cut!r}")
-    path = scratch_path(spark, "positions")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def _sized(df: DataFrame, num_partitions: int | None) -> tuple[DataFrame, int]:
+    """``df`` and the range partition count; without one the rows are stored and counted."""
+    if num_partitions:
+        return df, num_partitions
+    stored, rows = stored_rows(df, "ranking-input")
+    return stored, partitions_for(rows)
 
 
 def with_global_position(
@@ -92,7 +72,6 @@ def with_global_position(
     total_col: str = "_total",
     num_partitions: int | None = None,
     totals: dict[str, tuple[str, str]] | None = None,
-    cut: str = "table",
 ) -> DataFrame:
     """Add the 0-based position of each row under ``order`` and the row count.
 
@@ -107,11 +86,12 @@ def with_global_position(
     if not order:
         raise ValueError("with_global_position needs at least one sort key")
     columns = df.columns
-    numbered = _materialize(
-        df.repartitionByRange(_partition_count(df, num_partitions), *order)
+    df, parts = _sized(df, num_partitions)
+    numbered, _ = stored_rows(
+        df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_rowid", F.monotonically_increasing_id()),
-        cut,
+        "positions",
     )
     part = F.shiftright(F.col("_rowid"), _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND((1 << _LOCAL_BITS) - 1)
@@ -170,26 +150,54 @@ def distributed_ntile(
     """``ntile(n) over (order by <order>)`` computed across partitions.
 
     ``totals`` is passed to :func:`with_global_position`; its columns are kept.
-    When the input fits one partition (by the optimizer's upper-bound
-    estimate) Spark's own window gives the same result with fewer jobs.
     """
     if not order:
         raise ValueError("distributed_ntile needs at least one sort key")
-    if _partition_count(df, num_partitions) == 1:
-        whole = Window.partitionBy()
-        combine = {"min": F.min, "max": F.max, "sum": F.sum}
-        return df.withColumns(
-            {
-                **{name: combine[fn](F.col(c)).over(whole) for name, (fn, c) in (totals or {}).items()},
-                out_col: F.ntile(n).over(Window.orderBy(*order)),
-            }
-        )
     placed = with_global_position(df, order, num_partitions=num_partitions, totals=totals)
     return placed.withColumn(
         out_col, ntile_of(F.col("_pos"), F.col("_total"), n)
     ).drop("_pos", "_total")
 
 
+def _before(key: tuple[Column, str, str], row: Column, bound: Column) -> Column:
+    """Whether ``row`` comes before ``bound`` in the order of one key."""
+    _, direction, nulls = key
+    ahead = row < bound if direction == "asc" else row > bound
+    null_ahead = (row.isNull() & bound.isNotNull()) if nulls == "first" else (row.isNotNull() & bound.isNull())
+    return null_ahead | F.coalesce(ahead, F.lit(False))
+
+
+def _reached(order: list[tuple[Column, str, str]], bound: list[Column]) -> Column:
+    """Whether a row doesn't come before a bound, key by key."""
+    result = F.lit(True)
+    for key, value in reversed(list(zip(order, bound))):
+        result = F.when(_before(key, key[0], value), False).when(_before(key, value, key[0]), True).otherwise(result)
+    return result
+
+
+def with_ntiles(stored: DataFrame, rows: int, n: int, passes: dict[str, list[tuple[Column, str, str]]]) -> DataFrame:
+    """Add ``ntile(n)`` columns over several total orders to a stored table of ``rows`` rows.
+
+    Each order is a list of (expression, "asc" or "desc", nulls "first" or "last"). A pass sorts only its own
+    keys across range partitions and finds the first key of each tile: ``n - 1`` rows. The rows
+    themselves aren't moved: their tile is the number of bounds that they don't come before.
+    """
+    size, extra = divmod(rows, n)
+    starts = [t * size + min(t, extra) for t in range(1, n)]
+    out = {}
+    for name, order in passes.items():
+        cols = [f"_k{i}" for i in range(len(order))]
+        keys = stored.select(*[key[0].alias(c) for key, c in zip(order, cols)])
+        placed = with_global_position(keys, [sort_key(c, d, nulls) for c, (_, d, nulls) in zip(cols, order)], num_partitions=partitions_for(rows))
+        kinds = [placed.schema[c].dataType for c in cols]
+        tile = F.lit(1)
+        for row in placed.where(F.col("_pos").isin(starts)).select(*cols).collect():  # at most n - 1 rows
+            bound = [F.lit(row[c]).cast(kind) for c, kind in zip(cols, kinds)]
+            tile = tile + _reached(order, bound).cast("int")
+        out[name] = tile.cast("int")
+    return stored.withColumns(out)
+
+
 def distributed_rank(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -212,9 +220,6 @@ def distributed_rank(
         raise ValueError("distributed_rank needs at least one ranking key")
     groups = list(partition_by)
     tie_cols = groups + [c for c, _ in order_by]
-    if _partition_count(df, num_partitions) == 1:  # fits one task anyway
-        window = Window.partitionBy(*groups).orderBy(*[sort_key(c, d) for c, d in order_by])
-        return df.withColumn(out_col, F.rank().over(window))
     order = (
         [sort_key(c) for c in groups]
         + [sort_key(c, d) for c, d in order_by]

@@ -279,11 +279,7 @@ def _synthetic_sql() -> str:
     from orderlake.sources import synthetic as syn
 
     def h(field: str) -> str:
-        m, a = syn.MODULUS, syn.MULTIPLIER
-        x = f"(id % {m})"
-        x = f"(({x} * {a} + {syn.FIELD_SALT[field]}) % {m})"
-        x = f"(({x} * {a} + {syn.DEFAULT_SEED}) % {m})"
-        return f"(({x} * {a}) % {m})"
+        return f"(('0x' || substr(md5(CAST(id AS VARCHAR) || ':{field}:{syn.DEFAULT_SEED}'), 1, {syn.DRAW_DIGITS}))::BIGINT)"
 
     def pick(values, field: str) -> str:
         items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
@@ -473,3 +469,8 @@ ORACLE: dict[str, str] = {
     "layer_checks": _checks_sql(),
     "synthetic_orders": _synthetic_sql(),
 }
+# What the jobs store from landed files: the same rows, without each run's metadata.
+ORACLE["stored_silver"] = (
+    f"SELECT * EXCLUDE (_ingested_at, _source_path, _pipeline_run_id) FROM ({ORACLE['silver_orders']})"
+)
+ORACLE |= {f"stored_{m}": ORACLE[m] for m in ("sales_by_region", "product_performance", "customer_segments")}

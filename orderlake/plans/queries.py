@@ -39,7 +39,6 @@ from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.session import scratch_path
 from orderlake.sources.csv import read_raw_csv, write_raw_csv
-from orderlake.sources.inventory import file_inventory
 from orderlake.sources.parquet import read_bronze, read_silver
 from orderlake.sources.sinks import write_bronze, write_corrupt_records, write_silver
 from orderlake.sources.synthetic import synthetic_orders
@@ -172,7 +171,7 @@ def silver_partition_counts(spark, d):
 
 
 def completed(spark, d):
-    return _no_clock(_completed(spark, d))
+    return _no_clock(read_silver(spark, _written_silver(spark, d), completed_only=True))
 
 
 def sales_by_region(spark, d):
@@ -271,6 +270,26 @@ def layer_checks(spark, d):
     return validate_layers(spark, paths.bronze, paths.silver, paths.gold)
 
 
+def _stored_lake(spark, d) -> LayerPaths:
+    paths = _layer_paths(spark)
+    write_raw_csv(raw_orders_from_tables(spark, d), paths.source.rsplit("/", 1)[0])
+    run_pipeline(spark, None, paths, ingested_at=FIXED_RUN_TIME)
+    return paths
+
+
+def stored_silver(spark, d):
+    """What the jobs store as silver, from landed files."""
+    stored = read_silver(spark, _stored_lake(spark, d).silver, completed_only=False)
+    return _no_clock(stored).drop("_ingested_at", "_source_path", "_pipeline_run_id")
+
+
+def _stored_mart(name: str) -> Query:
+    def query(spark, d):
+        return _no_clock(spark.read.parquet(f"{_stored_lake(spark, d).gold}/{name}"))
+
+    return query
+
+
 def stream_ingest(spark, d):
     """File-stream ingestion run twice over the same landed files: the second
     run finds nothing new, so bronze holds each valid row once. Metadata
@@ -282,10 +301,6 @@ def stream_ingest(spark, d):
     return read_bronze(spark, f"{root}/bronze").drop(*schema.METADATA_COLUMNS)
 
 
-def inventory(spark, d):
-    return file_inventory(spark, d, "*.parquet")
-
-
 def synthetic(spark, d):
     ids = spark.read.parquet(f"{d}/lineitem.parquet").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")
@@ -363,6 +378,7 @@ REGISTRY: dict[str, Query] = {
     "layer_counts": layer_counts,
     "layer_checks": layer_checks,
     "stream_ingest": stream_ingest,
-    "file_inventory": inventory,
     "synthetic_orders": synthetic,
+    "stored_silver": stored_silver,
+    **{f"stored_{m}": _stored_mart(m) for m in ("sales_by_region", "product_performance", "customer_segments")},
 }

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
+    DecimalType,
     DoubleType,
     IntegerType,
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 # Raw order layout. CSV binds by position, so the order of fields matters.
@@ -55,6 +58,32 @@ SILVER_EXTRA_COLUMNS = [
     "_transformed_at",
 ]
 SILVER_COLUMNS = BRONZE_COLUMNS + SILVER_EXTRA_COLUMNS
+BRONZE_SCHEMA = StructType(
+    RAW_SCHEMA.fields
+    + [
+        StructField("_ingested_at", TimestampType()),
+        StructField("_source_path", StringType()),
+        StructField("_pipeline_run_id", StringType()),
+    ]
+)
+_SILVER_TYPES = {
+    "unit_price": DecimalType(12, 2),
+    "discount_pct": DecimalType(5, 2),
+    "discount_amount": DecimalType(14, 2),
+    "gross_revenue": DecimalType(14, 2),
+    "net_revenue": DecimalType(14, 2),
+    "order_date": TimestampType(),
+}
+SILVER_SCHEMA = StructType(
+    [StructField(f.name, _SILVER_TYPES.get(f.name, f.dataType)) for f in BRONZE_SCHEMA.fields]
+    + [
+        StructField("revenue_bucket", StringType()),
+        StructField("is_discounted", BooleanType()),
+        StructField("order_quarter", IntegerType()),
+        StructField("order_week", IntegerType()),
+        StructField("_transformed_at", TimestampType()),
+    ]
+)
 
 # Money is carried as exact decimals from the silver layer on.
 UNIT_PRICE_TYPE = "decimal(12,2)"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    # Ranking checkpoints are removed once their DataFrames are gone.
+    # Checkpoints are removed once their DataFrames are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -57,17 +60,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_OWNED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("owned_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint folder for intermediate tables."""
-    return f"{checkpoint_dir(spark)}/orderlake-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/orderlake-scratch/{name}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file in whatever store it is in; returns whether it was there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(where) and fs.delete(where, True))
+
+
+@contextlib.contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that this thread asks for inside, also after an error.
+
+    Nothing made inside may still be read afterwards.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete_path(spark, path)
 
 
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete this application's scratch folder (positions tables, landed
     test files). Call it once no DataFrame still reads from it, e.g. after a
     pipeline's writes have finished. Returns whether anything was removed."""
-    root = f"{checkpoint_dir(spark)}/orderlake-scratch"
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(path) and fs.delete(path, True))
+    return delete_path(spark, f"{checkpoint_dir(spark)}/orderlake-scratch")

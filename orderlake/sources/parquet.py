@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake import schema
 from orderlake.operators.marts import completed_orders
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Bronze Parquet with ``order_year``/``order_month`` from folder names."""
-    return spark.read.parquet(bronze_path)
+    """Bronze Parquet; an empty layer gives no rows."""
+    return spark.read.schema(schema.BRONZE_SCHEMA).parquet(bronze_path)
 
 
 def read_silver(spark: SparkSession, silver_path: str, completed_only: bool = True) -> DataFrame:
-    """Silver Parquet; by default only completed orders (pushed to the scan)."""
-    df = spark.read.parquet(silver_path)
+    """Silver Parquet; by default only completed orders (pushed to the scan). An empty layer gives no rows."""
+    df = spark.read.schema(schema.SILVER_SCHEMA).parquet(silver_path)
     return completed_orders(df) if completed_only else df

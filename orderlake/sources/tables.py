@@ -28,58 +28,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, unless_broadcast: bool = False) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan yields fewer splits
-    than there are task slots.
-
-    A fact table stored as one large row group is read by a single task,
-    and everything up to the next shuffle would run there. Large tables
-    stored as many files already have enough splits and pass unchanged.
-    With ``unless_broadcast`` a table small enough to be broadcast is left
-    alone: it would only be collected as a join's build side.
-    """
-    try:
-        spark = df.sparkSession
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-        if unless_broadcast:
-            threshold = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-                spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-            )
-            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-            if 0 <= int(threshold) and size <= int(threshold):
-                return df
-    except Exception:  # no RDD or JVM access (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(slots)
-
-
-def raw_orders_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders_from_tables(spark: SparkSession, sf_dir: str, scan_tasks: int | None = None) -> DataFrame:
     """All line items as raw order rows (strings, ints and doubles).
 
     Orders are joined to customer, nation and region first (the smaller
     side), then to line items on the order key, then to parts, so line
     item rows are shuffled at most twice. Small dimensions are broadcast by
-    Catalyst from their measured size.
+    Catalyst from their measured size. ``scan_tasks`` deals the orders out to so many
+    tasks, for tables stored as a few large row groups; by default the scan's splits stay.
     """
     t = lambda name: _table(spark, sf_dir, name)
-    # The order side streams through the join chain below; line items stream
-    # only when they are too large to broadcast.
-    line = spread(
-        t("lineitem").select(
-            "l_orderkey",
-            "l_partkey",
-            "l_linenumber",
-            "l_quantity",
-            "l_discount",
-            "l_returnflag",
-            "l_shipdate",
-        ),
-        unless_broadcast=True,
+    line = t("lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_discount",
+        "l_returnflag",
+        "l_shipdate",
     )
+    head = t("orders")
     orders = (
-        spread(t("orders"))
+        (head.repartition(scan_tasks) if scan_tasks else head)
         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
         .join(t("customer").select("c_custkey", "c_name", "c_nationkey"),
               F.col("o_custkey") == F.col("c_custkey"))

@@ -8,12 +8,20 @@ stops, so the job can be scheduled like a batch job.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schema
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import validate_schema
+from orderlake.session import delete_path
+from orderlake.sources.parquet import read_bronze
+from orderlake.sources.sinks import write_bronze
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
 
 
 def ingest_new_files(
@@ -25,11 +33,11 @@ def ingest_new_files(
 ) -> int:
     """Ingest raw CSV files that arrived since the last run; return rows written.
 
-    Rows get the same validation and metadata as the batch job; the
-    ingestion time is the micro-batch time, truncated to the second. The
-    output folder is a Parquet file sink (exactly-once through its commit
-    log), partitioned like bronze. ``checkpoint_location`` must be on
-    shared storage.
+    Rows get the same validation and metadata as the batch job, and batches are written as the
+    batch job writes them, so both can append to the same bronze folder. The ingestion time is the
+    batch's, and the run id names the stream and the batch. A batch that is run again after a
+    failure first removes the files it left: they hold rows of that run id alone.
+    ``checkpoint_location`` must be on shared storage.
     """
     reader = (
         spark.readStream.schema(schema.RAW_SCHEMA_WITH_CORRUPT)
@@ -40,25 +48,30 @@ def ingest_new_files(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(landing_dir)
-    valid = validate_schema(raw).drop(schema.CORRUPT_COLUMN)
-    enriched = add_ingestion_metadata(
-        valid, landing_dir, ingested_at=F.date_trunc("second", F.current_timestamp())
-    )
-    enriched = enriched.observe("bronze_rows", F.count(F.lit(1)).alias("rows"))
+    written: list[int] = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        run = f"stream-{query_id(session)}-{number}"
+        # Only the first batch of a run can be a repeated one.
+        if not written and _exists(session, bronze_dir):
+            left = read_bronze(session, bronze_dir).where(F.col("_pipeline_run_id") == run)
+            for row in left.select(F.input_file_name().alias("f")).distinct().toLocalIterator():
+                delete_path(session, row["f"])
+        valid = validate_schema(batch).drop(schema.CORRUPT_COLUMN)
+        rows = add_ingestion_metadata(valid, landing_dir).withColumn("_pipeline_run_id", F.lit(run))
+        written.append(write_bronze(rows, bronze_dir))
+
+    def query_id(session: SparkSession) -> str:
+        return session.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
     query = (
-        enriched.writeStream.format("parquet")
-        .option("path", bronze_dir)
+        raw.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint_location)
-        .partitionBy(*schema.BRONZE_PARTITIONS)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return sum(
-        int(p["observedMetrics"]["bronze_rows"]["rows"])
-        for p in query.recentProgress
-        if "bronze_rows" in p.get("observedMetrics", {})
-    )
+    return sum(written)

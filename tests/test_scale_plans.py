@@ -57,17 +57,3 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_dir):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = glob.glob(f"{tmp_dir}/silver/order_year=2024/order_month=3/category=*/*.parquet")
     assert len(files) > 1
-
-
-def test_spread_only_when_scans_are_too_few(spark, tmp_dir):
-    from orderlake.sources.tables import spread
-
-    slots = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=slots * 2)
-    assert spread(many) is many  # enough splits already
-    one = spark.range(0, 1000, numPartitions=1).toDF("id")
-    one.write.parquet(f"{tmp_dir}/one")
-    single = spark.read.parquet(f"{tmp_dir}/one")
-    assert spread(single).rdd.getNumPartitions() == slots
-    # small enough to broadcast: left alone, it would only be collected
-    assert spread(single, unless_broadcast=True) is single
