@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Distinct pre-tokens whose results a Python worker keeps.
-KEPT = 3 << 17
+KEPT = 3 << 16
 #: Longer pre-tokens aren't kept.
 KEPT_CHARS = 64
 _LEAF = 9  # ranks per leaf bitmap, as a power of two
