@@ -224,7 +224,8 @@ def _trees(percent: int, keys: list[str]):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for group in _groups(parts, keys):
-            if group["comp"].min() == group["comp"].max():
+            # Guests alone meet as home rows of their own band.
+            if group["comp"].min() == group["comp"].max() or not group["home"].any():
                 continue
             m = len(group["rid"])
             for at in range(0, m, TREE):
