@@ -8,6 +8,8 @@ stops, so the job can be scheduled like a batch job.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,11 +50,13 @@ def ingest_new_files(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(landing_dir)
+    # The checkpoint is what makes a stream: its path tells streams apart.
+    stream = hashlib.sha256(checkpoint_location.encode()).hexdigest()[:16]
     written: list[int] = []
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        run = f"stream-{query_id(session)}-{number}"
+        run = f"stream-{stream}-{number}"
         # Only the first batch of a run can be a repeated one.
         if not written and _exists(session, bronze_dir):
             left = read_bronze(session, bronze_dir).where(F.col("_pipeline_run_id") == run)
@@ -62,9 +66,6 @@ def ingest_new_files(
         rows = add_ingestion_metadata(valid, landing_dir).withColumn("_pipeline_run_id", F.lit(run))
         written.append(write_bronze(rows, bronze_dir))
 
-    def query_id(session: SparkSession) -> str:
-        return session.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-
     query = (
         raw.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint_location)
