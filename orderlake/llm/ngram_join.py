@@ -16,8 +16,10 @@ hardly ever joins. Documents that share such a shingle meet in a tile:
 
 A signature holds the parity of the number of shingles per hash bit. The bits in which two
 signatures differ are at most the shingles that only one set has, so
-``(|A| + |B| - differing bits) / 2`` bounds the overlap from above. Exact checks intersect
-sorted arrays of 64-bit shingle fingerprints.
+``(|A| + |B| - differing bits) / 2`` bounds the overlap from above. In tiles signatures are short
+and fill up in long documents, so the pairs found are first compared by signatures as wide as
+their sets, and only those left are checked exactly, by intersecting sorted arrays of
+64-bit shingle fingerprints.
 """
 
 from __future__ import annotations
@@ -110,13 +112,29 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(bit, minlength=BITS) & 1).astype(np.uint8))
 
 
-_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig binary"
+def wide_signature(grams: np.ndarray) -> bytes:
+    """Parity bitmap of at least a bit per member; empty where the tiles' signature has as many."""
+    if len(grams) <= BITS:
+        return b""
+    size = 1 << (len(grams) - 1).bit_length()
+    bit = (mix(grams) & U64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two wide signatures differ, the wider one folded to the narrower one's size."""
+    size = min(len(a), len(b))
+    u, v = (np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size)) for x in (a, b))
+    return int(np.bitwise_count(u ^ v).sum())
+
+
+_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig binary, wide binary"
 
 
 def _sets(words: int, percent: int, levels: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            n, s1, s2, prefix, sig = [], [], [], [], []
+            n, s1, s2, prefix, sig, wide = [], [], [], [], [], []
             for texts in row_slices(part["text"]):
                 grams, offs = shingle_rows(texts, words)
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
@@ -124,7 +142,7 @@ def _sets(words: int, percent: int, levels: np.ndarray):
                     k = len(u)
                     n.append(k)
                     if not k:
-                        s1.append(0), s2.append(0), prefix.append([]), sig.append(b"")
+                        s1.append(0), s2.append(0), prefix.append([]), sig.append(b""), wide.append(b"")
                         continue
                     m = mix(u)
                     s1.append(int(m.sum().astype(np.int64)))
@@ -133,10 +151,11 @@ def _sets(words: int, percent: int, levels: np.ndarray):
                     key = (levels[(u % U64(COUNTERS)).astype(np.int64)].astype(U64) << U64(56)) | (u >> U64(8))
                     prefix.append(u[np.argsort(key, kind="stable")[:take]].view(np.int64))
                     sig.append(signature(u).tobytes())
+                    wide.append(wide_signature(u))
             yield pa.RecordBatch.from_arrays(
                 [part["ord"], part["crc"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                names=["ord", "crc", "n", "s1", "s2", "prefix", "sig"],
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array(wide, pa.binary())],
+                names=["ord", "crc", "n", "s1", "s2", "prefix", "sig", "wide"],
             )
 
     return apply
@@ -184,7 +203,7 @@ def _groups(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[s
         yield arrays(left)
 
 
-def _need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+def _need(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray | int:
     """Least overlap of linked sets of these sizes."""
     return -(-percent * (n + m) // (100 + percent))
 
@@ -269,6 +288,19 @@ def _tile_pairs(percent: int):
     return apply
 
 
+def _closer(percent: int):
+    """Pairs that the wide signatures can't exclude either."""
+
+    def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keep = []
+            for n, m, a, b in zip(*(part[c].to_pylist() for c in ("nx", "ny", "wx", "wy"))):
+                keep.append(not a or not b or (n + m - differing_bits(a, b)) // 2 >= _need(n, m, percent))
+            yield pa.RecordBatch.from_arrays([part["x"], part["y"]], schema=_PAIRS).filter(pa.array(keep, pa.bool_()))
+
+    return apply
+
+
 def _check(words: int, percent: int):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -357,6 +389,11 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
             .mapInArrow(_check(words, percent), "x long, y long")
         )
 
+    def closer(pairs: DataFrame) -> DataFrame:
+        side = lambda c: classes.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
+        both = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "wx", "wy")
+        return both.mapInArrow(_closer(percent), "x long, y long")
+
     def texts_of(pairs: DataFrame, name: str) -> DataFrame:
         ids = pairs.select(F.explode(F.array("x", "y")).alias("rid")).distinct()
         return _stored(_texts(keyed, ids.join(classes.select("rid", "ord", "crc"), "rid")), name)
@@ -377,13 +414,13 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
 
     live = shared(classes.select("rid", F.col("rid").alias("comp"), "n", F.posexplode("prefix").alias("pos", "token")), "tile-rows")
     # First the tree edges of every tile, a linear number.
-    edges = _stored(tiles(live).mapInArrow(_trees(percent, ["token", "band"]), "x long, y long").distinct(), "tile-edges")
+    edges = _stored(closer(tiles(live).mapInArrow(_trees(percent, ["token", "band"]), "x long, y long").distinct()), "tile-edges")
     found = linked(edges, texts_of(edges, "edge-texts"))
     stars = _stored(components(found.toDF("a", "b")).where("node <> root"), "stars")
     # Then all pairs of components that are still different: of pairs that the bounds can't exclude, none is left out.
     live = live.drop("comp").join(stars.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("root", "rid")).drop("root")
     live = shared(live, "tile-rows")
-    pairs = _stored(tiles(live).mapInArrow(_tile_pairs(percent), "x long, y long").distinct(), "tile-pairs")
+    pairs = _stored(closer(tiles(live).mapInArrow(_tile_pairs(percent), "x long, y long").distinct()), "tile-pairs")
     more = linked(pairs, texts_of(pairs, "tile-texts"))
     links = stars.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more)
     return members, links

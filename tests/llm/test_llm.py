@@ -85,6 +85,40 @@ def test_components_equal_brute_force(docs):
     assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=last) == sorted(set(parent.values()), key=last)
 
 
+def test_wide_signatures_never_exclude_a_link():
+    rng = np.random.default_rng(3)
+    for size in (513, 1000, 1025, 4000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        for changed in (0, 1, size // 20, size // 2, size):
+            b = np.unique(np.append(a[changed:], rng.integers(0, 1 << 63, changed + 30).astype(np.uint64)))
+            u, v = ngram_join.wide_signature(a), ngram_join.wide_signature(b)
+            assert ngram_join.differing_bits(u, v) == ngram_join.differing_bits(v, u) <= len(np.setxor1d(a, b))
+    assert ngram_join.wide_signature(a[:512]) == b""
+
+
+def test_long_texts_link_as_their_sets_say(spark):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    texts = [" ".join(base)]
+    # Shingle overlap falls by up to three for each word replaced: some copies lie on either side of 0.9.
+    for changed in (1, 30, 50, 52, 53, 60, 400):
+        words = list(base)
+        for i in rng.sample(range(3000), changed):
+            words[i] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    texts += [" ".join(base[:2720]), " ".join(f"v{rng.randrange(10**6)}" for _ in range(3000))]
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(str.split, texts)]
+    least = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 90 * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+    assert 2 < len(set(least)) < len(sets)
+    got = ngram_join.similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), least[i]) for i, s in enumerate(sets)}
+
+
 def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     rng = random.Random(2)
     rows = [(i, " w" * rng.randint(1, 9), rng.choice(["a", "b", "é", None])) for i in range(900)]
