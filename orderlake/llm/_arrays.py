@@ -7,7 +7,8 @@ with a few vector operations and no Python loop over characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,21 @@ _BASES = (U64(0x5851F42D4C957F2D), U64(0x2545F4914F6CDD1D))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 #: Bytes past the end that eight-byte reads may touch.
 PAD = 128
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """An object that this Python worker keeps between tasks; at most one at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Free what another operator's tasks left in this worker, which Spark uses again."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from orderlake.llm._arrays import held
+
 #: Distinct pre-tokens whose results a Python worker keeps.
 KEPT = 3 << 16
 #: Longer pre-tokens aren't kept.
@@ -154,14 +156,9 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec, read once."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+    """The worker's codec, read once; kept until another operator's tasks come."""
+    return held((path, pattern), lambda: Codec(path, pattern))
 
 
 def _map(docs: DataFrame, path: Callable[[], str], pattern: str, name: str, kind: pa.DataType, ddl: str, row) -> DataFrame:

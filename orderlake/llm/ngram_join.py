@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm._arrays import U64, batches, lower_ascii, mix, rolling, row_slices, text_buffer, word_hashes, words_of
+from orderlake.llm._arrays import U64, batches, lower_ascii, mix, release, rolling, row_slices, text_buffer, word_hashes, words_of
 from orderlake.llm.components import components
 from orderlake.session import scratch_path
 
@@ -77,6 +77,7 @@ def _counters(words: int):
     chunk = 1 << 12
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total = np.zeros(COUNTERS, np.int64)
         for part in parts:
             for texts in row_slices(part["text"]):
@@ -133,6 +134,7 @@ _SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig bi
 
 def _sets(words: int, percent: int, levels: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             n, s1, s2, prefix, sig, wide = [], [], [], [], [], []
             for texts in row_slices(part["text"]):
@@ -241,6 +243,7 @@ def _trees(percent: int, keys: list[str]):
             rest = np.delete(rest, k)
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         out: list[tuple[int, int]] = []
         for group in _groups(parts, keys):
             # Guests alone meet as home rows of their own band.
@@ -268,6 +271,7 @@ def _tile_pairs(percent: int):
     """
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for x in _groups(parts, ["token", "band"]):
             if x["comp"].min() == x["comp"].max():
                 continue
@@ -292,6 +296,7 @@ def _closer(percent: int):
     """Pairs that the wide signatures can't exclude either."""
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             keep = []
             for n, m, a, b in zip(*(part[c].to_pylist() for c in ("nx", "ny", "wx", "wy"))):
@@ -303,6 +308,7 @@ def _closer(percent: int):
 
 def _check(words: int, percent: int):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         unzip = zstandard.ZstdDecompressor()
         known: tuple[int | None, np.ndarray] = (None, np.zeros(0, U64))
 
@@ -332,6 +338,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     zip_ = zstandard.ZstdCompressor(level=1)
     for part in parts:
         raw, offs = text_buffer(part["text"])

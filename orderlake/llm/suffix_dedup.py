@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, signed, text_buffer
+from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, release, signed, text_buffer
 from orderlake.session import scratch_path
 
 GRAM = 16
@@ -154,6 +154,7 @@ def _ranks(ords: np.ndarray, ties: np.ndarray) -> np.ndarray:
 
 def _run_rows(min_len: int, hot: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             raw, offs = text_buffer(part["text"])
             found = list(sampled_runs(raw, offs, min_len))
@@ -182,6 +183,7 @@ def _frequent(min_len: int, share: int):
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             raw, offs = text_buffer(part["text"])
             found = [(x[0], x[1]) for x in sampled_runs(raw, offs, min_len)]
@@ -206,6 +208,7 @@ def _block_rows(min_len: int):
     core = min_len - BLOCK + 1
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         unzip = zstandard.ZstdDecompressor()
         for part in parts:
             found = []
@@ -271,6 +274,7 @@ def _as_long(x: int) -> int:
 
 
 def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     schema = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("doc_id", pa.int64()), ("z", pa.binary())])
     zip_ = zstandard.ZstdCompressor(level=3)
     for part in parts:
@@ -286,6 +290,7 @@ def _cut(min_len: int, as_text: bool):
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         unzip = zstandard.ZstdDecompressor()
         for part in parts:
             sizes, kept, spans = [], [], []
