@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group that word 3-gram sets of a similarity of 0.9 link."""
-    return ngram_join.one_of_each(docs, 3, 90)
+    """The first document of each group that word 5-gram sets of a similarity of at least 0.8 link."""
+    return ngram_join.one_of_each(docs, 5, 80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -309,6 +309,36 @@ def test_pipeline_stages_agree_with_their_rules(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == kept.count()
 
 
+def test_near_copy_stage_keeps_the_first_of_what_five_words_at_four_fifths_link(spark):
+    rng = random.Random(8)
+    texts = []
+    for g in range(4):
+        base = [f"w{g}x{rng.randrange(10**6)}" for _ in range(200)]
+        texts.append(base)
+        # Three changed words pass 0.9 on three words, four only 0.8 on five, six neither.
+        for changed in (3, 4, 6):
+            words = list(base)
+            for at in range(changed):
+                words[15 + 30 * at] = f"y{rng.randrange(10**9)}"
+            texts.append(words)
+    texts += [["a", "b", "c"], ["A", "b", "c"], ["a", "b"], []]
+
+    def first_of_each(n, percent):
+        sets = [{tuple(x.lower() for x in w[i : i + n]) for i in range(len(w) - n + 1)} or ({tuple(x.lower() for x in w)} if w else set()) for w in texts]
+        least = list(range(len(sets)))
+        for _ in sets:
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    if a & b and 100 * len(a & b) >= percent * len(a | b):
+                        least[i] = least[j] = min(least[i], least[j])
+        return set(least)
+
+    frame = spark.createDataFrame([(i, " ".join(w), i) for i, w in enumerate(texts)], "doc_id long, text string, n_chars int")
+    kept = corpus_pipeline.drop_near_copies(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert {r.doc_id for r in kept.collect()} == first_of_each(5, 80) < first_of_each(3, 90)
+
+
 def test_empty_tables_give_empty_results(docs):
     none = docs.limit(0)
     assert suffix_dedup.remove_repeats(none).count() == 0
