@@ -21,7 +21,6 @@ from orderlake.session import scratch_path
 
 #: Records of an archive file at most.
 ARCHIVE_RECORDS = 4096
-MAX_HEADER = 1 << 16
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _RECORD_DDL = "path string, offset long, page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long, uri string, payload binary"
@@ -58,25 +57,30 @@ def member(data: bytes) -> bytes:
 
 
 def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
-    """The record at a place and the place behind it; ValueError says what is wrong."""
+    """The record at a place and the place behind it; ValueError says what is wrong.
+
+    Headers may have any length. Where one can't be read, the error has a second argument: no record
+    whose version line begins in front of that place is whole, for its header has the same last lines.
+    """
     version = _VERSION.match(data, at)
     if not version:
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
-        raise ValueError("header has no end")
-    fields = {}
-    for line in data[version.end() : end].split(b"\r\n"):
-        key, colon, value = line.partition(b":")
+    fields, start = {}, version.end()
+    while (end := data.find(b"\r\n", start)) != start:
+        if end < 0:
+            raise ValueError("header has no end", len(data))
+        key, colon, value = data[start:end].partition(b":")
         if not colon:
-            raise ValueError("bad header line")
+            raise ValueError("bad header line", start)
         fields[key.strip().lower()] = value.strip().decode("utf-8", "replace")
+        start = end + 2
+    start += 2
     length = fields.get(b"content-length", "")
     if not length.isdigit():
-        raise ValueError("bad content length")
-    start, stop = end + 4, end + 4 + int(length)
+        raise ValueError("bad content length", start)
+    stop = start + int(length)
     if data[stop : stop + 4] != b"\r\n\r\n":
-        raise ValueError("record is cut or its length is wrong")
+        raise ValueError("record is cut or its length is wrong", start)
     payload = data[start:stop]
     kind = fields.get(b"warc-type", "")
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha1:")
@@ -103,7 +107,7 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, object]]:
     empty members and blank lines between records.
     """
     view = memoryview(data)
-    at, bad, reason = 0, None, ""
+    at, bad, reason, dead = 0, None, "", 0
     while at < len(data):
         try:
             if data.startswith(_MAGIC, at):
@@ -133,8 +137,11 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, object]]:
                 raise ValueError("neither a member nor a version line")
         except ValueError as e:
             if bad is None:
-                bad, reason = at, str(e)
-            places = [x for x in (data.find(_MAGIC, at + 1), data.find(b"WARC/1.", at + 1)) if x >= 0]
+                bad, reason = at, e.args[0]
+            # Places in the body of a member don't count in the file.
+            if len(e.args) > 1 and not data.startswith(_MAGIC, at):
+                dead = max(dead, e.args[1])
+            places = [x for x in (data.find(_MAGIC, at + 1), data.find(b"WARC/1.", max(at + 1, dead))) if x >= 0]
             at = min(places, default=len(data))
             continue
         if bad is not None:

@@ -260,6 +260,20 @@ def test_reader_salvages_after_damage(packed):
     assert list(warc.salvage(b"")) == [] and list(warc.salvage(b"junk"))[0][2][0] == 4
 
 
+def test_pages_with_long_urls_are_read_back(spark):
+    urls = ["data:text/html," + "q" * 150_000, "http://x/" + " \n" * 60_000, "u"]
+    frame = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: (r.uri, bytes(r.payload)) for r in warc.archived(frame).collect()}
+    assert got == {i: (u.replace(" ", "%20").replace("\n", "%0A"), f"page {i}".encode()) for i, u in enumerate(urls)}
+
+
+def test_long_headers_are_read_after_damage():
+    parts = [warc.record(i, "u" * 120_000, b"x", hashlib.sha1(b"x").hexdigest(), 1, None) for i in range(4)]
+    cut = parts[1][: len(parts[1]) // 2]
+    found = list(warc.salvage(parts[0] + b"X: WARC/1.1\r\n" * 20_000 + cut + parts[2] + b"WARC/1.1\r\nX: y\r\nbad\r\n" + parts[3] + b"WARC/1.1\r\nX: y\r\n"))
+    assert [x[2]["page_id"] for x in found if x[0] == "record"] == [0, 2, 3]
+
+
 def test_turns_read_back_whatever_they_say():
     rng = random.Random(7)
     pieces = ["\\", "### ", "</turn>", ":", ": ", "=", "\n", "Assistant", "é", "#", " "]
