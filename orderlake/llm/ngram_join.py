@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import U64, batches, lower_ascii, mix, release, rolling, row_slices, text_buffer, word_hashes, words_of
 from orderlake.llm.components import components
+from orderlake.llm.digest import text_digest
 from orderlake.session import scratch_path
 
 BITS = 512
@@ -129,7 +130,7 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(u ^ v).sum())
 
 
-_SETS = "ord long, crc long, n int, s1 long, s2 long, prefix array<long>, sig binary, wide binary"
+_SETS = "ord long, tie binary, n int, s1 long, s2 long, prefix array<long>, sig binary, wide binary"
 
 
 def _sets(words: int, percent: int, levels: np.ndarray):
@@ -155,9 +156,9 @@ def _sets(words: int, percent: int, levels: np.ndarray):
                     sig.append(signature(u).tobytes())
                     wide.append(wide_signature(u))
             yield pa.RecordBatch.from_arrays(
-                [part["ord"], part["crc"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                [part["ord"], part["tie"], pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array(wide, pa.binary())],
-                names=["ord", "crc", "n", "s1", "s2", "prefix", "sig", "wide"],
+                names=["ord", "tie", "n", "s1", "s2", "prefix", "sig", "wide"],
             )
 
     return apply
@@ -344,13 +345,13 @@ def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, offs = text_buffer(part["text"])
         data = raw.tobytes()
         z = [zip_.compress(data[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
-        yield pa.RecordBatch.from_arrays([part["ord"], part["crc"], pa.array(z, pa.binary())], names=["ord", "crc", "z"])
+        yield pa.RecordBatch.from_arrays([part["ord"], part["tie"], pa.array(z, pa.binary())], names=["ord", "tie", "z"])
 
 
 def _texts(keyed: DataFrame, ids: DataFrame) -> DataFrame:
-    """rid and compressed text of the classes in ids (rid, ord, crc)."""
-    packed = keyed.mapInArrow(_squeeze, "ord long, crc long, z binary")
-    return packed.join(ids, ["ord", "crc"]).select("rid", "z").dropDuplicates(["rid"])
+    """rid and compressed text of the classes in ids (rid, ord, tie)."""
+    packed = keyed.mapInArrow(_squeeze, "ord long, tie binary, z binary")
+    return packed.join(ids, ["ord", "tie"]).select("rid", "z").dropDuplicates(["rid"])
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -363,28 +364,28 @@ def _band(n: Column, percent: int) -> Column:
 def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
     """Classes of equal shingle sets, and links that connect them.
 
-    Returns ``members`` (ord, crc, n, rid: a row per distinct document, with its class) and ``links``
+    Returns ``members`` (ord, tie, n, rid: a row per distinct document, with its class) and ``links``
     (x, y: classes that are linked, enough of them to connect all that any links connect).
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must lie between 50 and 100")
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("ord"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"),
+        text_digest().alias("tie"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     levels = order_levels(keyed, words)
     sets = _stored(keyed.mapInArrow(_sets(words, percent, levels), _SETS).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
     # The class of equal sets is named by the stored row of its first document.
-    first = sets.groupBy("s1", "s2", "n").agg(F.min(F.struct("ord", "crc", "row")).alias("f"))
-    first = _stored(first.select("s1", "s2", "n", F.col("f.ord").alias("ord"), F.col("f.crc").alias("crc"), F.col("f.row").alias("rid")), "shingle-classes")
+    first = sets.groupBy("s1", "s2", "n").agg(F.min(F.struct("ord", "tie", "row")).alias("f"))
+    first = _stored(first.select("s1", "s2", "n", F.col("f.ord").alias("ord"), F.col("f.tie").alias("tie"), F.col("f.row").alias("rid")), "shingle-classes")
     members = (
-        sets.where("n > 0").select("ord", "crc", "n", "s1", "s2")
-        .join(first.select("s1", "s2", "n", "rid"), ["s1", "s2", "n"]).select("ord", "crc", "n", "rid").distinct()
-        .unionByName(sets.where("n = 0").groupBy("ord", "crc", "n").agg(F.min("row").alias("rid")))
+        sets.where("n > 0").select("ord", "tie", "n", "s1", "s2")
+        .join(first.select("s1", "s2", "n", "rid"), ["s1", "s2", "n"]).select("ord", "tie", "n", "rid").distinct()
+        .unionByName(sets.where("n = 0").groupBy("ord", "tie", "n").agg(F.min("row").alias("rid")))
     )
-    classes = sets.where("n > 0").drop("ord", "crc", "s1", "s2", "n").join(
-        first.select(F.col("rid").alias("row"), "ord", "crc", "n"), "row"
+    classes = sets.where("n > 0").drop("ord", "tie", "s1", "s2", "n").join(
+        first.select(F.col("rid").alias("row"), "ord", "tie", "n"), "row"
     ).withColumnRenamed("row", "rid")
     classes = _stored(classes, "shingle-reps")
 
@@ -403,7 +404,7 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
 
     def texts_of(pairs: DataFrame, name: str) -> DataFrame:
         ids = pairs.select(F.explode(F.array("x", "y")).alias("rid")).distinct()
-        return _stored(_texts(keyed, ids.join(classes.select("rid", "ord", "crc"), "rid")), name)
+        return _stored(_texts(keyed, ids.join(classes.select("rid", "ord", "tie"), "rid")), name)
 
     # Rows of prefix shingles that several components have; one shuffle by shingle.
     tile = Window.partitionBy("token")
@@ -434,25 +435,25 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
 
 
 def component_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """ord, crc, n (shingles) and root (a row number that names the component) of each distinct document."""
+    """ord, tie, n (shingles) and root (a row number that names the component) of each distinct document."""
     members, links = shingle_links(docs, words, percent)
     nodes = components(links.toDF("a", "b"))
     named = members.join(nodes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    return _stored(named.select("ord", "crc", "n", "root"), "shingle-components")
+    return _stored(named.select("ord", "tie", "n", "root"), "shingle-components")
 
 
 def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """The rows of docs that stay when of each component only its first document is kept.
 
-    First is the smallest doc_id (null last), then the smallest CRC-32 of the text. Of rows with the same doc_id and text one stays.
+    First is the smallest doc_id (null last), then the smallest CRC-32 of the text, then the smallest MD5. Of rows with the same doc_id and text one stays.
     All columns are kept. Documents without words are components of their own.
     """
     named = component_rows(docs, words, percent)
-    first = named.groupBy("root").agg(F.min(F.struct("ord", "crc")).alias("f")).select(F.col("f.ord").alias("_ord"), F.col("f.crc").alias("_crc"))
+    first = named.groupBy("root").agg(F.min(F.struct("ord", "tie")).alias("f")).select(F.col("f.ord").alias("_ord"), F.col("f.tie").alias("_tie"))
     keyed = docs.withColumns(
-        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
+        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_tie": text_digest()}
     )
-    return keyed.join(first, ["_ord", "_crc"]).dropDuplicates(["_ord", "_crc"]).select(*docs.columns)
+    return keyed.join(first, ["_ord", "_tie"]).dropDuplicates(["_ord", "_tie"]).select(*docs.columns)
 
 
 def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -474,7 +475,7 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("ord"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"),
+        text_digest().alias("tie"),
     )
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return rows.join(result, ["ord", "crc"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), back("least").alias("component_id"))
+    return rows.join(result, ["ord", "tie"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), back("least").alias("component_id"))

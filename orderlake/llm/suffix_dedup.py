@@ -39,6 +39,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, release, signed, text_buffer
+from orderlake.llm.digest import text_digest
+from orderlake.operators.ranking import with_global_position
 from orderlake.session import scratch_path
 
 GRAM = 16
@@ -407,15 +409,23 @@ def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
     )
 
 
-def _keys(docs: DataFrame) -> dict[str, Column]:
-    """Columns that name a document: ord (doc_id, with a stand-in for null), and tie.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that name a document: _ord (doc_id, with a stand-in for null), and _tie.
 
-    The checksum of the text travels with the rows only if some doc_id has several texts.
+    Only if some doc_id has several texts, ties are told apart: _tie is then the place of the
+    text's digest among all digests of such ids.
     """
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    crc = F.crc32(F.coalesce("text", F.lit("")))
-    several = docs.groupBy(order.alias("o")).agg(F.min(crc).alias("a"), F.max(crc).alias("b")).where("a <> b")
-    return {"ord": order, "tie": F.lit(0).cast("long") if several.isEmpty() else crc}
+    text = F.coalesce("text", F.lit(""))
+    named = docs.withColumn("_ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    halves = named.select("_ord", F.xxhash64(F.lit(1), text).alias("x"), F.xxhash64(F.lit(2), text).alias("y"))
+    ends = [f(c).alias(f"{c}{f.__name__}") for c in ("x", "y") for f in (F.min, F.max)]
+    several = halves.groupBy("_ord").agg(*ends).where("xmin <> xmax OR ymin <> ymax").select("_ord")
+    if several.isEmpty():
+        return named.withColumn("_tie", F.lit(0).cast("long"))
+    digests = named.select("_ord", text_digest().alias("_digest")).join(several, "_ord").distinct()
+    placed = _stored(with_global_position(digests, [F.col("_ord"), F.col("_digest")], "_tie").select("_ord", "_digest", "_tie"), "repeat-ties")
+    joined = named.withColumn("_digest", text_digest()).join(placed, ["_ord", "_digest"], "left")
+    return joined.withColumn("_tie", F.coalesce("_tie", F.lit(0)).cast("long")).drop("_digest")
 
 
 def remove_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
@@ -429,18 +439,18 @@ def remove_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     A null text counts as empty. Documents of fewer than ``min_len`` bytes
     lose nothing. A null doc_id comes after all others. Rows with the same
     doc_id and text are one document: each gets its result. Of different
-    texts with the same doc_id the one with the smaller CRC-32 is earlier. Empty
-    tables give an empty result. Texts of any length are read in chunks.
+    texts with the same doc_id the one with the smaller CRC-32 is earlier, then
+    the one with the smaller MD5. Empty tables give an empty result. Texts of any length are read in chunks.
     """
-    return _removed(docs.select("doc_id", "text"), min_len, _keys(docs), as_text=False).drop("ord", "tie")
+    return _removed(_keyed(docs.select("doc_id", "text")), min_len, as_text=False).drop("ord", "tie")
 
 
-def _removed(docs: DataFrame, min_len: int, keys: dict[str, Column], as_text: bool) -> DataFrame:
+def _removed(docs: DataFrame, min_len: int, as_text: bool) -> DataFrame:
     if not GRAM + BLOCK < min_len <= 4096:
         raise ValueError("min_len must lie between 26 and 4096")
     keyed = docs.select(
-        keys["ord"].alias("ord"),
-        keys["tie"].alias("tie"),
+        F.col("_ord").alias("ord"),
+        F.col("_tie").alias("tie"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
@@ -458,11 +468,10 @@ def without_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     ``n_chars``, if there is such a column, becomes the length of the new text. Null texts become
     empty ones.
     """
-    keys = _keys(docs)
-    kept = _removed(docs.select("doc_id", "text"), min_len, keys, as_text=True).select(
+    keyed = _keyed(docs)
+    kept = _removed(keyed.select("doc_id", "text", "_ord", "_tie"), min_len, as_text=True).select(
         F.col("ord").alias("_ord"), F.col("tie").alias("_tie"), F.col("text").alias("_text")
     )
-    keyed = docs.withColumns({"_ord": keys["ord"], "_tie": keys["tie"]}).drop("text")
-    joined = keyed.join(kept.dropDuplicates(["_ord", "_tie"]), ["_ord", "_tie"])
+    joined = keyed.drop("text").join(kept.dropDuplicates(["_ord", "_tie"]), ["_ord", "_tie"])
     fresh = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return joined.withColumns(fresh).select(*docs.columns)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -353,6 +354,20 @@ def test_near_copy_stage_keeps_the_first_of_what_five_words_at_four_fifths_link(
     assert {r.doc_id for r in kept.collect()} == first_of_each(5, 80) < first_of_each(3, 90)
 
 
+def test_texts_with_equal_checksums_stay_apart(spark):
+    seen, pair = {}, None
+    for i in range(10**6):
+        text = " ".join(hashlib.md5(f"{i} {k}".encode()).hexdigest()[:9] for k in range(12))
+        if pair := seen.setdefault(zlib.crc32(text.encode()), text) != text and (seen[zlib.crc32(text.encode())], text):
+            break
+    frame = spark.createDataFrame([(d, t) for d in (None, 7) for t in pair], "doc_id long, text string")
+    # The null id comes last, so its texts repeat those of id 7.
+    assert sorted(r.text for r in ngram_join.one_of_each(frame).collect()) == sorted(pair)
+    assert Counter(map(tuple, ngram_join.similar_components(frame).collect())) == Counter({(7, 10, 7): 2, (None, 10, 7): 2})
+    got = suffix_dedup.without_repeats(frame)
+    assert Counter(map(tuple, got.collect())) == Counter({(7, pair[0]): 1, (7, pair[1]): 1, (None, ""): 2})
+
+
 def test_empty_tables_give_empty_results(docs):
     none = docs.limit(0)
     assert suffix_dedup.remove_repeats(none).count() == 0
