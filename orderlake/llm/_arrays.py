@@ -74,6 +74,14 @@ def row_slices(column: pa.Array, size: int = 1 << 21) -> Iterator[pa.Array]:
         a = b
 
 
+def part_slices(part: pa.RecordBatch, column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """A batch cut as :func:`row_slices` cuts its text column."""
+    at = 0
+    for texts in row_slices(part.column(column), size):
+        yield part.slice(at, len(texts))
+        at += len(texts)
+
+
 def padded(raw: np.ndarray) -> np.ndarray:
     """A copy with PAD zero bytes behind it."""
     out = np.zeros(len(raw) + PAD, np.uint8)

@@ -12,20 +12,23 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
-from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from orderlake.llm._arrays import held
+from orderlake.llm._arrays import held, part_slices
 
 #: Distinct pre-tokens whose results a Python worker keeps.
-KEPT = 3 << 16
+KEPT = 3 << 17
 #: Longer pre-tokens aren't kept.
 KEPT_CHARS = 64
+#: Ids whose decimal form and bytes are gathered at once.
+STEP = 1 << 16
 _LEAF = 9  # ranks per leaf bitmap, as a power of two
 _MASK = (1 << _LEAF) - 1
 
@@ -117,43 +120,99 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class _Kept(dict):
+    """Packed ids of pre-tokens used of late. Those before them are asked first, so what is used again stays."""
+
+    def __init__(self, ranks: dict[bytes, int], kind: str):
+        self._ranks, self._kind = ranks, kind
+        self._older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = array(self._kind, encode_word(word.encode("utf-8"), self._ranks)).tobytes()
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= KEPT:
+                self._older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Codec:
-    """Encoder and decoder for one rank file; equal pre-tokens are worked out once while kept."""
+    """Encoder and decoder for one rank file; equal pre-tokens are worked out once while kept.
+
+    Of a kept pre-token only its packed ids stay. The ids of a text are these joined; their decimal
+    form and the bytes they decode to are gathered from two tables by id.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.tokens = {v: k for k, v in self.ranks.items()}
+        most = max(self.ranks.values(), default=0)
+        self.kind = np.dtype("<u2" if most < 1 << 16 else "<u4")
+        # By id: the decimal digits and a space, padded with zero bytes, and where the token's bytes lie.
+        self._digits = np.zeros((most + 1, len(str(most)) + 1), np.uint8)
+        self._start, self._size = np.zeros(most + 1, np.int64), np.full(most + 1, -1, np.int64)
+        joined, at = [], 0
+        for token, rank in self.ranks.items():
+            digits = b"%d " % rank
+            self._digits[rank, : len(digits)] = np.frombuffer(digits, np.uint8)
+            self._start[rank], self._size[rank] = at, len(token)
+            joined.append(token)
+            at += len(token)
+        self._width = np.count_nonzero(self._digits, axis=1)
+        self._bytes = np.frombuffer(b"".join(joined) or b"\0", np.uint8)
         self._find = regex.compile(pattern).findall
-        # Pre-tokens used of late, and those before them: what is used again stays.
-        self._known: dict[str, tuple] = {}
-        self._older: dict[str, tuple] = {}
-
-    def word(self, word: str) -> tuple[int, str, bytes]:
-        """Number of a pre-token's ids, the ids in decimal form and the bytes they decode to."""
-        item = self._known.get(word) or self._older.get(word)
-        if item is None:
-            ids = encode_word(word.encode("utf-8"), self.ranks)
-            item = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(word) <= KEPT_CHARS:
-            if len(self._known) >= KEPT:
-                self._older, self._known = self._known, {}
-            self._known[word] = item
-        return item
-
-    def words(self, text: str) -> list[tuple[int, str, bytes]]:
-        """The same for each pre-token of a text."""
-        found = self._find(text)
-        items = list(map(self._known.get, found))
-        if None in items:
-            word = self.word
-            items = [x or word(w) for x, w in zip(items, found)]
-        return items
+        self._ids_of = _Kept(self.ranks, "H" if self.kind.itemsize == 2 else "I").__getitem__
 
-    def encode(self, text: str) -> list[int]:
-        return list(map(int, " ".join(map(itemgetter(1), self.words(text))).split()))
+    def packed(self, text: str) -> bytes:
+        """The packed ids of a text."""
+        return b"".join(map(self._ids_of, self._find(text)))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.packed(text), self.kind)
+
+    def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
+
+    def decimals(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in decimal form, a space behind each, as one run of bytes, and where each ends in it."""
+        rows = self._digits[ids]
+        return rows[rows != 0], np.cumsum(self._width[ids])
+
+    def spelled(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that ids decode to as one run, and where each id's bytes end in it."""
+        size = self._size[ids]
+        if len(size) and size.min() < 0:
+            raise KeyError("an id without a token")
+        ends = np.cumsum(size)
+        at = np.repeat(self._start[ids] - ends + size, size)
+        at += np.arange(len(at))
+        return self._bytes[at], ends
+
+    def decode(self, ids) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self._size)):
+            raise KeyError("an id without a token")
+        return b"".join(self.spelled(ids[at : at + STEP])[0].tobytes() for at in range(0, len(ids), STEP))
+
+    def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
+        """Per text: number of ids, SHA-256 of them in decimal form, and SHA-256 of the bytes decoded from them."""
+        parts = [self.packed(t) for t in texts]
+        cuts = np.cumsum([0] + [len(p) // self.kind.itemsize for p in parts])
+        ids = np.frombuffer(b"".join(parts), self.kind)
+        del parts
+        hashes = [(hashlib.sha256(), hashlib.sha256()) for _ in texts]
+        for p in range(0, len(ids), STEP):
+            q = min(p + STEP, len(ids))
+            first, last = np.searchsorted(cuts, p, side="right") - 1, np.searchsorted(cuts, q, side="left")
+            for k, (data, ends) in enumerate((self.decimals(ids[p:q]), self.spelled(ids[p:q]))):
+                ends = np.append(0, ends)
+                for i in range(first, last):
+                    a, b = max(cuts[i], p), min(cuts[i + 1], q)
+                    if a < b:  # the space behind a text's last id doesn't count
+                        hashes[i][k].update(data[ends[a - p] : ends[b - p] - (k == 0 and b == cuts[i + 1])])
+        return np.diff(cuts).tolist(), [x.hexdigest() for x, _ in hashes], [y.hexdigest() for _, y in hashes]
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -209,20 +268,17 @@ _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha
 def round_trip(docs: DataFrame, path: Callable[[], str], pattern: str) -> DataFrame:
     """Digests of each text's ids and of the bytes decoded from them, in one pass.
 
-    Same rules as :func:`encode`; the ids stay inside the task.
+    Same rules as :func:`encode`; the ids stay inside the task. An empty text has no ids, and both its digests are those of
+    no bytes; an empty table gives an empty result. A long text is encoded whole, its ids are turned into text and bytes
+    a step at a time.
     """
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path(), pattern)
-        count, decimal, back_of = itemgetter(0), itemgetter(1), itemgetter(2)
         for part in parts:
-            n, ids, back = [], [], []
-            for t in part["_in"]:
-                items = c.words(t.as_py())
-                n.append(sum(map(count, items)))
-                ids.append(hashlib.sha256(" ".join(map(decimal, items)).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join(map(back_of, items))).hexdigest())
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=_DIGEST)
+            for piece in part_slices(part, "_in"):
+                n, ids, back = c.digests(piece["_in"].to_pylist())
+                yield pa.RecordBatch.from_arrays([piece["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=_DIGEST)
 
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "COALESCE(text, '') AS _in").mapInArrow(
         apply, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
