@@ -133,8 +133,35 @@ SELECT page_id, p.n AS payload_bytes, p.digest AS payload_digest, CASE WHEN firs
 FROM p LEFT JOIN f ON p.digest = f.digest AND p.n = f.n
 """
 
+_OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS size FROM w) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, size, phrase HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE size > 1),
+kept AS (
+  SELECT c.* FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c x WHERE x.lang = c.lang AND x.size > c.size AND 100 * x.f >= 100 * c.f AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(ws[:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, size)) AS k FROM kept)),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail JOIN t ON t.lang = cuts.lang
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM s
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+"""
+
 #: Networks, tokenizers and alignments (5, 7, 10) have no SQL form; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": _OP1, "op2_source_mixing": _OP2, "op3_ngram_join": _OP3, "op4_chat_format": _OP4,
     "op6_line_quality": _OP6, "op8_exact_topk": _OP8, "op9_warc": _OP9,
+    "op11_collocations": _OP11,
 }
