@@ -159,9 +159,23 @@ SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM s
 WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
 """
 
-#: Networks, tokenizers and alignments (5, 7, 10) have no SQL form; tests hold them against brute force.
+_OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER o)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW o AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 10
+"""
+
+#: Networks, tokenizers, alignments and random fields (5, 7, 10, 12) have no SQL form; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": _OP1, "op2_source_mixing": _OP2, "op3_ngram_join": _OP3, "op4_chat_format": _OP4,
     "op6_line_quality": _OP6, "op8_exact_topk": _OP8, "op9_warc": _OP9,
-    "op11_collocations": _OP11,
+    "op11_collocations": _OP11, "op13_hard_negatives": _OP13,
 }

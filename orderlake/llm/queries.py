@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import bpe, chat_format, collocations, license_scan, line_quality, mixing, ngram_join, secret_scan, suffix_dedup, topk, toxicity, warc
+from orderlake.llm import bpe, chat_format, collocations, hard_negatives, license_scan, line_quality, mixing, ngram_join, secret_scan, suffix_dedup, topk, toxicity, warc
 
 #: The splitting pattern and the rank file of the byte-level vocabulary.
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -103,11 +103,17 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.train(docs))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", noisy), F.col("vec_id") % 100 == 0, 5, 10, 256, 30, 90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_source_mixing, op3_ngram_join, op4_chat_format, op5_byte_bpe,
         op6_line_quality, op7_toxicity, op8_exact_topk, op9_warc, op10_license_scan,
-        op11_collocations, op12_secret_scan,
+        op11_collocations, op12_secret_scan, op13_hard_negatives,
     )
 }
