@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from orderlake.plans.oracle import ORACLE
+from orderlake.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 from tools.compare_oracle import TABLES, digest, duck_types, spark_types
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -18,11 +20,12 @@ def duck():
     return con
 
 
-def test_every_query_has_sql_except_file_listing():
-    assert set(KEYS) - set(entry.oracle_sql()) == {"file_inventory"}
+def test_every_query_of_the_order_engine_has_sql():
+    assert set(ORACLE) == set(REGISTRY)
+    assert set(REGISTRY) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", [k for k in KEYS if k in entry.oracle_sql()])
+@pytest.mark.parametrize("key", KEYS)
 def test_query_matches_sql(spark, duck, key):
     df = entry.queries()[key](spark, SF_SMALL)
     s_cols, s_hash, s_lines = digest(df.columns, [tuple(r) for r in df.collect()])
