@@ -28,10 +28,12 @@ def quarantined_orders(
     df: DataFrame, required: Sequence[str] = schema.REQUIRED_COLUMNS
 ) -> DataFrame:
     """The complement of :func:`validate_schema`, with the reasons per row."""
-    reasons = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in required])
-    )
-    return df.filter(~validity(required)).withColumn("_quarantine_reasons", reasons)
+    return df.filter(~validity(required)).withColumn(schema.REASONS_COLUMN, quarantine_reasons(required))
+
+
+def quarantine_reasons(required: Sequence[str] = schema.REQUIRED_COLUMNS) -> Column:
+    """Which required fields are missing; an empty array for valid rows."""
+    return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in required]))
 
 
 def validation_report(

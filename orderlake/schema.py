@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DecimalType,
     DoubleType,
@@ -14,6 +15,9 @@ from pyspark.sql.types import (
 )
 
 # Raw order layout. CSV binds by position, so the order of fields matters.
+# ---------------------------------------------------------------------------
+# The raw fields and their types must equal the source system's.
+# ---------------------------------------------------------------------------
 RAW_SCHEMA = StructType(
     [
         StructField("order_id", StringType()),
@@ -44,6 +48,7 @@ RAW_SCHEMA = StructType(
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 CORRUPT_COLUMN = "_corrupt_record"
+REASONS_COLUMN = "_quarantine_reasons"
 RAW_SCHEMA_WITH_CORRUPT = StructType(
     RAW_SCHEMA.fields + [StructField(CORRUPT_COLUMN, StringType())]
 )
@@ -66,6 +71,9 @@ BRONZE_SCHEMA = StructType(
         StructField("_pipeline_run_id", StringType()),
     ]
 )
+QUARANTINE_SCHEMA = StructType(
+    BRONZE_SCHEMA.fields + [StructField(CORRUPT_COLUMN, StringType()), StructField(REASONS_COLUMN, ArrayType(StringType()))]
+)
 _SILVER_TYPES = {
     "unit_price": DecimalType(12, 2),
     "discount_pct": DecimalType(5, 2),

@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderlake import schema
+from orderlake.sources.commits import append_once, new_key
+
+
+_OUTCOME, VALID, INVALID = "_outcome", "valid", "invalid"
 
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], None], name: str) -> int:
@@ -25,18 +29,44 @@ def _clustered(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_bronze(df: DataFrame, bronze_path: str, mode: str = "append") -> int:
+def write_bronze(df: DataFrame, bronze_path: str, mode: str = "append", run_key: str | None = None) -> int:
     """Append to bronze, partitioned by order year and month.
 
-    Appending the same source twice doubles the rows; silver deduplication
-    removes the copies.
+    An append is staged and then published whole (:mod:`orderlake.sources.commits`): a failed one leaves nothing behind.
+    Under a ``run_key`` it happens once, however often it is repeated, and the rows of the first time are
+    returned. Without one every call is a run of its own: appending the same source twice doubles the rows, and silver
+    deduplication removes the copies.
     """
     cols = schema.BRONZE_PARTITIONS
-    return observed_write(
-        _clustered(df, cols),
-        lambda d: d.write.mode(mode).partitionBy(*cols).parquet(bronze_path),
-        "bronze",
-    )
+
+    def write(path: str, how: str) -> int:
+        return observed_write(_clustered(df, cols), lambda d: d.write.mode(how).partitionBy(*cols).parquet(path), "bronze")
+
+    if mode != "append":
+        return write(bronze_path, mode)
+    return append_once(df.sparkSession, bronze_path, run_key or new_key(), lambda path: {"rows": write(path, "overwrite")})["rows"]
+
+
+def write_by_validity(df: DataFrame, valid: Column, bronze_path: str, quarantine_path: str, run_key: str | None = None, counts: Callable[[], dict[str, int]] = dict) -> dict[str, int]:
+    """Append valid rows to bronze and the others to the quarantine, in one write; returns ``rows``, ``quarantined_rows`` and ``counts()``.
+
+    The rows are staged once, parted by outcome, and each part is published to its table, all under one manifest: both
+    tables get the run or neither does. They must lie in one store. The files of both have all columns of ``df``; those
+    that only matter to the other table are null.
+    """
+    cols = schema.BRONZE_PARTITIONS
+    outcome = F.when(valid, F.lit(VALID)).otherwise(F.lit(INVALID))
+
+    def write(path: str) -> dict[str, int]:
+        seen = Observation("outcomes")
+        rows = df.withColumn(_OUTCOME, outcome).observe(
+            seen, F.count_if(F.col(_OUTCOME) == VALID).alias("rows"), F.count_if(F.col(_OUTCOME) == INVALID).alias("quarantined_rows")
+        )
+        _clustered(rows, [_OUTCOME, *cols]).write.mode("overwrite").partitionBy(_OUTCOME, *cols).parquet(path)
+        return {k: int(v) for k, v in seen.get.items()} | counts()
+
+    routes = {f"{_OUTCOME}={VALID}": bronze_path, f"{_OUTCOME}={INVALID}": quarantine_path}
+    return append_once(df.sparkSession, bronze_path, run_key or new_key(), write, routes)
 
 
 def write_silver(df: DataFrame, silver_path: str, dynamic: bool = False) -> int:

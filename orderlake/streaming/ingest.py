@@ -16,16 +16,9 @@ from pyspark.sql import functions as F
 from orderlake import schema
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import validate_schema
-from orderlake.session import delete_path
-from orderlake.sources.parquet import read_bronze
 from orderlake.sources.sinks import write_bronze
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
-
-
 def ingest_new_files(
     spark: SparkSession,
     landing_dir: str,
@@ -37,8 +30,8 @@ def ingest_new_files(
 
     Rows get the same validation and metadata as the batch job, and batches are written as the
     batch job writes them, so both can append to the same bronze folder. The ingestion time is the
-    batch's, and the run id names the stream and the batch. A batch that is run again after a
-    failure first removes the files it left: they hold rows of that run id alone.
+    batch's, and the run id names the stream and the batch. The run id is also the key that a batch is
+    appended under, so a batch that is run again after a failure, at whatever point, is in bronze once.
     ``checkpoint_location`` must be on shared storage.
     """
     reader = (
@@ -55,16 +48,10 @@ def ingest_new_files(
     written: list[int] = []
 
     def store(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
         run = f"stream-{stream}-{number}"
-        # Only the first batch of a run can be a repeated one.
-        if not written and _exists(session, bronze_dir):
-            left = read_bronze(session, bronze_dir).where(F.col("_pipeline_run_id") == run)
-            for row in left.select(F.input_file_name().alias("f")).distinct().toLocalIterator():
-                delete_path(session, row["f"])
         valid = validate_schema(batch).drop(schema.CORRUPT_COLUMN)
         rows = add_ingestion_metadata(valid, landing_dir).withColumn("_pipeline_run_id", F.lit(run))
-        written.append(write_bronze(rows, bronze_dir))
+        written.append(write_bronze(rows, bronze_dir, run_key=run))
 
     query = (
         raw.writeStream.foreachBatch(store)
