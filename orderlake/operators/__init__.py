@@ -21,9 +21,9 @@ from orderlake.operators.quality import (
     validation_report,
 )
 from orderlake.operators.ranking import (
-    distributed_ntile,
     distributed_rank,
     with_global_position,
+    with_ntiles,
 )
 
 __all__ = [
@@ -35,7 +35,6 @@ __all__ = [
     "clean_and_standardize",
     "completed_orders",
     "deduplicate",
-    "distributed_ntile",
     "distributed_rank",
     "duplicates_removed",
     "quarantined_orders",
@@ -47,4 +46,5 @@ __all__ = [
     "validate_schema",
     "validation_report",
     "with_global_position",
+    "with_ntiles",
 ]

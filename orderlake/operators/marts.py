@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlake import schema
 from orderlake.functions import avg2, rfm_segment
-from orderlake.operators.ranking import distributed_rank, stored_rows, with_ntiles
+from orderlake.operators.ranking import distributed_rank, with_ntiles
+from orderlake.operators.storing import stored_rows
 
 CUSTOMER_KEYS = ["customer_id", "customer_name", "region"]
 PRODUCT_KEYS = ["product_id", "product_name", "category"]
@@ -20,7 +21,7 @@ def completed_orders(df: DataFrame) -> DataFrame:
 
 
 def build_sales_by_region(df: DataFrame, created_at=None) -> DataFrame:
-    """Monthly revenue KPIs per region, ranked by revenue within each month.
+    """One row for each region and month: order, unit, customer and revenue figures, and the region's place in the month.
 
     A completed order with null revenue counts as an order but adds no
     revenue. The rank runs over aggregated rows, at most one per region in a
@@ -103,11 +104,7 @@ def with_recency(base: DataFrame) -> DataFrame:
     return stored.withColumn("recency_days", F.datediff(latest, F.col("last_order_date")))
 
 
-def rfm_scores(
-    base: DataFrame,
-    scoring: str = "reference",
-    num_partitions: int | None = None,
-) -> DataFrame:
+def rfm_scores(base: DataFrame, scoring: str = "reference") -> DataFrame:
     """Add recency, r/f/m scores and the summed score.
 
     Tiles follow ``ntile(5)``: recency ascending (null first), frequency and
@@ -117,8 +114,8 @@ def rfm_scores(
     marks the weakest customers; ``scoring="standard"`` uses ``6 - tile``.
 
     Recency ascending is the same order as the calendar day of the last
-    order descending, so that pass sorts on the day. The customers are
-    stored once; each score is a narrow pass over its own keys.
+    order descending. The customers are stored once, while the result is built; the first customers of all tiles of the three
+    scores are then searched together, and no customer is sorted or moved.
     """
     if scoring not in ("reference", "standard"):
         raise ValueError(f"unknown scoring {scoring!r}")
@@ -147,10 +144,9 @@ def build_customer_segments(
     df: DataFrame,
     scoring: str = "reference",
     created_at=None,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """RFM segments for customers of completed orders."""
-    scored = rfm_scores(rfm_base(df), scoring=scoring, num_partitions=num_partitions)
+    scored = rfm_scores(rfm_base(df), scoring=scoring)
     return scored.select(
         *CUSTOMER_KEYS,
         "last_order_date",

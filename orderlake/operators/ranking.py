@@ -1,8 +1,12 @@
-"""Rank and ntile over a global order without a single-partition window.
+"""Rank, ntile and position over a global order without a single-partition window.
 
 A window with no ``partitionBy`` (or one partitioned by a handful of
-values) moves every row into one task. Here the rows are range-partitioned
-on a total order instead, sorted inside each partition and numbered there;
+values) moves every row into one task. Tiles need no order of all rows, only the first row of each tile, which
+is searched by counting (:func:`with_ntiles`). Ranks need an order inside buckets and what lies
+before each bucket (:func:`distributed_rank`). Both run their searches while the result is built.
+
+:func:`with_global_position` numbers all rows. They are range-partitioned
+on a total order, sorted inside each partition and numbered there;
 per-partition counts (one row per partition, so their size is bounded by
 the partition count) then turn local numbers into global positions.
 
@@ -17,12 +21,15 @@ from that one copy; a lost executor cannot make them disagree.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderlake.session import scratch_path
+from orderlake.operators.splitters import SAMPLE, Key, keyed, literal_rows, place, reached, rows_at, sample, sorted_rows
+from orderlake.operators.storing import stored_rows
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -43,15 +50,6 @@ def sort_key(name: str, direction: str = "asc", nulls: str | None = None) -> Col
 ROWS_PER_TASK = 1_000_000
 
 
-def stored_rows(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``df`` once under the checkpoint folder; the table read back and its row count."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
-
-
 def partitions_for(rows: int) -> int:
     """Range partitions for a counted number of rows: no ceiling, and never a single task."""
     return max(2, -(-rows // ROWS_PER_TASK))
@@ -125,79 +123,33 @@ def with_global_position(
     )
 
 
-def ntile_of(position: Column, total: Column, n: int) -> Column:
-    """Spark's ``ntile(n)`` from a 0-based position and the row count.
-
-    The first ``total % n`` tiles hold one extra row. With fewer rows than
-    tiles every row is its own tile.
-    """
-    size = F.floor(total / n)  # rows in a small tile
-    extra = total % n  # tiles holding size + 1 rows
-    big_rows = extra * (size + 1)
-    in_big = F.floor(position / (size + 1)) + 1
-    in_small = F.floor((position - big_rows) / F.nullif(size, F.lit(0))) + extra + 1
-    return F.when(position < big_rows, in_big).otherwise(in_small).cast("int")
-
-
-def distributed_ntile(
-    df: DataFrame,
-    n: int,
-    order: Sequence[Column],
-    out_col: str,
-    num_partitions: int | None = None,
-    totals: dict[str, tuple[str, str]] | None = None,
-) -> DataFrame:
-    """``ntile(n) over (order by <order>)`` computed across partitions.
-
-    ``totals`` is passed to :func:`with_global_position`; its columns are kept.
-    """
-    if not order:
-        raise ValueError("distributed_ntile needs at least one sort key")
-    placed = with_global_position(df, order, num_partitions=num_partitions, totals=totals)
-    return placed.withColumn(
-        out_col, ntile_of(F.col("_pos"), F.col("_total"), n)
-    ).drop("_pos", "_total")
-
-
-def _before(key: tuple[Column, str, str], row: Column, bound: Column) -> Column:
-    """Whether ``row`` comes before ``bound`` in the order of one key."""
-    _, direction, nulls = key
-    ahead = row < bound if direction == "asc" else row > bound
-    null_ahead = (row.isNull() & bound.isNotNull()) if nulls == "first" else (row.isNotNull() & bound.isNull())
-    return null_ahead | F.coalesce(ahead, F.lit(False))
-
-
-def _reached(order: list[tuple[Column, str, str]], bound: list[Column]) -> Column:
-    """Whether a row doesn't come before a bound, key by key."""
-    result = F.lit(True)
-    for key, value in reversed(list(zip(order, bound))):
-        result = F.when(_before(key, key[0], value), False).when(_before(key, value, key[0]), True).otherwise(result)
-    return result
-
-
-def with_ntiles(stored: DataFrame, rows: int, n: int, passes: dict[str, list[tuple[Column, str, str]]]) -> DataFrame:
+def with_ntiles(stored: DataFrame, rows: int, n: int, passes: dict[str, list[Key]], size: int = SAMPLE) -> DataFrame:
     """Add ``ntile(n)`` columns over several total orders to a stored table of ``rows`` rows.
 
-    Each order is a list of (expression, "asc" or "desc", nulls "first" or "last"). A pass sorts only its own
-    keys across range partitions and finds the first key of each tile: ``n - 1`` rows. The rows
-    themselves aren't moved: their tile is the number of bounds that they don't come before.
+    Building the result searches the first row of each tile of all orders together (:func:`rows_at`); nothing
+    is sorted or moved. A row's tile is the number of first rows that it has reached. Orders must be total. ``size`` bounds
+    the sample and what is fetched of one tile's surroundings at once.
     """
-    size, extra = divmod(rows, n)
-    starts = [t * size + min(t, extra) for t in range(1, n)]
+    if not all(passes.values()):
+        raise ValueError("each pass needs at least one sort key")
+    least, extra = divmod(rows, n)
+    starts = [t * least + min(t, extra) for t in range(1, n)]
+    starts = [p for p in starts if p < rows]
+    keys, names = keyed(stored, passes)
+    firsts = rows_at(keys, rows, passes, names, {name: starts for name in passes}, size)
+    kinds = {f.name: f.dataType for f in keys.schema.fields}
     out = {}
     for name, order in passes.items():
-        cols = [f"_k{i}" for i in range(len(order))]
-        keys = stored.select(*[key[0].alias(c) for key, c in zip(order, cols)])
-        placed = with_global_position(keys, [sort_key(c, d, nulls) for c, (_, d, nulls) in zip(cols, order)], num_partitions=partitions_for(rows))
-        kinds = [placed.schema[c].dataType for c in cols]
-        tile = F.lit(1)
-        for row in placed.where(F.col("_pos").isin(starts)).select(*cols).collect():  # at most n - 1 rows
-            bound = [F.lit(row[c]).cast(kind) for c, kind in zip(cols, kinds)]
-            tile = tile + _reached(order, bound).cast("int")
-        out[name] = tile.cast("int")
+        row = [F.unix_micros(k[0]) if isinstance(stored.select(k[0]).schema[0].dataType, T.TimestampType) else k[0] for k in order]
+        bounds = [firsts[name][p] for p in starts]
+        out[name] = (place(order, row, bounds, [kinds[c] for c in names[name]]) + 1).cast("int")
     return stored.withColumns(out)
 
 
+#: Buckets that a rank deals the rows to, at most; their splitters are part of the plan.
+MOST_BUCKETS = 4096
+
+
 def distributed_rank(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -208,42 +160,65 @@ def distributed_rank(
 ) -> DataFrame:
     """``rank() over (partition by .. order by ..)`` without one task per group.
 
-    Rows are placed in one global order: group columns, the ranking keys,
-    then ``tiebreak``. A row's rank is the position of the first row with its
-    (group, keys) minus the position of the group's first row, plus one.
-    Both starts are found per tie group (an aggregation with map-side
-    combining), the rank is computed on that small table, and it is joined
-    back to the rows once on null-safe keys; adaptive execution splits a tie
-    group holding a large share of the rows.
+    Splitters from a sample cut the total order (group columns, ranking keys, ``tiebreak``) into buckets of about
+    a million rows, or into ``num_partitions``. A rank inside a bucket and group is Spark's own; the rows move once for it. What
+    lies before a bucket is carried as a prefix over one row for each bucket: only the group and the
+    tie of the splitter that the bucket begins with can go on from the bucket before. One counting pass gives, for each bucket, the
+    rows of the next splitter's group and those before its tie; the sums go into the plan as constants,
+    so nothing is joined.
     """
     if not order_by:
         raise ValueError("distributed_rank needs at least one ranking key")
     groups = list(partition_by)
-    tie_cols = groups + [c for c, _ in order_by]
-    order = (
-        [sort_key(c) for c in groups]
-        + [sort_key(c, d) for c, d in order_by]
-        + [sort_key(c) for c in tiebreak]
-    )
-    placed = with_global_position(df, order, num_partitions=num_partitions)
-    ties = placed.groupBy(*tie_cols).agg(F.min("_pos").alias("_tstart"))
-    if groups:
-        firsts = placed.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)]).agg(
-            F.min("_pos").alias("_gstart")
-        )
-        ties = ties.join(firsts, _null_safe_eq(groups, [f"_g{i}" for i in range(len(groups))]))
-    else:
-        ties = ties.withColumn("_gstart", F.lit(0).cast("long"))
-    keys = [f"_t{i}" for i in range(len(tie_cols))]
-    ranks = ties.select(
-        *[F.col(c).alias(k) for c, k in zip(tie_cols, keys)],
-        (F.col("_tstart") - F.col("_gstart") + 1).cast("int").alias(out_col),
+    default = lambda c, d: (F.col(c), d, "first" if d == "asc" else "last")  # noqa: E731  Spark's place of nulls
+    by_group, by_keys = [default(c, "asc") for c in groups], [default(c, d) for c, d in order_by]
+    order = [*by_group, *by_keys, *[default(c, "asc") for c in tiebreak]]
+    stored, rows = stored_rows(df, "ranking-input")
+    count = min(num_partitions or partitions_for(rows), MOST_BUCKETS)
+    keys, names = keyed(stored, {"rank": order})
+    cols, kinds = names["rank"], [f.dataType for f in keys.schema.fields]
+    picked = sorted_rows(sample(keys, rows, max(SAMPLE, 4 * count)), order, cols)
+    cuts = [tuple(picked[len(picked) * i // count][c] for c in cols) for i in range(1, count)] if picked else []
+    cuts = list(dict.fromkeys(cuts))
+    tie = len(groups) + len(order_by)
+
+    own = [F.unix_micros(k[0]) if isinstance(f.dataType, T.TimestampType) else k[0] for k, f in zip(order, stored.select(*[k[0].alias(c) for k, c in zip(order, cols)]).schema.fields)]
+    tagged = stored.withColumn("_bucket", place(order, own, cuts, kinds))
+    if not cuts:
+        window = Window.partitionBy(*groups).orderBy(*[sort_key(c, d) for c, d in order_by])
+        return stored.withColumn(out_col, F.rank().over(window).cast("int"))
+    splitters = literal_rows(cuts, kinds)
+
+    def of_splitter(at: Column, a: int, b: int) -> list[Column]:
+        return [F.get(splitters, at)[f"k{i}"] for i in range(a, b)]
+
+    def same(a: int, b: int, at: Column) -> Column:
+        return functools.reduce(lambda x, y: x & y, [own[i].eqNullSafe(v) for i, v in zip(range(a, b), of_splitter(at, a, b))], F.lit(True))
+
+    # Splitter b stands at the end of bucket b and begins bucket b + 1.
+    ahead = F.col("_bucket")
+    in_group = (ahead < len(cuts)) & same(0, len(groups), ahead)
+    before_tie = in_group & ~reached(by_keys, own[len(groups) : tie], of_splitter(ahead, len(groups), tie))
+    seen = {r["_bucket"]: (r["e"], r["f"]) for r in tagged.groupBy("_bucket").agg(F.count_if(in_group).alias("e"), F.count_if(before_tie).alias("f")).collect()}
+    # Rows of a splitter's group before it, and those before its tie.
+    group_rows, tie_rows = [], []
+    for b, cut in enumerate(cuts):
+        e, f = seen.get(b, (0, 0))
+        goes_on = b > 0 and cuts[b - 1][: len(groups)] == cut[: len(groups)]
+        if goes_on:
+            f = tie_rows[-1] if cuts[b - 1][:tie] == cut[:tie] else f + group_rows[-1]
+            e += group_rows[-1]
+        group_rows.append(e)
+        tie_rows.append(f)
+    constant = lambda values: F.expr("array(" + ", ".join(f"{v}L" for v in values) + ")")
+    begin = F.col("_bucket") - 1
+    local = F.rank().over(Window.partitionBy("_bucket", *groups).orderBy(*[sort_key(c, d) for c, d in order_by]))
+    carried = (F.col("_bucket") > 0) & same(0, len(groups), begin)
+    ranked = tagged.withColumn("_local", local).withColumn(
+        out_col,
+        F.when(carried & same(len(groups), tie, begin), F.get(constant(tie_rows), begin) + 1)
+        .when(carried, F.get(constant(group_rows), begin) + F.col("_local"))
+        .otherwise(F.col("_local"))
+        .cast("int"),
     )
-    return placed.join(ranks, _null_safe_eq(tie_cols, keys)).drop("_pos", "_total", *keys)
-
-
-def _null_safe_eq(left: Sequence[str], right: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for a, b in zip(left, right):
-        cond = cond & F.col(a).eqNullSafe(F.col(b))
-    return cond
+    return ranked.drop("_bucket", "_local")

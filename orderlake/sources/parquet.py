@@ -15,8 +15,11 @@ def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, silver_path: str, completed_only: bool = True) -> DataFrame:
-    """Silver Parquet; by default only completed orders (pushed to the scan). An empty layer gives no rows."""
-    df = spark.read.schema(schema.SILVER_SCHEMA).parquet(silver_path)
+    """Silver Parquet; by default only completed orders (pushed to the scan). An empty layer gives no rows.
+
+    A merge that is being published now is left out.
+    """
+    df = without_open_runs(spark.read.schema(schema.SILVER_SCHEMA).parquet(silver_path), silver_path)
     return completed_orders(df) if completed_only else df
 
 

@@ -21,6 +21,11 @@ class Store:
     def full(self, name: str = "") -> str:
         return self.path(name).toString()
 
+    def relative(self, path) -> str:
+        """A file's name relative to the root."""
+        base = self._fs.makeQualified(self.root).toUri().getPath().rstrip("/") + "/"
+        return self._fs.makeQualified(path).toUri().getPath()[len(base) :]
+
     def exists(self, name: str = "") -> bool:
         return bool(self._fs.exists(self.path(name)))
 

@@ -11,7 +11,8 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from orderlake.operators.ranking import distributed_ntile, distributed_rank, sort_key  # noqa: E402
+from orderlake.operators.ranking import distributed_rank, sort_key, with_ntiles  # noqa: E402
+from orderlake.operators.storing import stored_rows  # noqa: E402
 
 spark = (
     SparkSession.builder.master("local[2,4]")
@@ -38,7 +39,10 @@ base = spark.range(0, 3000, numPartitions=3).select(
 )
 flaky = base.withColumn("v", fail_once("v"))
 order = [sort_key("v", "desc"), sort_key("id")]
-tiles = distributed_ntile(flaky, 5, order, "t", num_partitions=5)
+# The table is stored from tasks that fail, and its scans fail, too: the sample, the counts, the fetch and the result.
+stored, rows = stored_rows(flaky.repartition(3), "failing")
+again = stored.withColumn("v", fail_once("v"))
+tiles = with_ntiles(again, rows, 5, {"t": [(F.col("v"), "desc", "last"), (F.col("id"), "asc", "first")]}, size=64).select("id", "v", "g", "t")
 expected = base.withColumn("t", F.ntile(5).over(Window.orderBy(*order)))
 ranks = distributed_rank(flaky, ["g"], [("v", "desc")], ["id"], "r", num_partitions=5)
 expected_ranks = base.withColumn(

@@ -172,11 +172,11 @@ def test_silver_dynamic_overwrite_replaces_only_touched_partitions(spark, tmp_di
 
 
 def test_clear_scratch_removes_positions_tables(spark):
-    from orderlake.operators.ranking import distributed_ntile, sort_key
+    from orderlake.operators.ranking import sort_key, with_global_position
     from orderlake.session import checkpoint_dir, clear_scratch
 
     df = spark.range(50).withColumnRenamed("id", "v")
-    distributed_ntile(df, 5, [sort_key("v")], "t", num_partitions=3).collect()
+    with_global_position(df, [sort_key("v")], num_partitions=3).collect()
     root = checkpoint_dir(spark).replace("file:", "") + "/orderlake-scratch"
     assert os.path.isdir(root)
     assert clear_scratch(spark) is True

@@ -1,4 +1,4 @@
-"""Distributed ntile and rank must equal Spark's window functions."""
+"""Tiles found by counting, bucketed ranks and global positions must equal Spark's window functions."""
 
 import random
 
@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlake.operators.ranking import distributed_ntile, distributed_rank, sort_key, with_global_position
+from orderlake.operators import splitters
+from orderlake.operators.ranking import distributed_rank, sort_key, with_global_position, with_ntiles
+from orderlake.operators.storing import stored_rows
 
 
 def _frame(spark, n, seed, null_share=0.1, key_span=4):
@@ -19,21 +21,68 @@ def _frame(spark, n, seed, null_share=0.1, key_span=4):
     return spark.createDataFrame(rows, "id long, grp string, v long")
 
 
-@pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 12, 1003])
-@pytest.mark.parametrize("direction", ["asc", "desc"])
-def test_ntile_matches_window(spark, n, direction):
-    df = _frame(spark, n, seed=n)
-    order = [sort_key("v", direction), sort_key("id")]
-    ours = distributed_ntile(df, 5, order, "tile", num_partitions=7)
-    window = df.withColumn("tile", F.ntile(5).over(Window.orderBy(*order)))
-    assert sorted(ours.collect()) == sorted(window.collect())
+def _tiles(df, n, passes, size=splitters.SAMPLE):
+    stored, rows = stored_rows(df, "test-tiles")
+    return with_ntiles(stored, rows, n, passes, size)
 
 
-def test_ntile_with_more_partitions_than_rows(spark):
-    df = _frame(spark, 3, seed=1)
-    order = [sort_key("v"), sort_key("id")]
-    ours = distributed_ntile(df, 5, order, "tile", num_partitions=16)
-    assert sorted(r.tile for r in ours.collect()) == [1, 2, 3]
+def _order(name, direction="asc"):
+    return [(F.col(name), direction, "first" if direction == "asc" else "last"), (F.col("id"), "asc", "first")]
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 12, 1003])
+@pytest.mark.parametrize("size", [8, 100, splitters.SAMPLE])
+def test_ntiles_match_windows(spark, n, size):
+    df = _frame(spark, n, seed=n)
+    ours = _tiles(df, 5, {"up": _order("v"), "down": _order("v", "desc"), "g": _order("grp")}, size)
+    want = df
+    for name, key in (("up", sort_key("v")), ("down", sort_key("v", "desc")), ("g", sort_key("grp"))):
+        want = want.withColumn(name, F.ntile(5).over(Window.orderBy(key, "id")))
+    assert sorted(ours.collect()) == sorted(want.collect())
+
+
+def test_ntiles_of_all_kinds_of_keys(spark):
+    df = spark.range(400).select(
+        "id",
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("'\\é\u0000"), (F.col("id") % 9).cast("string"))).alias("text"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 11 / 3 - 1).otherwise(F.lit(float("nan"))).alias("real"),
+        (F.col("id") * F.lit(-1) % 13).cast("decimal(30,2)").alias("money"),
+        F.timestamp_micros(F.col("id") * 37 % 50).alias("time"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 17).cast("int")).alias("day"),
+        (F.col("id") % 3 == 0).alias("flag"),
+    )
+    names = ["text", "real", "money", "time", "day", "flag"]
+    ours = _tiles(df, 7, {f"t_{c}": _order(c, "desc" if i % 2 else "asc") for i, c in enumerate(names)}, 50)
+    want = df.withColumns({f"t_{c}": F.ntile(7).over(Window.orderBy(sort_key(c, "desc" if i % 2 else "asc"), "id")) for i, c in enumerate(names)})
+    pick = lambda d: sorted(d.select("id", *[f"t_{c}" for c in names]).collect())
+    assert pick(ours) == pick(want)
+
+
+def test_tiles_come_from_few_rows_and_no_sort(spark, monkeypatch):
+    from orderlake.operators import splitters as S
+
+    fetched = []
+    monkeypatch.setattr(S, "stored_rows", lambda df, name: fetched.append(out := stored_rows(df, name)) or out)
+    df = spark.range(200_000).select("id", (F.xxhash64("id") % 1000).alias("v"))
+    passes = {"a": _order("v"), "b": _order("v", "desc"), "c": [(F.col("id"), "desc", "last")]}
+    ours = _tiles(df, 5, passes, 4096)
+    # One round: the sample, the counts, and a fetch of a few rows around the twelve bounds.
+    assert len(fetched) == 1 and fetched[0][1] < 0.05 * 200_000
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+    counts = {c: {r[c]: r["count"] for r in ours.groupBy(c).count().collect()} for c in passes}
+    assert all(v == {t: 40_000 for t in range(1, 6)} for v in counts.values())
+    edge = ours.groupBy("c").agg(F.min("id").alias("x")).collect()
+    assert {r["c"]: r["x"] for r in edge} == {t: 200_000 - 40_000 * t for t in range(1, 6)}
+
+
+def test_a_poor_sample_only_costs_a_round(spark, monkeypatch):
+    """Splitters that miss every bound leave large buckets, which are searched again."""
+    whole = splitters.sample
+    monkeypatch.setattr(splitters, "sample", lambda keys, rows, *rest: whole(keys, rows, *rest)[:3] if rows > 2000 else whole(keys, rows, *rest))
+    df = _frame(spark, 5000, seed=2, key_span=2)
+    ours = _tiles(df, 5, {"t": _order("v")}, 600)
+    assert sorted(ours.collect()) == sorted(df.withColumn("t", F.ntile(5).over(Window.orderBy(sort_key("v"), "id"))).collect())
 
 
 def test_positions_are_a_permutation(spark):
@@ -61,6 +110,24 @@ def test_rank_matches_window_with_a_dominant_group(spark, n):
     assert sorted(ours.collect()) == sorted(window.collect())
 
 
+@pytest.mark.parametrize("parts", [2, 3, 17, 200])
+def test_ties_and_groups_that_span_many_buckets(spark, parts):
+    # One tie with a third of the rows, a group with two thirds, groups of one row, null groups and keys.
+    rows = [(i, "big" if i % 3 else ("lone%d" % i if i % 2 else None), None if i % 31 == 0 else (7 if i % 3 == 1 else i % 50), float(i % 4)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, grp string, v long, w double")
+    for by in ([("v", "desc")], [("v", "asc"), ("w", "desc")]):
+        ours = distributed_rank(df, ["grp"], by, ["id"], "rk", num_partitions=parts)
+        w = Window.partitionBy("grp").orderBy(*[sort_key(c, d) for c, d in by])
+        assert sorted(ours.collect(), key=repr) == sorted(df.withColumn("rk", F.rank().over(w)).collect(), key=repr)
+
+
+def test_rank_moves_rows_once_and_joins_nothing(spark):
+    df = _frame(spark, 900, seed=9)
+    ours = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=6)
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "SinglePartition" not in plan
+
+
 def test_rank_without_groups(spark):
     df = _frame(spark, 300, seed=11)
     ours = distributed_rank(df, [], [("v", "asc")], ["id"], "rk", num_partitions=4)
@@ -78,18 +145,6 @@ def test_totals_in_the_same_pass(spark):
     assert (out._mx, out._mn, out._sm) == tuple(agg)
 
 
-def test_no_single_partition_exchange_over_rows(spark):
-    df = _frame(spark, 100, seed=6)
-    out = distributed_ntile(df, 5, [sort_key("v"), sort_key("id")], "tile", num_partitions=4)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # No ntile window; only the per-partition count table meets in one place.
-    assert "ntile" not in plan
-    assert plan.count("SinglePartition") <= 1
-    window_plan = df.withColumn("t", F.ntile(5).over(Window.orderBy("v")))._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in window_plan
-
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -104,33 +159,14 @@ from hypothesis import strategies as st
 )
 def test_random_ntile_and_rank_match_windows(spark, n, tiles, parts, span, seed):
     df = _frame(spark, n, seed=seed, key_span=span)
-    order = [sort_key("v", "desc"), sort_key("id")]
-    ours = distributed_ntile(df, tiles, order, "t", num_partitions=parts)
-    window = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(*order)))
+    ours = _tiles(df, tiles, {"t": _order("v", "desc")}, 8 * parts)
+    window = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(sort_key("v", "desc"), "id")))
     assert sorted(ours.collect()) == sorted(window.collect())
     ranked = distributed_rank(df, ["grp"], [("v", "asc")], ["id"], "rk", num_partitions=parts)
     w = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first())
     assert sorted(ranked.collect()) == sorted(df.withColumn("rk", F.rank().over(w)).collect())
 
 
-def test_customer_scoring_never_meets_in_one_partition(spark, sample_bronze):
-    from orderlake.operators.marts import build_customer_segments, completed_orders
-    from orderlake.plans.silver import silver_from_bronze
-
-    # tiny input: ask for several partitions so the distributed path is planned
-    seg = build_customer_segments(completed_orders(silver_from_bronze(sample_bronze)), num_partitions=3)
-    seg.collect()
-    lines = seg._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
-    assert not any("ntile" in line for line in lines)
-    found = 0
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            # only per-partition counts and totals (one row per partition or task)
-            found += 1
-            assert "_part" in lines[i + 1] or "partial_max(" in lines[i + 1], lines[i + 1]
-    assert found >= 1  # earlier passes sit behind their checkpoints
-
-
 def test_positions_follow_the_order(spark):
     df = _frame(spark, 400, seed=21)
     out = with_global_position(df, [sort_key("v"), sort_key("id")], num_partitions=5)
@@ -139,43 +175,16 @@ def test_positions_follow_the_order(spark):
     )
 
 
-def test_one_range_partition_gives_the_same_result(spark):
-    df = _frame(spark, 700, seed=31, key_span=3)
-    order = [sort_key("v", "desc"), sort_key("id")]
-    one = distributed_ntile(df, 5, order, "t", num_partitions=1, totals={"_mx": ("max", "v")})
-    many = distributed_ntile(df, 5, order, "t", num_partitions=6, totals={"_mx": ("max", "v")})
-    assert sorted(one.collect()) == sorted(many.select(*one.columns).collect())
-    r1 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=1)
-    r6 = distributed_rank(df, ["grp"], [("v", "desc")], ["id"], "rk", num_partitions=6)
-    assert sorted(r1.collect()) == sorted(r6.select(*r1.columns).collect())
-
-
 def test_empty_orders_are_rejected(spark):
     df = _frame(spark, 10, seed=1)
     with pytest.raises(ValueError):
         distributed_rank(df, ["grp"], [], ["id"], "rk")
     with pytest.raises(ValueError):
-        distributed_ntile(df, 5, [], "t")
+        with_ntiles(df, 10, 5, {"t": []})
     with pytest.raises(ValueError):
         with_global_position(df, [])
 
 
-def test_ntiles_by_bounds_equal_the_windows(spark):
-    from orderlake.operators.ranking import stored_rows, with_ntiles
-
-    for n in (0, 1, 4, 5, 6, 12, 403):
-        df = _frame(spark, n, seed=n + 1)
-        stored, rows = stored_rows(df, "test")
-        got = with_ntiles(
-            stored, rows, 5,
-            {"a": [(F.col("v"), "asc", "first"), (F.col("id"), "asc", "first")], "b": [(F.col("v"), "desc", "last"), (F.col("id"), "desc", "last")]},
-        )
-        want = df.withColumn("a", F.ntile(5).over(Window.orderBy(F.col("v").asc_nulls_first(), "id"))).withColumn(
-            "b", F.ntile(5).over(Window.orderBy(F.col("v").desc_nulls_last(), F.col("id").desc()))
-        )
-        assert sorted((r.id, r.a, r.b) for r in got.collect()) == sorted((r.id, r.a, r.b) for r in want.collect())
-
-
 def test_partition_count_has_no_ceiling():
     from orderlake.operators.ranking import partitions_for
 
