@@ -474,3 +474,13 @@ ORACLE["stored_silver"] = (
     f"SELECT * EXCLUDE (_ingested_at, _source_path, _pipeline_run_id) FROM ({ORACLE['silver_orders']})"
 )
 ORACLE |= {f"stored_{m}": ORACLE[m] for m in ("sales_by_region", "product_performance", "customer_segments")}
+ORACLE |= {
+    "bronze_commits": ORACLE["bronze_roundtrip"],
+    "stored_quarantine": ORACLE["quarantined_orders"],
+    "incremental_silver": ORACLE["silver_columns"],
+    "bucketed_dedupe": ORACLE["dedupe_latest"],
+    "unique_customers": q(
+        "SELECT region, order_year, COUNT(DISTINCT customer_id) AS unique_customers FROM completed GROUP BY region, order_year "
+        "UNION ALL SELECT '(all)', order_year, COUNT(DISTINCT customer_id) FROM completed GROUP BY order_year"
+    ),
+}

@@ -8,6 +8,7 @@ with :mod:`orderlake.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +29,21 @@ from orderlake.operators.marts import (
     top_products_by_category,
     with_recency,
 )
+from orderlake.operators.distinct import distinct_bitmaps, distinct_counts, numbered
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import (
     quarantined_orders,
     validate_schema,
     validation_report,
 )
-from orderlake.plans.jobs import run_load, validate_layers
+from orderlake.operators.storing import stored_rows
+from orderlake.plans.jobs import run_ingestion, run_load, run_transformation, validate_layers
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.session import scratch_path
+from orderlake.sources.bucketed import append_bucketed, bucketed_table
 from orderlake.sources.csv import read_raw_csv, write_raw_csv
-from orderlake.sources.parquet import read_bronze, read_silver
+from orderlake.sources.parquet import read_bronze, read_quarantine, read_silver
 from orderlake.sources.sinks import write_bronze, write_corrupt_records, write_silver
 from orderlake.sources.synthetic import synthetic_orders
 from orderlake.sources.tables import bronze_from_tables, raw_orders_from_tables
@@ -50,6 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIXED_RUN_TIME = "2024-01-01 00:00:00"
 FIXED_SOURCE = "s3a://landing/sales/*.csv"
 TOP_K = 10
+BUCKETS = 16
 
 
 def _bronze(spark: SparkSession, d: str) -> DataFrame:
@@ -301,6 +306,58 @@ def stream_ingest(spark, d):
     return read_bronze(spark, f"{root}/bronze").drop(*schema.METADATA_COLUMNS)
 
 
+def _arrivals(spark, d, parts: int):
+    """Bronze rows dealt to several runs, so that copies of an order arrive in different ones."""
+    bronze = _bronze(spark, d)
+    for i in range(parts):
+        yield f"run-{i}", bronze.where(F.coalesce(F.pmod(F.xxhash64("quantity", "created_at"), F.lit(parts)), F.lit(0)) == i)
+
+
+def bronze_commits(spark, d):
+    """Bronze appended in three runs, each of them twice under its key."""
+    path = scratch_path(spark, "bronze")
+    for key, rows in _arrivals(spark, d, 3):
+        for _ in range(2):
+            write_bronze(rows, path, run_key=key)
+    return read_bronze(spark, path)
+
+
+def stored_quarantine(spark, d):
+    """What ingestion stores of invalid rows, split off while the source is read once."""
+    root = scratch_path(spark, "quarantine")
+    write_raw_csv(raw_orders_from_tables(spark, d), f"{root}/landing")
+    run_ingestion(spark, f"{root}/landing/*.csv", f"{root}/bronze", FIXED_RUN_TIME, quarantine_path=f"{root}/quarantine")
+    stored = read_quarantine(spark, f"{root}/quarantine").drop(*schema.METADATA_COLUMNS, schema.CORRUPT_COLUMN)
+    return stored.withColumn(schema.REASONS_COLUMN, F.array_join(schema.REASONS_COLUMN, "; "))
+
+
+def incremental_silver(spark, d):
+    """Silver merged run by run while bronze grows."""
+    root = scratch_path(spark, "incremental")
+    for key, rows in _arrivals(spark, d, 3):
+        write_bronze(rows, f"{root}/bronze", run_key=key)
+        run_transformation(spark, f"{root}/bronze", f"{root}/silver", incremental=True)
+    return _no_clock(read_silver(spark, f"{root}/silver", completed_only=False))
+
+
+def bucketed_dedupe(spark, d):
+    """Deduplication of bronze that is stored in buckets by order id, appended in three runs."""
+    path = scratch_path(spark, "bucketed")
+    for key, rows in _arrivals(spark, d, 3):
+        append_bucketed(rows, path, BUCKETS, run_key=key)
+    return deduplicate(bucketed_table(spark, path, f"bronze_{uuid.uuid4().hex}", BUCKETS))
+
+
+def unique_customers(spark, d):
+    """Distinct customers of completed orders by region and year, and over all regions, from bitmaps by month."""
+    orders, _ = stored_rows(_completed(spark, d).select("customer_id", "region", "order_year", "order_month"), "customer-orders")
+    bitmaps = distinct_bitmaps(orders, ["region", "order_year", "order_month"], "customer_id", numbered(orders, "customer_id"))
+    by_month, _ = stored_rows(bitmaps, "customer-bitmaps")
+    by_region = distinct_counts(by_month, ["region", "order_year"], "unique_customers")
+    overall = distinct_counts(by_month, ["order_year"], "unique_customers").withColumn("region", F.lit("(all)"))
+    return by_region.unionByName(overall)
+
+
 def synthetic(spark, d):
     ids = spark.read.parquet(f"{d}/lineitem.parquet").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")
@@ -379,6 +436,11 @@ REGISTRY: dict[str, Query] = {
     "layer_checks": layer_checks,
     "stream_ingest": stream_ingest,
     "synthetic_orders": synthetic,
+    "bronze_commits": bronze_commits,
+    "stored_quarantine": stored_quarantine,
+    "incremental_silver": incremental_silver,
+    "bucketed_dedupe": bucketed_dedupe,
+    "unique_customers": unique_customers,
     "stored_silver": stored_silver,
     **{f"stored_{m}": _stored_mart(m) for m in ("sales_by_region", "product_performance", "customer_segments")},
 }
