@@ -7,6 +7,7 @@ with a few vector operations and no Python loop over characters.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -31,9 +32,30 @@ def held(key: Hashable, make: Callable[[], Any]) -> Any:
 
 
 def release() -> None:
-    """Free what another operator's tasks left in this worker, which Spark uses again."""
+    """Free what another operator's tasks left in this worker, which Spark uses again.
+
+    Arrow takes memory from the C heap from then on, and what is free there goes back to the system.
+    """
     _HELD.clear()
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(apply: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``apply`` with :func:`release` before and after it: nothing of a task stays in the worker."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from apply(parts)
+        finally:
+            release()
+
+    return run
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -160,9 +182,9 @@ def words_of(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit fingerprint of each byte range, at most a megabyte of prefix sums at a time."""
+    """A 64-bit fingerprint of each byte range, about 64 KB of text at a time."""
     out = np.zeros(len(start), U64)
-    step = 1 << 20
+    step = (1 << 16) - 1
     at = 0
     while at < len(start):
         base = start[at]

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, release, signed, text_buffer
+from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, part_slices, signed, text_buffer, tidy
 from orderlake.llm.digest import text_digest
 from orderlake.operators.ranking import with_global_position
 from orderlake.session import scratch_path
@@ -47,6 +47,8 @@ GRAM = 16
 BLOCK = 9
 #: Window starts that are handled at once; a longer document takes several rounds.
 CHUNK = 1 << 18
+#: Bytes of text whose runs are named at once, and of packed texts that are unpacked before rows go out.
+SLICE, PACKED = 1 << 23, 1 << 20
 NULL_ID = (1 << 63) - 1
 
 # A run's place packs its sampled place, the distances from it back to the first and the last window start, and two marks:
@@ -123,6 +125,12 @@ def sampled_runs(raw: np.ndarray, offs: np.ndarray, min_len: int) -> Iterator[tu
         assert first < rows
 
 
+def _slices(parts: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches of a task cut by the bytes of one column, so that what is worked on at once stays small."""
+    for part in parts:
+        yield from part_slices(part, column, size)
+
+
 def first_in_batch(keys: list[np.ndarray], doc: np.ndarray, rank: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Masks of the earliest row of each key and of later rows at another place."""
     n = len(doc)
@@ -156,8 +164,7 @@ def _ranks(ords: np.ndarray, ties: np.ndarray) -> np.ndarray:
 
 def _run_rows(min_len: int, hot: np.ndarray):
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        for part in parts:
+        for part in _slices(parts, "text", SLICE):
             raw, offs = text_buffer(part["text"])
             found = list(sampled_runs(raw, offs, min_len))
             if not found:
@@ -177,7 +184,7 @@ def _run_rows(min_len: int, hot: np.ndarray):
             rows = {"gram": signed(gram), "name": signed(name), "ord": ords[doc], "tie": ties[doc], "place": place}
             yield from batches({k: v[keep] for k, v in rows.items()}, _RUNS)
 
-    return apply
+    return tidy(apply)
 
 
 def _frequent(min_len: int, share: int):
@@ -185,8 +192,7 @@ def _frequent(min_len: int, share: int):
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        for part in parts:
+        for part in _slices(parts, "text", SLICE):
             raw, offs = text_buffer(part["text"])
             found = [(x[0], x[1]) for x in sampled_runs(raw, offs, min_len)]
             if not found:
@@ -203,16 +209,15 @@ def _frequent(min_len: int, share: int):
                    "total": np.append(np.zeros(len(big), np.int64), len(gram))}
             yield from batches(out, schema)
 
-    return apply
+    return tidy(apply)
 
 
 def _block_rows(min_len: int):
     core = min_len - BLOCK + 1
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         unzip = zstandard.ZstdDecompressor()
-        for part in parts:
+        for part in _slices(parts, "z", PACKED):
             found = []
             ords, ties = part["ord"].to_numpy(zero_copy_only=False), part["tie"].to_numpy(zero_copy_only=False)
             open_rows = part["open"]
@@ -256,7 +261,7 @@ def _block_rows(min_len: int):
             keep = firsts | dups
             yield from batches({k: v[keep] for k, v in rows.items()}, _BLOCKS)
 
-    return apply
+    return tidy(apply)
 
 
 def _left_mask(j: np.ndarray) -> np.ndarray:
@@ -275,11 +280,11 @@ def _as_long(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+@tidy
 def _squeeze(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    release()
     schema = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("doc_id", pa.int64()), ("z", pa.binary())])
     zip_ = zstandard.ZstdCompressor(level=3)
-    for part in parts:
+    for part in _slices(parts, "text", SLICE):
         raw, offs = text_buffer(part["text"])
         data = raw.tobytes()
         z = [zip_.compress(data[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
@@ -292,9 +297,8 @@ def _cut(min_len: int, as_text: bool):
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         unzip = zstandard.ZstdDecompressor()
-        for part in parts:
+        for part in _slices(parts, "z", PACKED):
             sizes, kept, spans = [], [], []
             marks = part["marks"]
             for i, z in enumerate(part["z"]):
@@ -319,7 +323,7 @@ def _cut(min_len: int, as_text: bool):
             columns = [part["doc_id"], part["ord"], part["tie"], pa.array(sizes, pa.int64()), pa.array(kept, kept_field.type)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, schema.field("spans").type)], schema=schema)
 
-    return apply
+    return tidy(apply)
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
