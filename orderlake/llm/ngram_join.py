@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from orderlake.llm._arrays import U64, batches, lower_ascii, mix, release, rolling, row_slices, text_buffer, word_hashes, words_of
 from orderlake.llm.components import components
 from orderlake.llm.digest import text_digest
-from orderlake.session import scratch_path
+from orderlake.session import owned_scratch, scratch_path
 
 BITS = 512
 #: Hash counters that order the shingles: a fixed size, whatever the input.
@@ -435,11 +435,17 @@ def shingle_links(docs: DataFrame, words: int = 3, percent: int = 90) -> tuple[D
 
 
 def component_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """ord, tie, n (shingles) and root (a row number that names the component) of each distinct document."""
-    members, links = shingle_links(docs, words, percent)
-    nodes = components(links.toDF("a", "b"))
-    named = members.join(nodes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    return _stored(named.select("ord", "tie", "n", "root"), "shingle-components")
+    """ord, tie, n (shingles) and root (a row number that names the component) of each distinct document.
+
+    They are stored; the tables that the search makes are deleted with its end.
+    """
+    path = scratch_path(docs.sparkSession, "shingle-components")
+    with owned_scratch(docs.sparkSession):
+        members, links = shingle_links(docs, words, percent)
+        nodes = components(links.toDF("a", "b"))
+        named = members.join(nodes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+        named.select("ord", "tie", "n", "root").write.parquet(path)
+    return docs.sparkSession.read.schema("ord long, tie binary, n int, root long").parquet(path)
 
 
 def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
