@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.llm.digest import text_digest
+from orderlake.llm.names import boxed, unboxed
 from orderlake.session import scratch_path
 
 WINDOW = 8
@@ -45,7 +47,7 @@ def normal_line(line: Column) -> Column:
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, crc, source, row, measures of the text and its lines as (a, b, n): two hashes and the words."""
+    """Per row: doc_id, digest, source, row, measures of the text and its lines as (a, b, n): two hashes and the words."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
@@ -55,7 +57,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "source",
-        F.crc32("text").alias("crc"),
+        text_digest().alias("digest"),
         F.length(F.translate("text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(rf"[^{_SPACE}]")).alias("lines"),
@@ -97,11 +99,12 @@ def base_measures(docs: DataFrame) -> DataFrame:
 def line_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Measures and verdict per row.
 
-    ``docs`` needs doc_id, text and source; other columns are ignored. Returns doc_id, crc (of the text), n_words,
+    ``docs`` needs doc_id, text and source; other columns are ignored. Returns doc_id, digest (of the text), n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_left_words and removed (array of the hashes of
     the lines that are removed). Null texts count as empty and fail the base rules. A null source is a host of its
-    own. Rows with the same doc_id count as one document in line counts, each row with a null doc_id as one; every row gets a result. Empty
-    tables give an empty result.
+    own. Rows with the same doc_id count as one document in line counts, each row with a null doc_id as one; every row gets a result. Lines and windows
+    that are equal count as such whichever comes first, so ties play no part; texts of any length are measured whole. Empty tables give an
+    empty result.
     """
     path = scratch_path(docs.sparkSession, "line-measures")
     measures = base_measures(docs)
@@ -126,15 +129,16 @@ def line_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
     depleted = (left < limits.min_words) | (100 * left < limits.min_left_percent * F.col("n_words"))
     return out.select(
-        "doc_id", "crc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), left.cast("long").alias("n_left_words"), "removed",
     )
 
 
 def without_common_lines(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The kept rows of docs, their texts without the removed lines; all columns of docs."""
-    marks = verdicts.where("kept").select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), F.col("removed").alias("_removed")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.crc32(F.coalesce("text", F.lit(""))) == F.col("_crc"))
+    """The kept rows of docs, their texts without the removed lines; all columns of docs, whatever their names."""
+    marks = verdicts.where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("removed").alias("_removed")).distinct()
+    keyed = boxed(docs, F.col("doc_id").cast("long").alias("_own"), text_digest().alias("_same"), F.col("text").alias("_text"))
     gone = lambda x: F.array_contains(F.col("_removed"), F.struct(F.xxhash64(normal_line(x)).alias("a"), F.hash(normal_line(x)).alias("b")))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~gone(x)), "\n")
-    return docs.join(marks, same).withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left)).select(*docs.columns)
+    left = F.array_join(F.filter(F.split("_text", "\n", -1), lambda x: ~gone(x)), "\n")
+    text = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(left)
+    return unboxed(keyed.join(marks, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_digest"))), docs.columns, {"text": text})

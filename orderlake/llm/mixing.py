@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.llm.names import boxed
 from orderlake.operators.ranking import with_global_position
 from orderlake.session import scratch_path
 
@@ -26,10 +27,25 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
 
 
-def row_hash(key: str = "doc_id") -> Column:
+def row_hash(key: str = "_key") -> Column:
     """60 bits that depend on the key alone."""
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")).cast("binary"))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as ``_row``, with ``source``, ``text`` and the ``_key`` that its hash depends on.
+
+    The key is the doc_id. Rows without one have the digest of their text and their number among equal texts, so that they are
+    taken one by one; the numbers come from positions in the order of digests, which no group of equal texts brings to one task.
+    """
+    named = boxed(docs.where(F.col("doc_id").isNotNull()), "source", "text", F.col("doc_id").cast("string").alias("_key"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    nameless = boxed(docs.where(F.col("doc_id").isNull()), "source", "text", digest.alias("_key"))
+    placed = _stored(with_global_position(nameless, [F.col("_key")], "_at", "_all").drop("_all"), "mix-nameless")
+    firsts = placed.groupBy("_key").agg(F.min("_at").alias("_first"))
+    number = F.col("_at") - F.col("_first") + 1
+    numbered = placed.join(firsts, "_key").select("_row", "source", "text", F.concat(F.lit("null"), "_key", F.lit(":"), number.cast("string")).alias("_key"))
+    return named.unionByName(numbered)
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -115,21 +131,21 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "source_size", "target", "full", F.coalesce("below", F.lit(0)).alias("below"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, prefix: str = "_") -> DataFrame:
     """``docs`` with the columns _size, _source_size, _target and _copies (how often the mix takes the row).
 
-    ``docs`` needs doc_id, text and source; all rows and columns are kept. Null texts have size 0. A null source is
+    ``docs`` needs doc_id, text and source; all rows and columns are kept. ``prefix`` stands before the names of the new columns, which must
+    differ from the columns of ``docs``. Null texts have size 0, texts of any length count whole. A null source is
     a source of its own, after the others. Rows with the same doc_id have the same hash and are
-    taken together; reruns take the same rows. Sources without words take each row 0 times, an empty table
-    gives an empty result.
+    taken together; rows without one are taken one by one, repeated rows included. Reruns take the same rows; of rows without
+    an id that are equal in text, as many. Sources without words take each row 0 times, an empty table gives an empty result.
     """
-    sized = _stored(docs.select("source", word_count().alias("size"), row_hash().alias("h")), "mix-sizes")
+    names = [f"{prefix}{n}" for n in ("size", "source_size", "target", "copies")]
+    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the table has a column among {names}: choose another prefix")
+    rows = keyed_rows(docs)
+    sized = _stored(rows.select("source", word_count().alias("size"), row_hash().alias("h")), "mix-sizes")
     plan = thresholds(sized, source_targets(sized, weights, share, most)).toDF("_s", "_source_size", "_target", "_full", "_below")
-    joined = docs.join(plan, docs["source"].eqNullSafe(F.col("_s")), "left")
-    return joined.select(
-        *[docs[c] for c in docs.columns if c not in ("_size", "_source_size", "_target", "_copies")],
-        word_count().alias("_size"),
-        "_source_size",
-        "_target",
-        (F.col("_full") + (row_hash() < F.col("_below")).cast("long")).alias("_copies"),
-    )
+    joined = rows.join(plan, rows["source"].eqNullSafe(F.col("_s")), "left")
+    values = [word_count(), F.col("_source_size"), F.col("_target"), F.col("_full") + (row_hash() < F.col("_below")).cast("long")]
+    return joined.select(*[F.col("_row")[c].alias(c) for c in docs.columns], *[v.alias(n) for v, n in zip(values, names)])

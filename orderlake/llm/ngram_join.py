@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from orderlake.llm._arrays import U64, batches, lower_ascii, mix, release, rolling, row_slices, text_buffer, word_hashes, words_of
 from orderlake.llm.components import components
 from orderlake.llm.digest import text_digest
+from orderlake.llm.names import boxed, unboxed
 from orderlake.session import owned_scratch, scratch_path
 
 BITS = 512
@@ -452,14 +453,12 @@ def one_of_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame
     """The rows of docs that stay when of each component only its first document is kept.
 
     First is the smallest doc_id (null last), then the smallest CRC-32 of the text, then the smallest MD5. Of rows with the same doc_id and text one stays.
-    All columns are kept. Documents without words are components of their own.
+    All columns are kept, whatever their names. Documents without words are components of their own.
     """
     named = component_rows(docs, words, percent)
     first = named.groupBy("root").agg(F.min(F.struct("ord", "tie")).alias("f")).select(F.col("f.ord").alias("_ord"), F.col("f.tie").alias("_tie"))
-    keyed = docs.withColumns(
-        {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_tie": text_digest()}
-    )
-    return keyed.join(first, ["_ord", "_tie"]).dropDuplicates(["_ord", "_tie"]).select(*docs.columns)
+    keyed = boxed(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_ord"), text_digest().alias("_tie"))
+    return unboxed(keyed.join(first, ["_ord", "_tie"]).dropDuplicates(["_ord", "_tie"]), docs.columns)
 
 
 def similar_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:

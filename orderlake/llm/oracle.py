@@ -30,7 +30,8 @@ FROM h JOIN kept ON kept.doc_id = h.doc_id LEFT JOIN counts ON counts.doc_id = h
 _OP2 = f"""
 WITH s AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR,
+      'null' || md5(coalesce(text, '')) || ':' || row_number() OVER (PARTITION BY doc_id, md5(coalesce(text, ''))))), 1, 15))::BIGINT AS h
   FROM documents),
 t AS (SELECT source, sum(size)::BIGINT AS ss FROM s GROUP BY source),
 w AS (SELECT source, ss, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1)::BIGINT % 3 + 1]::DOUBLE AS w FROM t),

@@ -36,7 +36,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2.0)
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), (5, 2, 1), 1.5, 2.0)
     return mixed.select(
         "doc_id",
         F.col("_size").alias("size"),

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, part_slices, signed, text_buffer, tidy
 from orderlake.llm.digest import text_digest
+from orderlake.llm.names import boxed, unboxed
 from orderlake.operators.ranking import with_global_position
 from orderlake.session import scratch_path
 
@@ -470,12 +471,12 @@ def without_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     """``docs`` with the remaining whole characters as ``text``; all rows and columns are kept.
 
     ``n_chars``, if there is such a column, becomes the length of the new text. Null texts become
-    empty ones.
+    empty ones. Other columns may have any names.
     """
-    keyed = _keyed(docs)
+    keyed = _keyed(boxed(docs, "doc_id", "text"))
     kept = _removed(keyed.select("doc_id", "text", "_ord", "_tie"), min_len, as_text=True).select(
         F.col("ord").alias("_ord"), F.col("tie").alias("_tie"), F.col("text").alias("_text")
     )
-    joined = keyed.drop("text").join(kept.dropDuplicates(["_ord", "_tie"]), ["_ord", "_tie"])
+    joined = keyed.select("_row", "_ord", "_tie").join(kept.dropDuplicates(["_ord", "_tie"]), ["_ord", "_tie"])
     fresh = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return joined.withColumns(fresh).select(*docs.columns)
+    return unboxed(joined, docs.columns, fresh)
