@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and
 returns documents (the last one the digests of their tokens). Null texts count as empty, tables
-may be empty, and columns beyond those of the table pass through.
+may be empty, and columns beyond those of the table pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm import bpe, mixing, ngram_join, suffix_dedup, toxicity
+from orderlake.llm.names import free_name, free_prefix
 from orderlake.llm.queries import RANK_FILE, bpe_pattern
 from orderlake.session import scratch_path
 
-_SCORE = "_toxicity"
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5, by a network fitted on the labelled ones among them."""
     net = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, net, _SCORE).where(F.col(_SCORE) < 0.5).drop(_SCORE)
+    score = free_name(docs.columns, "_toxicity")
+    return toxicity.score(docs, net, score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    mixed = mixing.mix(docs, (5, 2, 1), 1.5, 2.0)
-    return mixed.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    prefix = free_prefix(docs.columns, "_mix_")
+    mixed = mixing.mix(docs, (5, 2, 1), 1.5, 2.0, prefix)
+    copies = F.col(f"{prefix}copies")
+    return mixed.where(copies > 0).withColumn(f"{prefix}copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ STAGES = [
     ("byte_bpe", tokenize),
 ]
 
-#: A trained network, fingerprints and merges have no SQL form; tests compare run() with brute force.
+#: A trained network and merges have no SQL form; tests hold run() against a plain Python pipeline that only asks the network for its scores.
 ORACLE_SQL = None
 
 
