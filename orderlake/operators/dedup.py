@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake import schema
+from orderlake.operators.storing import stored_rows
 
 
 def latest_first(df: DataFrame) -> list[Column]:
@@ -36,30 +37,14 @@ def deduplicate(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
     )
 
 
-CHUNK_ROWS = 1_000_000
+def duplicates_removed(df: DataFrame, key: str = schema.DEDUP_KEY) -> DataFrame:
+    """The rows :func:`deduplicate` drops (every copy but the survivor): ``df EXCEPT ALL survivors``.
 
-
-def duplicates_removed(
-    df: DataFrame, key: str = schema.DEDUP_KEY, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """The rows :func:`deduplicate` drops (every copy but the survivor).
-
-    The same multiset as ``df EXCEPT ALL survivors``, built so that no group
-    of copies has to meet in one task: rows are counted per distinct full row
-    (map-side combining collapses exact copies early), the survivor is
-    subtracted, and each surplus count is cut into chunks of at most
-    ``chunk_rows`` that are spread over tasks before being expanded.
+    The rows are stored once with a number each, while the result is built. The survivors' numbers come from the same partial
+    top-1 as in the deduplication, so a key sends at most one row for each task; the other rows are what no survivor's
+    number meets. Numbers spread evenly: no group of copies meets in one task, and full rows move once.
     """
-    cols = df.columns
-    tagged = df.withColumn("_v", F.lit(1)).unionByName(
-        deduplicate(df, key).withColumn("_v", F.lit(-1))
-    )
-    surplus = tagged.groupBy(*cols).agg(F.sum("_v").alias("_extra")).filter(
-        F.col("_extra") > 0
-    )
-    chunks = surplus.withColumn(
-        "_c",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("_extra") - 1) / chunk_rows).cast("long"))),
-    ).repartition(*cols, "_c")
-    size = F.least(F.lit(chunk_rows).cast("long"), F.col("_extra") - F.col("_c") * chunk_rows)
-    return chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*cols)
+    tagged, _ = stored_rows(df.withColumn("_row", F.monotonically_increasing_id()), "dedup-rows")
+    window = Window.partitionBy(key).orderBy(*latest_first(tagged), "_row")
+    survivors = tagged.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).select("_row")
+    return tagged.join(survivors, "_row", "left_anti").select(*df.columns)

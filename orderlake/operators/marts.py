@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake import schema
 from orderlake.functions import avg2, rfm_segment
+from orderlake.operators.checks import with_copies
 from orderlake.operators.ranking import distributed_rank, with_ntiles
 from orderlake.operators.storing import stored_rows
 
@@ -20,12 +21,12 @@ def completed_orders(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") == schema.COMPLETED)
 
 
-def build_sales_by_region(df: DataFrame, created_at=None) -> DataFrame:
+def build_sales_by_region(df: DataFrame, created_at=None, mark_copies: bool = False) -> DataFrame:
     """One row for each region and month: order, unit, customer and revenue figures, and the region's place in the month.
 
     A completed order with null revenue counts as an order but adds no
     revenue. The rank runs over aggregated rows, at most one per region in a
-    month, so a plain window is fine here.
+    month, so a plain window is fine here. ``mark_copies`` is for the rules counted while the mart is written.
     """
     agg = df.groupBy(*REGION_KEYS).agg(
         F.count("order_id").alias("total_orders"),
@@ -37,6 +38,7 @@ def build_sales_by_region(df: DataFrame, created_at=None) -> DataFrame:
             F.when(F.col("is_discounted"), F.col("net_revenue")).otherwise(F.lit(0))
         ).alias("discounted_revenue"),
     )
+    agg = with_copies(agg, "gold.sales_by_region") if mark_copies else agg
     month = Window.partitionBy("order_year", "order_month").orderBy(
         F.col("total_revenue").desc_nulls_last()
     )
@@ -51,7 +53,7 @@ def sort_sales_by_region(df: DataFrame) -> DataFrame:
 
 
 def build_product_performance(
-    df: DataFrame, created_at=None, num_partitions: int | None = None
+    df: DataFrame, created_at=None, num_partitions: int | None = None, mark_copies: bool = False
 ) -> DataFrame:
     """Per product totals, ranked by revenue within the category.
 
@@ -66,6 +68,7 @@ def build_product_performance(
         avg2("discount_pct").alias("avg_discount_pct"),
         F.countDistinct("customer_id").alias("unique_buyers"),
     )
+    agg = with_copies(agg, "gold.product_performance") if mark_copies else agg
     ranked = distributed_rank(
         agg,
         partition_by=["category"],

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from orderlake.operators.checks import with_copies
 from orderlake.operators.clean import clean_and_standardize
 from orderlake.operators.dedup import deduplicate
 from orderlake.operators.enrich import add_silver_columns
 
 
-def silver_from_bronze(bronze: DataFrame, null_bucket: str | None = "premium") -> DataFrame:
-    """Deduplicated, cleaned and enriched orders."""
-    return add_silver_columns(
-        clean_and_standardize(deduplicate(bronze)), null_bucket=null_bucket
-    )
+def silver_from_bronze(bronze: DataFrame, null_bucket: str | None = "premium", mark_copies: bool = False) -> DataFrame:
+    """Deduplicated, cleaned and enriched orders.
+
+    ``mark_copies`` keeps a mark on rows that share an order id, for the rules counted while silver is written.
+    """
+    latest = deduplicate(bronze)
+    latest = with_copies(latest, "silver") if mark_copies else latest
+    return add_silver_columns(clean_and_standardize(latest), null_bucket=null_bucket)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from orderlake import schema
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import validate_schema
-from orderlake.plans.jobs import validate_layers
+from orderlake.operators.checks import silver_checks
+from orderlake.plans.jobs import run_load, validate_layers
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.sources.csv import corrupt_records, read_raw_csv, write_raw_csv
@@ -108,6 +109,8 @@ def test_pipeline_runs_layers_in_order(spark, tmp_dir, sample_raw):
     assert res["load"]["metrics"] == {"sales_by_region": 3, "product_performance": 2, "customer_segments": 3}
     checks = {(r.layer, r.rule): r.violations for r in validate_layers(spark, paths.bronze, paths.silver, paths.gold).collect()}
     assert len(checks) == 15
+    # What was counted inside the writes is what the stored layers show.
+    assert res["validate"]["rules"] == {f"{layer}.{rule}": n for (layer, rule), n in checks.items()}
     assert checks[("silver", "duplicate_order_id")] == 0
     assert checks[("silver", "unknown_category")] == 0
     # PROD-0001 is sold under two categories, so it has two mart rows.
@@ -210,3 +213,74 @@ def test_recursive_csv_lookup_reads_nested_days(spark, tmp_dir):
     # a two-level glob does not reach three-level folders
     with pytest.raises(Exception):
         read_raw_csv(spark, f"{tmp_dir}/landing/*/*/sales_raw.csv").count()
+
+
+def test_rules_are_counted_in_the_write_without_reading_a_layer(spark, tmp_dir, monkeypatch):
+    from orderlake.operators.checks import observed, with_copies
+    from orderlake.plans import jobs
+
+    # Broken on purpose: rows of one id, and values outside their domains.
+    rows = [order(order_id="A"), order(order_id="A", category="Odd"), order(order_id="B", status="odd", quantity=500, unit_price=-1.0)]
+    silver = silver_from_bronze(add_ingestion_metadata(raw_frame(spark, rows), "p", "2024-01-01 00:00:00"), mark_copies=True)
+    broken = silver.unionByName(silver.withColumn("status", F.lit("lost")).withColumn("quantity", F.lit(0)).withColumn("unit_price", F.lit(-1).cast("decimal(12,2)")))
+    marked = with_copies(broken.drop("_copy_of_key"), "silver")
+    counted, violations = observed(marked, "silver")
+    write_silver(counted, f"{tmp_dir}/s")
+    stored = {f"{r.layer}.{r.rule}": r.violations for r in silver_checks(read_silver(spark, f"{tmp_dir}/s", completed_only=False)).collect()}
+    assert violations() == stored and stored["silver.duplicate_order_id"] == 2 and stored["silver.non_positive_price"] == 2
+    # No layer is read for the rules of a run.
+    write_raw_csv(raw_frame(spark, rows), f"{tmp_dir}/landing")
+    paths = LayerPaths(f"{tmp_dir}/landing/*.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    monkeypatch.setattr(jobs, "validate_layers", None)
+    res = run_pipeline(spark, None, paths, "2024-01-01 00:00:00", validate=True)
+    assert len(res["validate"]["rules"]) == 15 and res["validate"]["rules"]["silver.unknown_category"] == 0
+
+
+def test_regional_mart_is_stored_in_order(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    rows = [order(order_id=f"O{i}", region=f"R{i % 5}", order_month=1 + i % 12, order_year=2023 + i % 2, quantity=1 + i % 7) for i in range(240)]
+    bronze = add_ingestion_metadata(raw_frame(spark, rows), "p", "2024-01-01 00:00:00")
+    write_silver(silver_from_bronze(bronze), f"{tmp_dir}/silver")
+    run_load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    folder = f"{tmp_dir}/gold/sales_by_region"
+    stored = [tuple(r.values()) for f in sorted(os.listdir(folder)) if f.startswith("part-")
+              for r in pq.read_table(f"{folder}/{f}", columns=["order_year", "order_month", "revenue_rank"]).to_pylist()]
+    assert len(stored) == 60 and stored == sorted(stored)
+
+
+def test_load_times_are_those_of_the_run(spark, tmp_dir):
+    def clock():
+        return spark.sql("SELECT current_timestamp()").first()[0]
+
+    start = clock()
+    bronze = add_ingestion_metadata(raw_frame(spark, [order(order_id=f"O{i}", customer_id=f"C{i}", order_month=1 + i) for i in range(6)]), "p")
+    write_silver(silver_from_bronze(bronze), f"{tmp_dir}/silver")
+    middle = clock()
+    run_load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    end = clock()
+    (times,) = read_silver(spark, f"{tmp_dir}/silver", completed_only=False).select("_transformed_at").distinct().collect()
+    assert start <= times[0] <= middle  # one moment for all rows of a run
+    for mart in ("sales_by_region", "product_performance", "customer_segments"):
+        (times,) = spark.read.parquet(f"{tmp_dir}/gold/{mart}").select("_created_at").distinct().collect()
+        assert middle <= times[0] <= end, mart
+    (taken,) = bronze.select("_ingested_at", "_pipeline_run_id").distinct().collect()
+    assert taken[1] == taken[0].strftime("%Y-%m-%dT%H%M%S")
+
+
+def test_scratch_tables_of_a_load_are_deleted(spark, tmp_dir, monkeypatch):
+    from orderlake.plans import jobs
+    from orderlake.session import checkpoint_dir
+
+    bronze = add_ingestion_metadata(raw_frame(spark, [order(order_id=f"O{i}") for i in range(3)]), "p", "2024-01-01 00:00:00")
+    write_silver(silver_from_bronze(bronze), f"{tmp_dir}/silver")
+    root = checkpoint_dir(spark).replace("file:", "") + "/orderlake-scratch"
+    held = lambda: set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = held()
+    run_load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    assert held() == before
+    # After an error, too.
+    monkeypatch.setattr(jobs, "write_gold_mart", lambda *a: (_ for _ in ()).throw(OSError("full")))
+    with pytest.raises(OSError, match="full"):
+        run_load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    assert held() == before

@@ -125,8 +125,12 @@ def test_iso_week_and_quarter(spark, date, week, quarter):
 
 def test_duplicates_removed_spreads_large_copy_groups(spark):
     # 25 exact copies of one order and one variant: 24 copies + the variant go
-    rows = [order()] * 25 + [order(quantity=9)]
-    bronze = _bronze(spark, rows)
-    out = duplicates_removed(bronze, chunk_rows=5)
-    assert sorted(r.quantity for r in out.collect()) == [2] * 24 + [9]
-    assert "Exchange hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()
+    rows = [order()] * 25 + [order(quantity=9), order(order_id=None), order(order_id=None), order(order_id="ONE")]
+    bronze = _bronze(spark, rows).repartition(3)
+    out = duplicates_removed(bronze)
+    assert sorted(r.quantity for r in out.where("order_id IS NOT NULL").collect()) == [2] * 24 + [9]
+    kept = deduplicate(bronze)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, bronze.exceptAll(kept).collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Only the survivors' side meets by key, cut to one row a task before; the rows themselves don't.
+    assert "WindowGroupLimit" in plan and plan.count("hashpartitioning(order_id") <= 1
