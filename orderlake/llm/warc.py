@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from orderlake.session import scratch_path
 
-#: Records of an archive file at most.
-ARCHIVE_RECORDS = 4096
+#: Bytes of a block of members, and blocks of an archive file: it holds about ARCHIVE_BLOCKS * BLOCK bytes, and one large record more at most.
+BLOCK, ARCHIVE_BLOCKS = 1 << 20, 64
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _RECORD_DDL = "path string, offset long, page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long, uri string, payload binary"
@@ -98,35 +98,62 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
     }, stop + 4
 
 
+def _inside(body: bytes) -> tuple[list[dict], list[tuple[int, int, str]]]:
+    """Whole records of a member's body, and its other byte ranges with the reason."""
+    found, lost = [], []
+    at, bad, reason, dead = 0, None, "", 0
+    while at < len(body):
+        try:
+            fields, after = parse(body, at)
+        except ValueError as e:
+            if bad is None:
+                bad, reason = at, e.args[0]
+            if len(e.args) > 1:
+                dead = max(dead, e.args[1])
+            at = body.find(b"WARC/1.", max(at + 1, dead))
+            at = len(body) if at < 0 else at
+            continue
+        if bad is not None:
+            lost.append((bad, at, reason))
+            bad = None
+        found.append(fields)
+        at = after
+    if bad is not None:
+        lost.append((bad, len(body), reason))
+    return found, lost
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, object]]:
     """("record", offset, fields) and ("gap", start, (end, reason)) of an archive, in order.
 
     Offsets count in the file. Every byte belongs to a record or a gap, but for
-    empty members and blank lines between records.
+    empty members and blank lines between records. A member may hold several records: those around a bad one, and whole
+    ones in front of the place where a member breaks off, are kept, and its gap names the bytes of its body.
     """
     view = memoryview(data)
     at, bad, reason, dead = 0, None, "", 0
     while at < len(data):
+        found: list[dict] = []
+        lost: list[tuple[int, int, str]] = []
         try:
             if data.startswith(_MAGIC, at):
                 # One member at a time: feed slices until it ends.
                 z = zlib.decompressobj(31)
-                pieces, pos = [], at
+                pieces, pos, broken = [], at, ""
                 try:
                     while not z.eof and pos < len(data):
                         pieces.append(z.decompress(view[pos : pos + (1 << 16)]))
                         pos += 1 << 16
                 except zlib.error as e:
-                    raise ValueError(f"bad member: {e}") from None
+                    broken = f"bad member: {e}"
                 if not z.eof:
-                    raise ValueError("member is cut")
+                    broken = broken or "member is cut"
+                found, lost = _inside(b"".join(pieces))
+                if broken:
+                    raise ValueError(broken)
+                if lost and not found:
+                    raise ValueError(lost[0][2])
                 nxt = min(pos, len(data)) - len(z.unused_data)
-                body, inner, found = b"".join(pieces), 0, []
-                while inner < len(body):
-                    fields, inner = parse(body, inner)
-                    found.append(fields)
             elif data.startswith(b"WARC/", at):
                 fields, nxt = parse(data, at)
                 found = [fields]
@@ -136,6 +163,13 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, object]]:
             else:
                 raise ValueError("neither a member nor a version line")
         except ValueError as e:
+            if found:
+                # Records in front of the break of a member that is itself lost.
+                if bad is not None:
+                    yield "gap", bad, (at, reason)
+                    bad = None
+                for fields in found:
+                    yield "record", at, fields
             if bad is None:
                 bad, reason = at, e.args[0]
             # Places in the body of a member don't count in the file.
@@ -149,6 +183,8 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, object]]:
             bad = None
         for fields in found:
             yield "record", at, fields
+        for a, b, why in lost:
+            yield "gap", at, (nxt, f"bytes {a} to {b} of the member: {why}")
         at = nxt
     if bad is not None:
         yield "gap", bad, (len(data), reason)
@@ -160,9 +196,9 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 1000) -> None:
     Payload is the html in UTF-8. Of records with equal payloads (by SHA-1 and length) of at least ``min_revisit`` bytes the one
     with the largest page_id is the response and others revisit it; all else is a response. Null html and
     urls count as empty. Rows with that largest page_id are all responses; rows with a null page_id are responses and not referred
-    to. Other columns are ignored; an empty table leaves no records.
+    to. Other columns are ignored; an empty table leaves no records. Files end after about 64 MB; a record is never cut, so one
+    that is larger makes a larger file.
     """
-    spark = pages.sparkSession
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
@@ -178,17 +214,37 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = 1000) -> None:
     # Revisits have no block; their payload doesn't travel further.
     linked = linked.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b"")))
 
-    def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks = linked.select("page_id", "url", "payload", "digest", "n", "refers_to").mapInArrow(_blocks(BLOCK), "block binary")
+    writer = blocks.select(F.col("block").cast("string").alias("value")).write
+    writer.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_BLOCKS).text(path)
+
+
+def _blocks(size: int):
+    """Members as rows of about ``size`` bytes, so that a file's bound on rows is one on bytes.
+
+    A row of several times that size is followed by as many rows of an empty member each. Rows lack their last byte, which is the
+    text sink's line separator.
+    """
+
+    def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = member(b"")[:-1]
+
+        def rows(block: bytes) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block[:-1], *[empty] * (len(block) // size)], pa.binary())], names=["block"])
+
+        held, total = [], 0
         for part in parts:
-            for at in range(0, part.num_rows, 256):
-                piece = part.slice(at, 256)
-                args = zip(*(piece[c].to_pylist() for c in ("page_id", "url", "payload", "digest", "n", "refers_to")))
-                # The text sink's line separator is the member's last byte.
-                yield pa.RecordBatch.from_arrays([pa.array([member(record(*x))[:-1] for x in args], pa.binary())], names=["member"])
-
-    members = linked.select("page_id", "url", "payload", "digest", "n", "refers_to").mapInArrow(pack, "member binary")
-    writer = members.select(F.col("member").cast("string").alias("value")).write
-    writer.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+            columns = [part[c] for c in ("page_id", "url", "payload", "digest", "n", "refers_to")]
+            for i in range(part.num_rows):
+                held.append(member(record(*(c[i].as_py() for c in columns))))
+                total += len(held[-1])
+                if total >= size:
+                    yield rows(b"".join(held))
+                    held, total = [], 0
+        if held:
+            yield rows(b"".join(held))
+
+    return apply
 
 
 def _read(spark: SparkSession, path: str, wanted: str, ddl: str) -> DataFrame:

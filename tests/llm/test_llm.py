@@ -261,6 +261,43 @@ def test_reader_salvages_after_damage(packed):
     assert list(warc.salvage(b"")) == [] and list(warc.salvage(b"junk"))[0][2][0] == 4
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_records_around_a_bad_one_in_a_member_are_kept(packed):
+    blocks = [f"page {i} ".encode() * 40 for i in range(4)]
+    parts = [bytearray(warc.record(i, "u", b, hashlib.sha1(b).hexdigest(), len(b), None)) for i, b in enumerate(blocks)]
+    cut = len(parts[0])
+    parts[1][-20] ^= 1  # the payload no longer has its digest
+    body = bytes(b"".join(parts))
+    after = warc.member(bytes(warc.record(9, "u", b"x", hashlib.sha1(b"x").hexdigest(), 1, None)))
+    data = warc.member(body) + after if packed else body
+    found = list(warc.salvage(data))
+    assert [x[2]["page_id"] for x in found if x[0] == "record"] == ([0, 2, 3, 9] if packed else [0, 2, 3])
+    ((_, start, (end, reason)),) = [x for x in found if x[0] == "gap"]
+    if packed:
+        assert (start, end) == (0, len(warc.member(body))) and f"bytes {cut} to {cut + len(parts[1])}" in reason
+        # A member that breaks off: what is whole in front of the break is kept, and what comes behind.
+        broken = warc.member(bytes(b"".join([parts[0], parts[2], *[bytes(np.random.default_rng(1).integers(0, 256, 90_000, np.uint8))]])))[:40_000] + after
+        found = list(warc.salvage(broken))
+        assert [x[2]["page_id"] for x in found if x[0] == "record"] == [0, 2, 9] and [x[1] for x in found if x[0] == "gap"] == [0]
+    else:
+        assert (start, end) == (cut, cut + len(parts[1]))
+
+
+def test_archives_are_cut_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "BLOCK", 4096)
+    monkeypatch.setattr(warc, "ARCHIVE_BLOCKS", 4)
+    rng = random.Random(5)
+    text = lambda n: "".join(chr(rng.randrange(32, 127)) for _ in range(n))
+    pages = [(i, "u", text(100)) for i in range(300)] + [(400 + i, "u", text(60_000)) for i in range(3)] + [(500 + i, "u", text(100)) for i in range(50)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(frame, f"{tmp_path}/w")
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").iterdir() if f.name.startswith("part-"))
+    assert len(sizes) >= 6 and sizes[-1] < 4 * 4200 + 60_000 and sizes[-4] < 4 * 4600
+    got = warc.read_records(spark, f"{tmp_path}/w").collect()
+    assert Counter((r.page_id, bytes(r.payload).decode()) for r in got) == Counter((i, t) for i, _, t in pages)
+    assert warc.read_gaps(spark, f"{tmp_path}/w").count() == 0
+
+
 def test_pages_with_long_urls_are_read_back(spark):
     urls = ["data:text/html," + "q" * 150_000, "http://x/" + " \n" * 60_000, "u"]
     frame = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
