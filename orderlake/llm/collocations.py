@@ -38,6 +38,8 @@ SLICE = 1 << 22
 WORDS_SHARD = 1 << 21
 #: Candidates of one broadcast trie (about 30 bytes each).
 SHARD = 1 << 18
+#: Counts of a bincount that move together (8 bytes each).
+CELLS = 512
 DIGIT = 10
 SPAN = 1 << DIGIT
 
@@ -327,7 +329,7 @@ def _built(k: int, digits: int):
 
 
 def _walked(trie: Broadcast, size: int, base: int, k: int, digits: int, first: bool, last: bool):
-    """Arrays with the phrases of one trie filled in, and a row with the task's bincount of accepting states."""
+    """Arrays with the phrases of one trie filled in, and rows with pieces of the task's bincount of accepting states."""
 
     def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
@@ -341,20 +343,27 @@ def _walked(trie: Broadcast, size: int, base: int, k: int, digits: int, first: b
                     codes, states = squeezed(codes, states, _pairs_cover(states, k))
                 if len(codes):
                     yield _row(codes, states.astype(np.int32))
-        hit = np.flatnonzero(total[1:]) + 1
-        if len(hit):
-            yield _row(hits=np.append(hit + base, total[hit]).astype(np.int64))
+        for at in range(1, size + 1, CELLS):
+            counts = total[at : at + CELLS]
+            if counts.any():
+                yield _row(hits=np.append(base + at, counts))
 
     return tidy(apply)
 
 
 @tidy
-def _hits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of the tasks' bincounts: the number of a piece's first phrase, and the counts."""
     for part in parts:
-        for cell in part["hits"]:
-            both = _ints(cell, np.int64)
-            half = len(both) // 2
-            yield pa.RecordBatch.from_arrays([pa.array(both[:half]), pa.array(both[half:])], names=["cid", "n"])
+        both = [_ints(cell, np.int64) for cell in part["hits"]]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in both], pa.int64()), pa.array([x[1:].tobytes() for x in both], pa.binary())], names=["at", "counts"])
+
+
+def _summed(pieces: pa.Table) -> pa.Table:
+    """Sum of equal pieces, as a row for each phrase that occurs."""
+    total = sum(_ints(cell, np.int64) for cell in pieces["counts"])
+    hit = np.flatnonzero(total)
+    return pa.table({"cid": pa.array(hit + pieces["at"][0].as_py()), "f": pa.array(total[hit])})
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -401,10 +410,10 @@ def _count_level(spark: SparkSession, rows: DataFrame, known: DataFrame, k: int,
         step = _walked(trie, r["size"], s * SHARD, k, digits, s == shards[0], s == shards[-1])
         rows = _stored(rows.where("codes IS NOT NULL").select("codes", "states").mapInArrow(step, _ROW_DDL), "phrase-states")
         trie.destroy()
-        hits = rows.where("hits IS NOT NULL").select("hits").mapInArrow(_hits, "cid long, n long")
-        counts = hits if counts is None else counts.unionByName(hits)
-    sums = counts.groupBy("cid").agg(F.sum("n").alias("f"))
-    return _stored(cands.join(sums, "cid").select("cid", "words", "f"), "phrase-counts"), rows
+        cells = rows.where("hits IS NOT NULL").select("hits").mapInArrow(_cells, "at long, counts binary")
+        sums = cells.groupBy("at").applyInArrow(_summed, "cid long, f long")
+        counts = sums if counts is None else counts.unionByName(sums)
+    return _stored(cands.join(counts, "cid").select("cid", "words", "f"), "phrase-counts"), rows
 
 
 def _cuts(longest: int):
