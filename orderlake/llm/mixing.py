@@ -134,18 +134,17 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, prefix: str = "_") -> DataFrame:
     """``docs`` with the columns _size, _source_size, _target and _copies (how often the mix takes the row).
 
-    ``docs`` needs doc_id, text and source; all rows and columns are kept. ``prefix`` stands before the names of the new columns, which must
-    differ from the columns of ``docs``. Null texts have size 0, texts of any length count whole. A null source is
+    ``docs`` needs doc_id, text and source; all rows and columns are kept. ``prefix`` (lower case) stands before the names of the new columns;
+    columns of ``docs`` with such a name are replaced. Null texts have size 0, texts of any length count whole. A null source is
     a source of its own, after the others. Rows with the same doc_id have the same hash and are
     taken together; rows without one are taken one by one, repeated rows included. Reruns take the same rows; of rows without
     an id that are equal in text, as many. Sources without words take each row 0 times, an empty table gives an empty result.
     """
     names = [f"{prefix}{n}" for n in ("size", "source_size", "target", "copies")]
-    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the table has a column among {names}: choose another prefix")
+    kept = [c for c in docs.columns if c.lower() not in names]
     rows = keyed_rows(docs)
     sized = _stored(rows.select("source", word_count().alias("size"), row_hash().alias("h")), "mix-sizes")
     plan = thresholds(sized, source_targets(sized, weights, share, most)).toDF("_s", "_source_size", "_target", "_full", "_below")
     joined = rows.join(plan, rows["source"].eqNullSafe(F.col("_s")), "left")
     values = [word_count(), F.col("_source_size"), F.col("_target"), F.col("_full") + (row_hash() < F.col("_below")).cast("long")]
-    return joined.select(*[F.col("_row")[c].alias(c) for c in docs.columns], *[v.alias(n) for v, n in zip(values, names)])
+    return joined.select(*[F.col("_row")[c].alias(c) for c in kept], *[v.alias(n) for v, n in zip(values, names)])
