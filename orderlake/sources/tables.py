@@ -34,8 +34,9 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str, scan_tasks: int | N
     Orders are joined to customer, nation and region first (the smaller
     side), then to line items on the order key, then to parts, so line
     item rows are shuffled at most twice. Small dimensions are broadcast by
-    Catalyst from their measured size. ``scan_tasks`` deals the orders out to so many
-    tasks, for tables stored as a few large row groups; by default the scan's splits stay.
+    Catalyst from their measured size. ``scan_tasks`` deals the line items out to so many
+    tasks, for a table stored as a few large row groups, which one task each would read, join and write out;
+    by default the scan's splits stay.
     """
     t = lambda name: _table(spark, sf_dir, name)
     line = t("lineitem").select(
@@ -47,9 +48,10 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str, scan_tasks: int | N
         "l_returnflag",
         "l_shipdate",
     )
-    head = t("orders")
+    if scan_tasks:
+        line = line.repartition(scan_tasks)
     orders = (
-        (head.repartition(scan_tasks) if scan_tasks else head)
+        t("orders")
         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
         .join(t("customer").select("c_custkey", "c_name", "c_nationkey"),
               F.col("o_custkey") == F.col("c_custkey"))
@@ -107,12 +109,12 @@ def raw_orders_from_tables(spark: SparkSession, sf_dir: str, scan_tasks: int | N
     )
 
 
-def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_from_tables(spark: SparkSession, sf_dir: str, scan_tasks: int | None = None) -> DataFrame:
     """Validated raw orders with metadata, as the bronze layer holds them.
 
     Each row's ``created_at`` stands for its arrival time, as if the line
     items had come in over many ingestion runs.
     """
-    raw = validate_schema(raw_orders_from_tables(spark, sf_dir))
+    raw = validate_schema(raw_orders_from_tables(spark, sf_dir, scan_tasks))
     arrival = F.try_to_timestamp(F.col("created_at"), F.lit(schema.TIMESTAMP_FORMAT))
     return add_ingestion_metadata(raw, SOURCE_LABEL, ingested_at=arrival)
