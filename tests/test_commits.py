@@ -243,7 +243,7 @@ def test_a_run_is_taken_up_where_it_broke_off(spark, tmp_dir, monkeypatch, broke
     assert after["b"] == before["b"] and after["q"] == before["q"] and (broken != "load" or after["s"] == before["s"])
     again = go()
     assert all(again[s]["resumed"] for s in pipeline.ALL_STEPS) and {k: v["records"] for k, v in again.items()} == {k: v["records"] for k, v in out.items()}
-    # New raw files are a new input; the run's key has its rows already, so they need a new run.
+    # New raw files are a new input of a new run.
     write_raw_csv(raw_frame(spark, [order(order_id="NEW")]), f"{tmp_dir}/l2")
     more = LayerPaths(f"{tmp_dir}/l2/*.csv", *list(vars(paths).values())[1:])
     new = run_pipeline(spark, None, more, "2024-01-02 00:00:00", journal=f"{tmp_dir}/j", run_key="run-2")

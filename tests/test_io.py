@@ -284,3 +284,23 @@ def test_scratch_tables_of_a_load_are_deleted(spark, tmp_dir, monkeypatch):
     with pytest.raises(OSError, match="full"):
         run_load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
     assert held() == before
+
+
+def test_day_folders_reach_the_jobs_and_a_subset_of_steps_is_validated(spark, tmp_dir):
+    for day in ("2024/01/01", "2024/02/15"):
+        _write_lines(f"{tmp_dir}/landing/{day}/sales_raw.csv", [",".join(GOOD).replace("O1", day.replace("/", ""))])
+    _write_lines(f"{tmp_dir}/landing/notes.txt", ["not,a,csv"])
+    paths = LayerPaths(f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold", f"{tmp_dir}/bad")
+    res = run_pipeline(spark, ["ingestion"], paths, "2024-03-01 00:00:00", validate=True, recursive=True)
+    assert res["ingestion"]["metrics"]["read_rows"] == 2 and res["ingestion"]["metrics"]["quarantined_rows"] == 0
+    assert res["validate"] == {"violations": 0, "rules": {"bronze.missing_required_field": 0}}
+    assert {r.order_id for r in read_bronze(spark, paths.bronze).collect()} == {"20240101", "20240215"}
+    res = run_pipeline(spark, ["transformation"], paths, validate=True)
+    assert set(res) == {"transformation", "validate"} and all(k.startswith("silver.") for k in res["validate"]["rules"]) and len(res["validate"]["rules"]) == 6
+    # With a journal, changed day folders are a new input.
+    go = lambda: run_pipeline(spark, ["ingestion"], paths, "2024-03-02 00:00:00", recursive=True, journal=f"{tmp_dir}/j", run_key="march")
+    assert not go()["ingestion"]["resumed"] and go()["ingestion"]["resumed"]
+    assert read_bronze(spark, paths.bronze).count() == 4
+    _write_lines(f"{tmp_dir}/landing/2024/03/01/more.csv", [",".join(GOOD)])
+    more = go()["ingestion"]
+    assert not more["resumed"] and more["records"] == 3 and read_bronze(spark, paths.bronze).count() == 7
