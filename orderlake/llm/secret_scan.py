@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import PAD, U64, lower_ascii, mix, part_slices, text_buffer, tidy
@@ -455,28 +455,52 @@ def added_spans(field: Field, raw: np.ndarray, offs: np.ndarray, base: dict[int,
 
 
 def sample(docs: DataFrame, most: int = MAX_ROWS) -> list[str]:
-    """Whole texts for training: the rows with the smallest hashes, ``most`` with a match of the patterns and as many without."""
+    """Whole texts for training: ``most`` with a match of the patterns and as many without, or all.
+
+    One pass counts both kinds. The counts give a share of the hash range that holds somewhat more than ``most`` texts of a kind, and
+    only rows in it send their texts on, so what moves doesn't grow with the table. Equal texts have one hash and count once.
+    """
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = rows = 0
+        for part in parts:
+            for texts in part_slices(part, "text", SLICE):
+                hits += len(base_spans(*text_buffer(texts["text"])))
+                rows += texts.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([hits]), pa.array([rows])], names=["hits", "rows"])
+
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    seen = texts.mapInArrow(tidy(count), "hits long, rows long").agg(F.sum("hits").alias("hits"), F.sum("rows").alias("rows")).first()
+    hits, rows = seen["hits"] or 0, seen["rows"] or 0
+    span = 1 << 40
+    wanted = most + 6 * most**0.5
+    below = {hit: int(span * min(1.0, wanted / max(n, 1))) for hit, n in ((True, hits), (False, rows - hits))}
 
     def pick(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[bool, list[tuple[int, str]]] = {True: [], False: []}
+        held: set[tuple[bool, int]] = set()
         for part in parts:
             for texts in part_slices(part, "text", SLICE):
-                hits = base_spans(*text_buffer(texts["text"]))
+                found = base_spans(*text_buffer(texts["text"]))
                 for i, h in enumerate(texts["h"].to_pylist()):
-                    heap = best[i in hits]
+                    hit = i in found
                     # A heap by falling hash: the largest of the smallest is on top.
-                    if len(heap) < most:
-                        heapq.heappush(heap, (-h, texts["text"][i].as_py()))
-                    elif -h > heap[0][0]:
-                        heapq.heapreplace(heap, (-h, texts["text"][i].as_py()))
+                    heap = best[hit]
+                    if h >= below[hit] or (hit, h) in held or (len(heap) == most and -h < heap[0][0]):
+                        continue
+                    held.add((hit, h))
+                    heapq.heappush(heap, (-h, texts["text"][i].as_py()))
+                    if len(heap) > most:
+                        heapq.heappop(heap)
         rows = [(hit, -h, text) for hit, heap in best.items() for h, text in heap]
         for k in range(0, len(rows), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows[k : k + 64]), (pa.bool_(), pa.int64(), pa.string()))], names=["hit", "h", "text"])
 
-    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    seen = texts.mapInArrow(tidy(pick), "hit boolean, h long, text string")
-    picked = [r["text"] for hit in (True, False) for r in seen.where(F.col("hit") == hit).orderBy("h", "text").limit(most).collect()]
-    return picked
+    hashed = texts.withColumn("h", F.xxhash64("text").bitwiseAND(span - 1)).where(F.col("h") < max(below.values()))
+    picked = hashed.mapInArrow(tidy(pick), "hit boolean, h long, text string").groupBy("hit", "h").agg(F.min("text").alias("text"))
+    best = Window.partitionBy("hit").orderBy("h")
+    taken = picked.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    return [r["text"] for r in taken.orderBy(F.col("hit").desc(), "h").collect()]
 
 
 def train(docs: DataFrame, most: int = MAX_ROWS) -> Field:

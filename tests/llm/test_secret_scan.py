@@ -146,3 +146,17 @@ def test_training_is_repeatable_and_needs_secrets(spark):
     texts = ["a token = abcdef123456 b", "plain words"] * 3
     one, two = S.fit(texts), S.fit(texts)
     assert all((x == y).all() for x, y in zip(one.weights(), two.weights()))
+
+
+def test_the_sample_is_bounded_and_follows_the_texts(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(8)) + f" {i}" for i in range(900)]
+    texts += [f"{t} token = {i:040x}" for i, t in enumerate(texts[:300])]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(2000 + i, "the same again") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.sample(docs.repartition(7), 40)
+    hits = [t for t in got if "token" in t]
+    assert len(got) == 80 and len(hits) == 40 and len(set(got)) == 80
+    assert got == S.sample(docs.repartition(3), 40)
+    everything = S.sample(docs, 5000)
+    assert sorted(everything) == sorted(set(t for _, t in rows))
