@@ -17,20 +17,24 @@ from orderlake.operators.ranking import with_global_position
 NUMBER, BUCKET, BITMAP = "_number", "_bucket", "_bitmap"
 
 
+def fresh_numbers(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
+    """Numbers of the distinct non-null values that ``known`` doesn't have, behind its numbers: ``column`` and ``_number``."""
+    fresh = values.select(column).where(F.col(column).isNotNull()).distinct()
+    start = 0
+    if known is not None:
+        fresh = fresh.join(known.select(column), column, "left_anti")
+        start = known.agg(F.max(NUMBER)).first()[0] or 0
+    placed = with_global_position(fresh, [F.col(column)], "_at", "_all")
+    return placed.select(column, (F.lit(start).cast("long") + F.col("_at") + 1).alias(NUMBER))
+
+
 def numbered(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
     """Each distinct non-null value of ``column`` with its number (from 1): ``column`` and ``_number``.
 
     ``known`` is an earlier result: its numbers stay, and only new values get new ones behind them. Numbers of new values follow the
     values' order, so the same inputs give the same numbers.
     """
-    fresh = values.select(column).where(F.col(column).isNotNull()).distinct()
-    if known is None:
-        start = F.lit(0).cast("long")
-    else:
-        fresh = fresh.join(known.select(column), column, "left_anti")
-        start = F.lit(known.agg(F.max(NUMBER)).first()[0] or 0).cast("long")
-    placed = with_global_position(fresh, [F.col(column)], "_at", "_all")
-    new = placed.select(column, (start + F.col("_at") + 1).alias(NUMBER))
+    new = fresh_numbers(values, column, known)
     return new if known is None else known.select(column, NUMBER).unionByName(new)
 
 

@@ -29,15 +29,13 @@ from orderlake.operators.marts import (
     top_products_by_category,
     with_recency,
 )
-from orderlake.operators.distinct import distinct_bitmaps, distinct_counts, numbered
 from orderlake.operators.metadata import add_ingestion_metadata
 from orderlake.operators.quality import (
     quarantined_orders,
     validate_schema,
     validation_report,
 )
-from orderlake.operators.storing import stored_rows
-from orderlake.plans.jobs import run_ingestion, run_load, run_transformation, validate_layers
+from orderlake.plans.jobs import run_ingestion, run_load, run_transformation, unique_customers, validate_layers, write_customer_bitmaps
 from orderlake.plans.pipeline import LayerPaths, run_pipeline
 from orderlake.plans.silver import silver_from_bronze
 from orderlake.session import scratch_path
@@ -348,13 +346,13 @@ def bucketed_dedupe(spark, d):
     return deduplicate(bucketed_table(spark, path, f"bronze_{uuid.uuid4().hex}", BUCKETS))
 
 
-def unique_customers(spark, d):
-    """Distinct customers of completed orders by region and year, and over all regions, from bitmaps by month."""
-    orders, _ = stored_rows(_completed(spark, d).select("customer_id", "region", "order_year", "order_month"), "customer-orders")
-    bitmaps = distinct_bitmaps(orders, ["region", "order_year", "order_month"], "customer_id", numbered(orders, "customer_id"))
-    by_month, _ = stored_rows(bitmaps, "customer-bitmaps")
-    by_region = distinct_counts(by_month, ["region", "order_year"], "unique_customers")
-    overall = distinct_counts(by_month, ["order_year"], "unique_customers").withColumn("region", F.lit("(all)"))
+def unique_customers_query(spark, d):
+    """Distinct customers of completed orders by region and year, and over all regions, merged from stored bitmaps by month."""
+    root = scratch_path(spark, "customers")
+    write_silver(_silver(spark, d), f"{root}/silver")
+    write_customer_bitmaps(spark, f"{root}/silver", f"{root}/gold")
+    by_region = unique_customers(spark, f"{root}/gold", ["region", "order_year"])
+    overall = unique_customers(spark, f"{root}/gold", ["order_year"]).withColumn("region", F.lit("(all)"))
     return by_region.unionByName(overall)
 
 
@@ -440,7 +438,7 @@ REGISTRY: dict[str, Query] = {
     "stored_quarantine": stored_quarantine,
     "incremental_silver": incremental_silver,
     "bucketed_dedupe": bucketed_dedupe,
-    "unique_customers": unique_customers,
+    "unique_customers": unique_customers_query,
     "stored_silver": stored_silver,
     **{f"stored_{m}": _stored_mart(m) for m in ("sales_by_region", "product_performance", "customer_segments")},
 }

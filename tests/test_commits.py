@@ -2,6 +2,7 @@
 
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,19 +28,23 @@ class Strike:
     """Raises at the n-th change of the store, before or after it is made."""
 
     def __init__(self, monkeypatch, at, after):
-        self.left, self.struck = at, False
+        self.left, self.struck, self.lock = at, False, threading.Lock()
         for name in ("move", "write_text", "delete"):
             monkeypatch.setattr(Store, name, self._wrap(getattr(Store, name), after))
 
     def _wrap(self, change, after):
         def run(store, *args):
-            self.left -= 1
-            if self.left == 0 and not after:
-                self.struck = True
+            with self.lock:  # files are moved side by side
+                self.left -= 1
+                mine = self.left == 0
+                self.struck |= mine
+                gone = self.left < 0 and self.struck
+            if gone and not after:
+                raise Killed  # the process that made the other change is dead, too
+            if mine and not after:
                 raise Killed
             out = change(store, *args)
-            if self.left == 0:
-                self.struck = True
+            if mine:
                 raise Killed
             return out
 

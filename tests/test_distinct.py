@@ -73,3 +73,28 @@ def test_bucketed_bronze_is_deduplicated_without_an_exchange(spark, tmp_dir):
     assert write_bronze(bronze, f"{tmp_dir}/plain") == 200
     for name in ("bucketed_bronze_test", "bucketed_new_test"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_stored_bitmaps_keep_their_numbers_from_load_to_load(spark, tmp_dir):
+    from orderlake.plans.jobs import unique_customers, write_customer_bitmaps
+    from orderlake.plans.silver import silver_from_bronze
+    from orderlake.sources.parquet import read_silver
+    from orderlake.sources.sinks import write_silver
+
+    def load(people):
+        rows = [order(order_id=f"O{m}{c}{k}", customer_id=f"C{c}", region=f"R{c % 2}", order_month=m, status="completed") for m in (1, 2, 3) for c in people for k in range(2) if (c + m) % 3]
+        silver = silver_from_bronze(add_ingestion_metadata(raw_frame(spark, rows), "p", "2024-01-01 00:00:00"))
+        write_silver(silver, f"{tmp_dir}/s")
+        write_customer_bitmaps(spark, f"{tmp_dir}/s", f"{tmp_dir}/g")
+        stored = read_silver(spark, f"{tmp_dir}/s")
+        for groups in (["region", "order_year", "order_month"], ["region"], ["order_month"], []):
+            want = {tuple(r[c] for c in groups): r["u"] for r in stored.groupBy(*groups).agg(F.countDistinct("customer_id").alias("u")).collect()}
+            got = {tuple(r[c] for c in groups): r["unique_customers"] for r in unique_customers(spark, f"{tmp_dir}/g", groups).collect()}
+            assert got == want
+        numbers = [(r.customer_id, r._number) for r in spark.read.parquet(f"{tmp_dir}/g/customer_numbers").collect()]
+        assert sorted(n for _, n in numbers) == list(range(1, len(numbers) + 1))
+        return dict(numbers)
+
+    first = load(range(10, 30))
+    second = load([*range(5, 25), 40, 41])
+    assert first.items() <= second.items() and len(second) == len(first) + 7
