@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, part_slices, signed, text_buffer, tidy
+from orderlake.llm.cleanup import drop_dead_shuffles
 from orderlake.llm.digest import text_digest
 from orderlake.llm.names import boxed, unboxed
 from orderlake.operators.ranking import with_global_position
@@ -328,9 +329,9 @@ def _cut(min_len: int, as_text: bool):
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
+    spark, schema, path = df.sparkSession, df.schema, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def frequent_grams(keyed: DataFrame, min_len: int, share: int = 2000) -> np.ndarray:
@@ -374,6 +375,7 @@ def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
         ),
         "repeat-runs",
     )
+    drop_dead_shuffles(keyed.sparkSession)
     unresolved = (
         runs.where("NOT again").groupBy("ord", "tie").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open"))
     )
@@ -394,6 +396,7 @@ def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
         ),
         "repeat-blocks",
     )
+    drop_dead_shuffles(keyed.sparkSession)
     # Single windows: j bytes of the left side, the core, 8 - j bytes of the right one.
     left = [_as_long(int(_left_mask(np.array([j]))[0])) for j in range(BLOCK)]
     right = [_as_long(int(_right_mask(np.array([j]))[0])) for j in range(BLOCK)]
