@@ -134,3 +134,19 @@ def test_duplicates_removed_spreads_large_copy_groups(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # Only the survivors' side meets by key, cut to one row a task before; the rows themselves don't.
     assert "WindowGroupLimit" in plan and plan.count("hashpartitioning(order_id") <= 1
+
+
+def test_latest_rows_are_found_without_moving_full_rows(spark):
+    from orderlake.operators.dedup import stored_latest
+
+    # Ties of arrival, null arrivals and ids, copies, and a key whose latest row is not its first by the other columns.
+    rows = [order(), order(), order(quantity=9), order(order_id=None), order(order_id=None, quantity=3), order(order_id="ONE")]
+    rows += [order(order_id="LATE", created_at=c, quantity=q) for c, q in ((None, 1), ("2024-03-02 10:00:00", 7), ("2024-03-01 10:00:00", 2))]
+    rows += [order(order_id=f"N{i % 700}", quantity=i % 9, created_at=None if i % 5 == 0 else f"2024-03-0{i % 4 + 1} 10:00:00") for i in range(2000)]
+    bronze = _bronze(spark, rows).repartition(5)
+    out = stored_latest(bronze, copies="_copy")
+    assert not out.where("_copy").count()
+    assert sorted(map(repr, out.drop("_copy").collect())) == sorted(map(repr, deduplicate(bronze).collect()))
+    plan = stored_latest(bronze.where("order_id <> 'ONE'")).drop("_copy")._jdf.queryExecution().optimizedPlan().toString()
+    # Rows are kept by their bits: no window and no sort over full rows but those of tied keys.
+    assert plan.count("Window ") == 1 and "bitmap_construct_agg" in plan
