@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -304,3 +305,16 @@ def test_day_folders_reach_the_jobs_and_a_subset_of_steps_is_validated(spark, tm
     _write_lines(f"{tmp_dir}/landing/2024/03/01/more.csv", [",".join(GOOD)])
     more = go()["ingestion"]
     assert not more["resumed"] and more["records"] == 3 and read_bronze(spark, paths.bronze).count() == 7
+
+
+def test_compressed_landing_is_read_alike_in_bounded_files(spark, sample_raw, tmp_dir, monkeypatch):
+    from orderlake.sources import csv
+
+    monkeypatch.setattr(csv, "ROWS_PER_FILE", 2)
+    raw = sample_raw.coalesce(1)
+    write_raw_csv(raw, f"{tmp_dir}/plain")
+    write_raw_csv(raw, f"{tmp_dir}/packed", compression="gzip")
+    packed = glob.glob(f"{tmp_dir}/packed/*.csv.gz")
+    assert len(packed) == -(-raw.count() // 2) and not glob.glob(f"{tmp_dir}/packed/*.csv")
+    rows = lambda path: sorted(map(repr, read_raw_csv(spark, path).collect()))
+    assert rows(f"{tmp_dir}/packed/*.csv.gz") == rows(f"{tmp_dir}/plain/*.csv")
