@@ -98,3 +98,10 @@ def test_stored_bitmaps_keep_their_numbers_from_load_to_load(spark, tmp_dir):
     first = load(range(10, 30))
     second = load([*range(5, 25), 40, 41])
     assert first.items() <= second.items() and len(second) == len(first) + 7
+
+
+def test_buckets_grow_with_the_rows():
+    from orderlake.sources.bucketed import ROWS_PER_BUCKET, buckets_for
+
+    assert buckets_for(0, 16) == buckets_for(16 * ROWS_PER_BUCKET, 16) == 16
+    assert buckets_for(216 * ROWS_PER_BUCKET + 1, 16) == 217
