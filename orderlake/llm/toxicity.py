@@ -6,8 +6,9 @@ it. A word enters as a hashed word embedding together with the mean of its hashe
 character-gram embeddings. The score of a text is the largest score of its windows: the
 windows overlap and cover the whole text.
 
-The network is trained here in numpy (backpropagation through time, Adam) on a
-bounded sample of labelled rows; scoring runs in the tasks, over all rows.
+Training (backpropagation through time, Adam, in numpy) starts on a bounded sample of labelled rows. Where there are more,
+it goes on in the tasks over all labelled rows and all their windows: each task trains on its shard, and the shards'
+weights are averaged. The cut between the classes then comes from all rows held back for it. Scoring runs in the tasks, over all rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,13 @@ CHAR_SLOTS, CHAR_DIM = 1 << 14, 8
 CHAR_GRAM = 5
 #: Labelled rows of each class, and windows of each of them, that training reads at most.
 MAX_ROWS, MAX_WINDOWS = 4000, 8
+#: Rows of a shard of the training over all rows, aimed at, and rows of its batches.
+SHARD_ROWS, SHARD_BATCH = 5000, 64
+#: Weights that are averaged together, and the cut's bins by logit: BINS for each unit, up to LOGIT_MOST.
+PIECE = 4096
+BINS, LOGIT_MOST = 256, 64
+#: Rows whose hash lies above (a fifth) only set the cut. The sample takes the smallest hashes.
+HELD_ABOVE = int(0.6 * 2**63)
 
 
 @dataclass
@@ -228,14 +236,45 @@ def text_logits(net: Network, f: Words, rows: int) -> np.ndarray:
     return best - net.w["shift"][0]
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, batch: int = 128, seed: int = 7) -> Network:
+class Adam:
+    """Steps of gradient descent with running moments of the weights' gradients."""
+
+    def __init__(self, net: Network):
+        self.moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.w.items()}
+        self.steps = 0
+
+    def step(self, net: Network, f: Words, windows: np.ndarray, labels: np.ndarray, weight: np.ndarray, rate: float) -> None:
+        """One batch: a window for each text, its label and weight."""
+        words, length = _grid(f, windows)
+        used, words = np.unique(words, return_inverse=True)
+        words = words.reshape(len(windows), -1)
+        part = Words(words, f.word_slot[used], *_chars(f, used), np.zeros(0), np.zeros(0), np.zeros(0)) if len(f.which) else None
+        inputs = net.inputs(part) if part else np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)
+        logit, kept = net.forward(words, length, inputs, keep=True)
+        d = (_sigmoid(logit) - labels) * weight / len(windows)
+        grads, d_in = net.backward(d.astype(np.float32), kept)
+        if part:
+            grads["word"] = np.zeros_like(net.w["word"])
+            np.add.at(grads["word"], part.word_slot, d_in[:, :WORD_DIM])
+            grads["char"] = np.zeros_like(net.w["char"])
+            n = np.diff(part.char_at)
+            np.add.at(grads["char"], part.char_slot, np.repeat(d_in[:, WORD_DIM:] / np.maximum(n, 1).astype(np.float32)[:, None], n, axis=0))
+        self.steps += 1
+        for k, g in grads.items():
+            m, v = self.moments[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            net.w[k] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-6)
+
+
+def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, batch: int = 128, seed: int = 7, held: np.ndarray | None = None) -> Network:
     """Train on texts with labels 0 or 1; ``share`` is the true share of label 1.
 
     ``epochs`` holds from about 2700 training rows on. Fewer rows are read more often, up to 60 times, so that every network is
     trained for at least some 300 batches.
 
     In the first epochs a random window stands for its text, later the highest-scored
-    one. A fifth of the texts only sets the cut between the classes.
+    one. A fifth of the texts (``held``, random if not given) only sets the cut between the classes.
     """
     net = Network.fresh(seed)
     rng = np.random.default_rng(seed)
@@ -246,13 +285,12 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, ba
         net.w["bias"][0] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
         return net
     f = featurize(pa.array(texts, pa.string()), MAX_WINDOWS)
-    held = rng.random(len(texts)) < 0.2
-    if labels[~held].min() == labels[~held].max():
+    drawn = rng.random(len(texts)) < 0.2
+    held = drawn if held is None else held.copy()
+    if held.all() or labels[~held].min() == labels[~held].max():
         held[:] = False
     by_row = np.split(np.arange(len(f.row)), np.cumsum(np.bincount(f.row, minlength=len(texts)))[:-1])
-    moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.w.items()}
-    step = 0
-    char_n = np.maximum(np.diff(f.char_at), 1).astype(np.float32)
+    adam = Adam(net)
     train = np.flatnonzero(~held)
     weight = np.where(labels == 1, 0.5 / max(labels[train].mean(), 1e-6), 0.5 / max(1 - labels[train].mean(), 1e-6)).astype(np.float32)
     epochs = max(epochs, min(60, 300 * batch // max(1, len(train))))
@@ -264,26 +302,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, ba
             chosen = np.array([x[np.argmax(scores[x])] for x in by_row])
         rate = 0.01 * (1 - 0.9 * epoch / epochs)
         for rows in np.array_split(rng.permutation(train), max(1, len(train) // batch)):
-            words, length = _grid(f, chosen[rows])
-            used, words = np.unique(words, return_inverse=True)
-            words = words.reshape(len(rows), -1)
-            part = Words(words, f.word_slot[used], *_chars(f, used), np.zeros(0), np.zeros(0), np.zeros(0)) if len(f.which) else None
-            inputs = net.inputs(part) if part else np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)
-            logit, kept = net.forward(words, length, inputs, keep=True)
-            d = (_sigmoid(logit) - labels[rows]) * weight[rows] / len(rows)
-            grads, d_in = net.backward(d.astype(np.float32), kept)
-            if part:
-                grads["word"] = np.zeros_like(net.w["word"])
-                np.add.at(grads["word"], part.word_slot, d_in[:, :WORD_DIM])
-                grads["char"] = np.zeros_like(net.w["char"])
-                n = np.diff(part.char_at)
-                np.add.at(grads["char"], part.char_slot, np.repeat(d_in[:, WORD_DIM:] / char_n[used][:, None], n, axis=0))
-            step += 1
-            for k, g in grads.items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                net.w[k] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+            adam.step(net, f, chosen[rows], labels[rows], weight[rows], rate)
     # The cut: fewest errors at the true share, in the middle of the best range.
     logits = text_logits(net, f, len(texts))
     judge = held if labels[held].sum() >= 20 else np.ones(len(texts), bool)
@@ -304,16 +323,26 @@ def _chars(f: Words, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return f.char_slot[place], at
 
 
+def _usable(labels: DataFrame) -> DataFrame:
+    """Ids and labels that may be learned from."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
+        "doc_id IS NOT NULL AND toxic IN (0, 1) AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0"
+    )
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, float]:
-    """A bounded sample of labelled rows: texts (their training windows), labels, share of label 1.
+    """A bounded sample of labelled rows to start from: texts (their training windows), labels, share of label 1."""
+    return _sample(docs, labels)[:3]
+
+
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, float, np.ndarray]:
+    """The sample of :func:`training_rows`, and which of its rows are held back.
 
     Rows whose crc32 of the doc_id as text is a multiple of 5 are never read. Of each
     class the MAX_ROWS rows with the smallest hash of the doc_id are taken. An id with several labels or texts counts
     once, with the smallest label and text.
     """
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
-        "doc_id IS NOT NULL AND toxic IN (0, 1) AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0"
-    )
+    usable = _usable(labels)
     share = usable.agg(F.avg("toxic").alias("s")).first()["s"]
     order = [F.xxhash64("doc_id"), "doc_id", "toxic"]
     picked = usable.where("toxic = 1").orderBy(*order).limit(MAX_ROWS).unionByName(usable.where("toxic = 0").orderBy(*order).limit(MAX_ROWS))
@@ -337,13 +366,130 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.nda
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "COALESCE(text, '') AS text")
     # At most 2 * MAX_ROWS ids: a broadcast of a proven bound.
     rows = texts.join(F.broadcast(picked), "doc_id").mapInArrow(spread, "doc_id long, toxic int, text string")
-    found = sorted(rows.groupBy("doc_id").agg(F.min(F.struct("toxic", "text")).alias("r")).select("doc_id", "r.*").collect())
-    return [r["text"] for r in found], np.array([r["toxic"] for r in found], np.float32), float(share or 0.0)
+    found = sorted(rows.groupBy("doc_id").agg(F.min(F.struct("toxic", "text")).alias("r")).select("doc_id", "r.*", (F.xxhash64("doc_id") > HELD_ABOVE).alias("held")).collect())
+    return [r["text"] for r in found], np.array([r["toxic"] for r in found], np.float32), float(share or 0.0), np.array([r["held"] for r in found], bool)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network:
-    """Fit a network on a bounded sample of labelled documents."""
-    return fit(*training_rows(docs, labels))
+    """Fit a network on all labelled documents: on the sample, and on all of them if the sample isn't all."""
+    texts, toxic, share, held = _sample(docs, labels)
+    few = len(texts) and labels_within(labels, MAX_ROWS)
+    net = fit(texts, toxic, share) if few else fit(texts, toxic, share, held=held)
+    if few or not len(texts) or toxic.min() == toxic.max():
+        return net
+    return train_on_all(net, docs, labels, share)
+
+
+def labels_within(labels: DataFrame, most: int) -> bool:
+    """Whether the sample takes all usable labels."""
+    return all(r["count"] <= most for r in _usable(labels).groupBy("toxic").count().collect())
+
+
+def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float, rate: float = 0.005) -> Network:
+    """Go on training over all labelled rows, whole texts with all windows, and set the cut by all rows held back.
+
+    Rows are dealt by their id to shards. In a round each shard is read once, from the weights of the round before: the highest-scored
+    window stands for its text. The shards' weights are averaged by their rows. Few rows are read in several rounds.
+    An id with several labels or texts counts once, as in the sample.
+    """
+    usable = _usable(labels)
+    rows = usable.count()
+    shards = max(2, -(-rows // SHARD_ROWS))
+    rounds = max(1, min(10, 300 * 128 // max(1, rows)))
+    texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "COALESCE(text, '') AS text")
+    own = (
+        texts.join(usable, "doc_id")
+        .withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)))
+        .repartition(shards, "shard")
+        .groupBy("shard", "doc_id")
+        .agg(F.min(F.struct("toxic", "text")).alias("r"))
+        .select((F.xxhash64("doc_id") > HELD_ABOVE).alias("held"), "r.*")
+    )
+    names = sorted(net.w)
+    sc = docs.sparkSession.sparkContext
+
+    for turn in range(rounds):
+        start, now = sc.broadcast(net.w), rate * (1 - 0.9 * turn / rounds)
+
+        def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
+            model = Network({k: v.copy() for k, v in start.value.items()})
+            adam, seen = Adam(model), 0
+            for part in parts:
+                toxic, at = part["toxic"].to_numpy(zero_copy_only=False).astype(np.float32), 0
+                for piece in row_slices(part["text"]):
+                    y = toxic[at : at + len(piece)]
+                    at += len(piece)
+                    f = featurize(piece)
+                    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+                    chosen = _highest(window_logits(model, f), f.row, len(y))
+                    for k in range(0, len(y), SHARD_BATCH):
+                        span = slice(k, k + SHARD_BATCH)
+                        adam.step(model, f, chosen[span], y[span], weight[span], now)
+                    seen += len(y)
+            if seen:
+                flat = np.concatenate([model.w[k].ravel() for k in names]).astype(np.float32)
+                cut = [flat[i : i + PIECE].tobytes() for i in range(0, len(flat), PIECE)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([seen] * len(cut), pa.int64()), pa.array(cut, pa.binary())], names=["piece", "n", "w"])
+
+        def mean(piece: pa.Table) -> pa.Table:
+            n = piece["n"].to_numpy().astype(np.float64)
+            total = sum(k * np.frombuffer(w.as_py(), np.float32).astype(np.float64) for k, w in zip(n, piece["w"]))
+            return pa.table({"piece": piece["piece"].slice(0, 1), "w": pa.array([(total / n.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+        learned = own.where("NOT held").select("toxic", "text").mapInArrow(learn, "piece int, n long, w binary")
+        # One network's weights, whatever the number of rows or shards.
+        found = sorted(learned.groupBy("piece").applyInArrow(mean, "piece int, w binary").collect())
+        start.unpersist()
+        if not found:
+            return net
+        flat, at = np.frombuffer(b"".join(bytes(r["w"]) for r in found), np.float32), 0
+        fresh = {}
+        for k in names:
+            size = net.w[k].size
+            fresh[k], at = flat[at : at + size].reshape(net.w[k].shape).copy(), at + size
+        net = Network(fresh)
+    net.w["shift"][:] = 0
+    return _with_cut(net, own, share)
+
+
+def _highest(logits: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """The first highest-scored window of each text."""
+    order = np.lexsort((np.arange(len(row)), -logits, row))
+    return order[np.searchsorted(row[order], np.arange(rows))]
+
+
+def _with_cut(net: Network, own: DataFrame, share: float) -> Network:
+    """The network with the cut of fewest errors at the true share, counted over all rows held back (over all, if they hold few of label 1)."""
+    weights = own.sparkSession.sparkContext.broadcast(net.w)
+
+    def place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        model = Network(weights.value)
+        for part in parts:
+            logits = [text_logits(model, featurize(piece), len(piece)) for piece in row_slices(part["text"])]
+            bins = np.floor(np.clip(np.concatenate(logits) if logits else np.zeros(0), -LOGIT_MOST, LOGIT_MOST) * BINS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part["toxic"], pa.array(bins, pa.int32())], names=["toxic", "bin"])
+
+    def counts(rows: DataFrame) -> np.ndarray:
+        n = np.zeros((2, 2 * LOGIT_MOST * BINS + 1))
+        for r in rows.select("toxic", "text").mapInArrow(place, "toxic int, bin int").groupBy("toxic", "bin").count().collect():
+            n[r["toxic"], r["bin"] + LOGIT_MOST * BINS] += r["count"]
+        return n
+
+    n = counts(own.where("held"))
+    if n[1].sum() < 20 or not n[0].sum():
+        n = counts(own)
+    # A cut before bin i calls all from bin i on toxic.
+    missed = np.append(0, np.cumsum(n[1])) / max(n[1].sum(), 1)
+    wrong = 1 - np.append(0, np.cumsum(n[0])) / max(n[0].sum(), 1)
+    miss = missed * share + wrong * (1 - share)
+    best = np.flatnonzero(miss <= miss.min() + 1e-12)
+    # The longest run of best cuts is the widest gap between the classes.
+    spans = np.split(best, np.flatnonzero(np.diff(best) > 1) + 1)
+    widest = max(spans, key=len)
+    net.w["shift"][0] = (widest[0] + widest[-1]) / 2 / BINS - LOGIT_MOST
+    return net
 
 
 def score(docs: DataFrame, net: Network, column: str = "score") -> DataFrame:

@@ -100,3 +100,26 @@ def test_a_few_words_at_any_place_of_a_long_text_are_seen(spark):
     long = [(i, f"{plain(at)} scumbag idiot scumbag {plain(30_000 - at)}") for i, at in enumerate((0, 5_000, 17_017, 30_000))] + [(9, plain(30_000))]
     got = {r.doc_id: r.score for r in T.score(spark.createDataFrame(long, "doc_id long, text string"), net).collect()}
     assert all(got[i] >= 0.5 for i in range(4)) and got[9] < 0.5
+
+
+def test_labelled_rows_beyond_the_sample_are_learned_from(spark, monkeypatch):
+    """A word that marks toxic texts outside the sample only."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(T, "MAX_ROWS", 40)
+    monkeypatch.setattr(T, "SHARD_ROWS", 500)
+    rng = random.Random(5)
+    plain = lambda n: " ".join(rng.choice(["the", "of", "and", "sea", "hill", "tree", "stone"]) for _ in range(n))
+    ids = spark.range(1500).select("id", (F.col("id") % 2).alias("toxic"), F.xxhash64("id").alias("h"))
+    ids = sorted(ids.where("crc32(CAST(CAST(id AS STRING) AS BINARY)) % 5 <> 0").collect(), key=lambda r: r.h)
+    rows, taken = [], [0, 0]
+    for r in ids:
+        taken[r.toxic] += 1
+        word = ("scumbag" if taken[1] <= T.MAX_ROWS + 5 else "blighter") if r.toxic else "pebble"
+        rows.append((r.id, f"{plain(12)} {word} {plain(12)}", r.toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    assert not any("blighter" in t for t in T.training_rows(docs, labels)[0])
+    new = [(i, f"{plain(12)} {w} {plain(12)}") for i, w in enumerate(("blighter", "scumbag", "pebble"))]
+    got = {r.doc_id: r.score for r in T.score(spark.createDataFrame(new, "doc_id long, text string"), T.train(docs, labels)).collect()}
+    assert got[0] >= 0.5 and got[1] >= 0.5 and got[2] < 0.5
