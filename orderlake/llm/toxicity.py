@@ -305,7 +305,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, ba
             adam.step(net, f, chosen[rows], labels[rows], weight[rows], rate)
     # The cut: fewest errors at the true share, in the middle of the best range.
     logits = text_logits(net, f, len(texts))
-    judge = held if labels[held].sum() >= 20 else np.ones(len(texts), bool)
+    both = labels[held].sum() >= 20 and (labels[held] == 0).any()
+    judge = held if both else np.ones(len(texts), bool)
     x, y = logits[judge], labels[judge]
     cuts = np.append(np.unique(x), x.max() + 1)
     miss = np.array([(x[y == 1] < c).mean() * share + (x[y == 0] >= c).mean() * (1 - share) for c in cuts])

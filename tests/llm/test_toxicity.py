@@ -123,3 +123,11 @@ def test_labelled_rows_beyond_the_sample_are_learned_from(spark, monkeypatch):
     new = [(i, f"{plain(12)} {w} {plain(12)}") for i, w in enumerate(("blighter", "scumbag", "pebble"))]
     got = {r.doc_id: r.score for r in T.score(spark.createDataFrame(new, "doc_id long, text string"), T.train(docs, labels)).collect()}
     assert got[0] >= 0.5 and got[1] >= 0.5 and got[2] < 0.5
+
+
+def test_rows_held_back_of_one_class_dont_set_the_cut():
+    texts = [f"{'scumbag' if i % 2 else 'sea'} hill {i % 7}" for i in range(120)]
+    labels = np.array([i % 2 for i in range(120)], np.float32)
+    net = T.fit(texts, labels, 0.5, held=(labels == 1) & (np.arange(120) < 60))
+    logits = T.text_logits(net, T.featurize(pa.array(texts)), len(texts))
+    assert np.isfinite(logits).all() and ((logits >= 0) == (labels == 1)).all()
