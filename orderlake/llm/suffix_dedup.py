@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import PAD, RangeHash, U64, batches, eights, mix, padded, part_slices, signed, text_buffer, tidy
-from orderlake.llm.cleanup import drop_dead_shuffles
+from orderlake.llm.cleanup import write_and_drop_shuffles
 from orderlake.llm.digest import text_digest
 from orderlake.llm.names import boxed, unboxed
 from orderlake.operators.ranking import with_global_position
@@ -329,8 +329,9 @@ def _cut(min_len: int, as_text: bool):
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read again; the shuffles of a step are gone before the next."""
     spark, schema, path = df.sparkSession, df.schema, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write_and_drop_shuffles(df, path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -357,13 +358,8 @@ def _marked(bit: int = 0) -> Column:
     return _bits(bit, 1) == 1
 
 
-def repeated_windows(keyed: DataFrame, min_len: int, alone: bool = False) -> DataFrame:
-    """Ranges (lo..hi) of starts of windows that occur earlier: ord, tie, lo, hi.
-
-    ``alone`` lets the shuffles of each step go before the next. As a part of a longer job that isn't done: there the driver
-    collects garbage by itself, and collecting while listeners still hold a query only keeps its shuffles longer.
-    """
-    let_go = drop_dead_shuffles if alone else lambda spark: None
+def repeated_windows(keyed: DataFrame, min_len: int) -> DataFrame:
+    """Ranges (lo..hi) of starts of windows that occur earlier: ord, tie, lo, hi."""
     hot = frequent_grams(keyed, min_len)
     runs = keyed.select("ord", "tie", "text").mapInArrow(_run_rows(min_len, hot), _ddl(_RUNS))
     whole = Window.partitionBy("gram")
@@ -380,7 +376,6 @@ def repeated_windows(keyed: DataFrame, min_len: int, alone: bool = False) -> Dat
         ),
         "repeat-runs",
     )
-    let_go(keyed.sparkSession)
     unresolved = (
         runs.where("NOT again").groupBy("ord", "tie").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open"))
     )
@@ -401,7 +396,6 @@ def repeated_windows(keyed: DataFrame, min_len: int, alone: bool = False) -> Dat
         ),
         "repeat-blocks",
     )
-    let_go(keyed.sparkSession)
     # Single windows: j bytes of the left side, the core, 8 - j bytes of the right one.
     left = [_as_long(int(_left_mask(np.array([j]))[0])) for j in range(BLOCK)]
     right = [_as_long(int(_right_mask(np.array([j]))[0])) for j in range(BLOCK)]
@@ -467,7 +461,7 @@ def _removed(docs: DataFrame, min_len: int, as_text: bool) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    marks = repeated_windows(keyed, min_len, alone=not as_text).groupBy("ord", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
+    marks = repeated_windows(keyed, min_len).groupBy("ord", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
     packed = keyed.mapInArrow(_squeeze, "ord long, tie long, doc_id long, z binary")
     kept = "text string" if as_text else "kept binary"
     return packed.join(marks, ["ord", "tie"], "left").select("doc_id", "ord", "tie", "z", "marks").mapInArrow(

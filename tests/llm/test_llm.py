@@ -412,3 +412,15 @@ def test_empty_tables_give_empty_results(docs):
     assert mixing.mix(none).count() == 0
     assert line_quality.line_verdicts(none).count() == 0
     assert license_scan.scan(none).count() == 0
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from orderlake.llm.cleanup import write_and_drop_shuffles
+
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = held()
+    write_and_drop_shuffles(rows, f"{tmp_dir}/kept")
+    assert held() <= before and spark.read.parquet(f"{tmp_dir}/kept").count() == 7
