@@ -58,6 +58,11 @@ def featurize(column: pa.Array, most: int | None = None) -> Words:
 
     A text without words has one window of length 0.
     """
+    return _featurize(column, most)[0]
+
+
+def _featurize(column: pa.Array, most: int | None) -> tuple[Words, np.ndarray]:
+    """:func:`featurize`, and the hashes of the distinct words."""
     raw, offs = text_buffer(column)
     raw = lower_ascii(raw)
     start, end, row = words_of(raw, offs)
@@ -95,7 +100,28 @@ def featurize(column: pa.Array, most: int | None = None) -> Words:
     k = k * n[owner] // taken[owner]
     begin = base[owner] + k * STRIDE
     length = np.minimum(WINDOW, base[owner] + per[owner] - begin)
-    return Words(which, (distinct >> U64(20)).astype(np.int64) % WORD_SLOTS, slots, char_at, begin, length, owner)
+    return Words(which, (distinct >> U64(20)).astype(np.int64) % WORD_SLOTS, slots, char_at, begin, length, owner), distinct
+
+
+def featurize_slices(column: pa.Array, most: int | None = None) -> Words:
+    """:func:`featurize` of a column that is worked on a slice at a time: only words and windows of all of it are held at once."""
+    parts = [_featurize(piece, most) for piece in row_slices(column)]
+    if len(parts) < 2:
+        return featurize(column, most)
+    distinct, first, number = np.unique(np.concatenate([d for _, d in parts]), return_index=True, return_inverse=True)
+    found = [f for f, _ in parts]
+    before = lambda sizes: np.cumsum([0, *sizes[:-1]])
+    join = lambda arrays, shifts: np.concatenate([a + k for a, k in zip(arrays, shifts)])
+    words, rows = before([len(f.which) for f in found]), before([int(f.row[-1]) + 1 for f in found])
+    which = np.concatenate([number[k : k + len(d)][f.which] for (f, d), k in zip(parts, before([len(d) for _, d in parts]))])
+    chars = np.concatenate([f.char_slot for f in found])
+    start = join([f.char_at[:-1] for f in found], before([len(f.char_slot) for f in found]))[first]
+    count = np.concatenate([np.diff(f.char_at) for f in found])[first]
+    char_at = np.append(0, np.cumsum(count))
+    place = np.repeat(start, count) + np.arange(char_at[-1]) - np.repeat(char_at[:-1], count)
+    length = np.concatenate([f.length for f in found])
+    windows, row = join([f.windows for f in found], words), join([f.row for f in found], rows)
+    return Words(which, (distinct >> U64(20)).astype(np.int64) % WORD_SLOTS, chars[place], char_at, windows, length, row)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -284,7 +310,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 14, ba
         net.w["out"][:] = 0
         net.w["bias"][0] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
         return net
-    f = featurize(pa.array(texts, pa.string()), MAX_WINDOWS)
+    f = featurize_slices(pa.array(texts, pa.string()), MAX_WINDOWS)
     drawn = rng.random(len(texts)) < 0.2
     held = drawn if held is None else held.copy()
     if held.all() or labels[~held].min() == labels[~held].max():
@@ -376,6 +402,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     texts, toxic, share, held = _sample(docs, labels)
     few = len(texts) and labels_within(labels, MAX_ROWS)
     net = fit(texts, toxic, share) if few else fit(texts, toxic, share, held=held)
+    release()  # What training took of the driver's memory.
     if few or not len(texts) or toxic.min() == toxic.max():
         return net
     return train_on_all(net, docs, labels, share)
@@ -398,11 +425,11 @@ def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float,
     shards = max(2, -(-rows // SHARD_ROWS))
     rounds = max(1, min(10, 300 * 128 // max(1, rows)))
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "COALESCE(text, '') AS text")
+    # A shard is a task's partition: texts move once, to join their labels there.
     own = (
-        texts.join(usable, "doc_id")
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)))
-        .repartition(shards, "shard")
-        .groupBy("shard", "doc_id")
+        _perhaps_labelled(texts, usable, rows).repartition(shards, "doc_id")
+        .join(usable.repartition(shards, "doc_id"), "doc_id")
+        .groupBy("doc_id")
         .agg(F.min(F.struct("toxic", "text")).alias("r"))
         .select((F.xxhash64("doc_id") > HELD_ABOVE).alias("held"), "r.*")
     )
@@ -454,6 +481,22 @@ def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float,
     return _with_cut(net, own, share)
 
 
+#: Bits that ids with labels are marked in: of one bitmap, for each label at least, and in all at most for which the bitmaps are broadcast.
+_BITMAP, _BITS, _BROADCAST_BITS = 15, 8, 1 << 30
+
+
+def _perhaps_labelled(texts: DataFrame, usable: DataFrame, rows: int) -> DataFrame:
+    """Texts whose id has a label, and a few others: those whose hash has the bit of some labelled id, of eight or more for each label."""
+    size = max(_BITMAP, (_BITS * rows - 1).bit_length())
+    hashed = F.xxhash64(F.lit(2), "doc_id").bitwiseAND((1 << size) - 1)
+    at = hashed.bitwiseAND((1 << _BITMAP) - 1)
+    marks = usable.groupBy(F.shiftright(hashed, _BITMAP).alias("_bucket")).agg(F.bitmap_construct_agg(at).alias("_marks"))
+    marks = F.broadcast(marks) if 1 << size <= _BROADCAST_BITS else marks
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1
+    return texts.withColumn("_bucket", F.shiftright(hashed, _BITMAP)).join(marks, "_bucket").where(marked).select("doc_id", "text")
+
+
 def _highest(logits: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     """The first highest-scored window of each text."""
     order = np.lexsort((np.arange(len(row)), -logits, row))

@@ -131,3 +131,20 @@ def test_rows_held_back_of_one_class_dont_set_the_cut():
     net = T.fit(texts, labels, 0.5, held=(labels == 1) & (np.arange(120) < 60))
     logits = T.text_logits(net, T.featurize(pa.array(texts)), len(texts))
     assert np.isfinite(logits).all() and ((logits >= 0) == (labels == 1)).all()
+
+
+def test_words_of_slices_equal_those_of_the_whole(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(400))) for _ in range(60)] + ["", "a", " \n"]
+    rows = T.row_slices
+    monkeypatch.setattr(T, "row_slices", lambda column: rows(column, 3000))
+    whole, slices = T.featurize(pa.array(texts), 8), T.featurize_slices(pa.array(texts), 8)
+    for name in whole.__dataclass_fields__:
+        assert np.array_equal(getattr(whole, name), getattr(slices, name)), name
+
+
+def test_texts_without_labels_stay_where_they_are(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text").unionByName(spark.createDataFrame([(None, "y")], "doc_id long, text string"))
+    usable = spark.range(0, 20_000, 10).selectExpr("id AS doc_id", "1 AS toxic")
+    found = {r.doc_id for r in T._perhaps_labelled(docs, usable, 2000).collect()}
+    assert found >= set(range(0, 20_000, 10)) and len(found) < 5000
