@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm._arrays import U64, lower_ascii, mix, release, rolling, row_slices, text_buffer, word_hashes, words_of
+from orderlake.llm.cleanup import collect_and_drop_shuffles
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, ATTENTION = 8, 8
@@ -393,7 +394,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray,
     texts = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "COALESCE(text, '') AS text")
     # At most 2 * MAX_ROWS ids: a broadcast of a proven bound.
     rows = texts.join(F.broadcast(picked), "doc_id").mapInArrow(spread, "doc_id long, toxic int, text string")
-    found = sorted(rows.groupBy("doc_id").agg(F.min(F.struct("toxic", "text")).alias("r")).select("doc_id", "r.*", (F.xxhash64("doc_id") > HELD_ABOVE).alias("held")).collect())
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("toxic", "text")).alias("r"))
+    found = sorted(collect_and_drop_shuffles(one.select("doc_id", "r.*", (F.xxhash64("doc_id") > HELD_ABOVE).alias("held"))))
     return [r["text"] for r in found], np.array([r["toxic"] for r in found], np.float32), float(share or 0.0), np.array([r["held"] for r in found], bool)
 
 
@@ -433,7 +435,6 @@ def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float,
         .agg(F.min(F.struct("toxic", "text")).alias("r"))
         .select((F.xxhash64("doc_id") > HELD_ABOVE).alias("held"), "r.*")
     )
-    names = sorted(net.w)
     sc = docs.sparkSession.sparkContext
 
     for turn in range(rounds):
@@ -456,24 +457,21 @@ def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float,
                         adam.step(model, f, chosen[span], y[span], weight[span], now)
                     seen += len(y)
             if seen:
-                flat = np.concatenate([model.w[k].ravel() for k in names]).astype(np.float32)
-                cut = [flat[i : i + PIECE].tobytes() for i in range(0, len(flat), PIECE)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([seen] * len(cut), pa.int64()), pa.array(cut, pa.binary())], names=["piece", "n", "w"])
+                yield _changes(start.value, model.w, seen)
 
-        def mean(piece: pa.Table) -> pa.Table:
-            n = piece["n"].to_numpy().astype(np.float64)
-            total = sum(k * np.frombuffer(w.as_py(), np.float32).astype(np.float64) for k, w in zip(n, piece["w"]))
-            return pa.table({"piece": piece["piece"].slice(0, 1), "w": pa.array([(total / n.sum()).astype(np.float32).tobytes()], pa.binary())})
+        def mean(pieces: pa.Table) -> pa.Table:
+            piece = pieces["piece"].slice(0, 1)
+            return pa.table({"piece": piece, "w": pa.array([_mean(start.value, piece[0].as_py(), pieces).tobytes()], pa.binary())})
 
-        learned = own.where("NOT held").select("toxic", "text").mapInArrow(learn, "piece int, n long, w binary")
+        learned = own.where("NOT held").select("toxic", "text").mapInArrow(learn, "piece int, n long, changed binary, w binary")
         # One network's weights, whatever the number of rows or shards.
-        found = sorted(learned.groupBy("piece").applyInArrow(mean, "piece int, w binary").collect())
+        found = sorted(collect_and_drop_shuffles(learned.groupBy("piece").applyInArrow(mean, "piece int, w binary")))
         start.unpersist()
         if not found:
             return net
         flat, at = np.frombuffer(b"".join(bytes(r["w"]) for r in found), np.float32), 0
         fresh = {}
-        for k in names:
+        for k in sorted(net.w):
             size = net.w[k].size
             fresh[k], at = flat[at : at + size].reshape(net.w[k].shape).copy(), at + size
         net = Network(fresh)
@@ -481,6 +479,39 @@ def train_on_all(net: Network, docs: DataFrame, labels: DataFrame, share: float,
     return _with_cut(net, own, share)
 
 
+def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights one after the other, in the order of their names."""
+    return np.concatenate([w[k].ravel() for k in sorted(w)]).astype(np.float32)
+
+
+def _changes(before: dict[str, np.ndarray], after: dict[str, np.ndarray], rows: int) -> pa.RecordBatch:
+    """The weights that a shard's training changed, by pieces: which ones, as bits, and their values.
+
+    Embeddings of words that a shard doesn't have stay as they were. So small shards, however many, hand on little.
+    """
+    old, new = _flat(before), _flat(after)
+    differs = old != new
+    spans = [slice(i, i + PIECE) for i in range(0, len(new), PIECE)]
+    which = [np.packbits(differs[x]).tobytes() for x in spans]
+    values = [new[x][differs[x]].tobytes() for x in spans]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(spans)), pa.int32()), pa.array([rows] * len(spans), pa.int64()), pa.array(which, pa.binary()), pa.array(values, pa.binary())],
+        names=["piece", "n", "changed", "w"],
+    )
+
+
+def _mean(before: dict[str, np.ndarray], piece: int, changes: pa.Table) -> np.ndarray:
+    """A piece's mean over the shards by their rows; what a shard didn't change counts as it was before."""
+    old = _flat(before)[piece * PIECE : (piece + 1) * PIECE]
+    total, rows = np.zeros(len(old)), 0
+    for n, which, w in zip(*(changes[k].to_pylist() for k in ("n", "changed", "w"))):
+        one = old.copy()
+        one[np.unpackbits(np.frombuffer(which, np.uint8), count=len(old)).astype(bool)] = np.frombuffer(w, np.float32)
+        total += n * one.astype(np.float64)
+        rows += n
+    return (total / rows).astype(np.float32)
+
+
 #: Bits that ids with labels are marked in: of one bitmap, for each label at least, and in all at most for which the bitmaps are broadcast.
 _BITMAP, _BITS, _BROADCAST_BITS = 15, 8, 1 << 30
 
@@ -517,7 +548,7 @@ def _with_cut(net: Network, own: DataFrame, share: float) -> Network:
 
     def counts(rows: DataFrame) -> np.ndarray:
         n = np.zeros((2, 2 * LOGIT_MOST * BINS + 1))
-        for r in rows.select("toxic", "text").mapInArrow(place, "toxic int, bin int").groupBy("toxic", "bin").count().collect():
+        for r in collect_and_drop_shuffles(rows.select("toxic", "text").mapInArrow(place, "toxic int, bin int").groupBy("toxic", "bin").count()):
             n[r["toxic"], r["bin"] + LOGIT_MOST * BINS] += r["count"]
         return n
 

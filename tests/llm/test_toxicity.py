@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from orderlake.llm import toxicity as T
@@ -148,3 +149,36 @@ def test_texts_without_labels_stay_where_they_are(spark):
     usable = spark.range(0, 20_000, 10).selectExpr("id AS doc_id", "1 AS toxic")
     found = {r.doc_id for r in T._perhaps_labelled(docs, usable, 2000).collect()}
     assert found >= set(range(0, 20_000, 10)) and len(found) < 5000
+
+
+def test_small_shards_hand_on_what_they_changed_and_average_as_whole_networks():
+    before = T.Network.fresh(1).w
+    after, plain = [], {k: np.zeros(v.shape) for k, v in before.items()}
+    for shard, rows in enumerate((3, 40)):
+        net = T.Network({k: v.copy() for k, v in before.items()})
+        texts = [f"word{shard} of{i % 3} the" for i in range(rows)]
+        f = T.featurize(pa.array(texts))
+        T.Adam(net).step(net, f, np.arange(rows), np.arange(rows) % 2, np.ones(rows, np.float32), 0.01)
+        part = T._changes(before, net.w, rows)
+        size = sum(v.nbytes for v in net.w.values())
+        assert sum(len(x.as_py()) for name in ("changed", "w") for x in part[name]) < size / 20
+        after.append(part)
+        for k, v in net.w.items():
+            plain[k] += rows / 43 * v.astype(np.float64)
+    table = pa.Table.from_batches(after)
+    pieces = sorted(set(table["piece"].to_pylist()))
+    got = np.concatenate([T._mean(before, k, table.filter(pc.equal(table["piece"], k))) for k in pieces])
+    assert got == pytest.approx(T._flat(plain), abs=1e-7) and not np.array_equal(got, T._flat(before))
+
+
+def test_training_leaves_no_shuffle_files(spark, monkeypatch):
+    monkeypatch.setattr(T, "MAX_ROWS", 40)
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat(if(id % 2 = 1, 'scumbag', 'sea'), ' hill ', id % 7) AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    held = lambda: set(map(int, spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet())))
+    before, of, own = held(), T.collect_and_drop_shuffles, []
+    monkeypatch.setattr(T, "collect_and_drop_shuffles", lambda df: (of(df), own.append(held() - before))[0])
+    T.train(docs, labels)
+    # The sample's, a few rounds' and the cut's: none leaves the texts or the weights that it moved.
+    first, *later = own
+    assert len(later) > 2 and all(x <= first | later[0] for x in later)
