@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm._arrays import U64, lower_ascii, mix, part_slices, signed, text_buffer, tidy, word_hashes
 from orderlake.operators.ranking import with_global_position
-from orderlake.session import scratch_path
+from orderlake.session import scratch_path, session_conf
 
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 22
@@ -40,6 +40,11 @@ WORDS_SHARD = 1 << 21
 SHARD = 1 << 18
 #: Counts of a bincount that move together (8 bytes each).
 CELLS = 512
+#: Texts in a batch, bytes of a batch: an executor holds several batches for each of its tasks.
+TEXTS_AT_ONCE, BATCH = 2048, 1 << 24
+#: Arrays and tries are rows of some megabytes. Parquet's writer looks at its buffers after each of them, and few are read at once.
+ROWS_AT_ONCE = 2
+_WIDE_ROWS = {"parquet.block.size": str(1 << 24), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 DIGIT = 10
 SPAN = 1 << DIGIT
 
@@ -366,12 +371,22 @@ def _summed(pieces: pa.Table) -> pa.Table:
     return pa.table({"cid": pa.array(hit + pieces["at"][0].as_py()), "f": pa.array(total[hit])})
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def _stored(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """``df`` written once; ``wide`` is for rows of megabytes each, of which a task then holds a few at a time."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(_WIDE_ROWS if wide else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _batches(spark: SparkSession, rows: int):
+    """For the plans made inside: how many rows a scan, and a batch on its way to Python, hold at most."""
+    return session_conf(spark, {
+        "spark.sql.parquet.columnarReaderBatchSize": str(rows),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH),
+    })
+
+
 def _number_texts(spark: SparkSession, texts: DataFrame, words: DataFrame, count: int) -> DataFrame:
     """The texts as stored arrays of word numbers."""
     shards = max(1, -(-count // WORDS_SHARD))
@@ -380,7 +395,8 @@ def _number_texts(spark: SparkSession, texts: DataFrame, words: DataFrame, count
         part = words.where((F.col("wid") > s * WORDS_SHARD) & (F.col("wid") <= (s + 1) * WORDS_SHARD)).orderBy("wid").select("fp")
         table = spark.sparkContext.broadcast(part.toArrow()["fp"].to_numpy().view(U64))  # at most WORDS_SHARD rows
         step = _numbered(table, s * WORDS_SHARD + 1, s == 0, s == shards - 1)
-        rows = _stored((rows if s == 0 else rows.select("codes", "rest")).mapInArrow(step, _ROW_DDL), "phrase-codes")
+        with _batches(spark, TEXTS_AT_ONCE if s == 0 else ROWS_AT_ONCE):
+            rows = _stored((rows if s == 0 else rows.select("codes", "rest")).mapInArrow(step, _ROW_DDL), "phrase-codes", wide=True)
         table.destroy()
     return rows
 
@@ -388,7 +404,8 @@ def _number_texts(spark: SparkSession, texts: DataFrame, words: DataFrame, count
 def _count_level(spark: SparkSession, rows: DataFrame, known: DataFrame, k: int, least: int, digits: int) -> tuple[DataFrame, DataFrame] | None:
     """Candidates of k words with their words and counts, and the arrays with their numbers; None if there are none."""
     seen = rows.where("states IS NOT NULL").select("states").mapInArrow(_seen(least), "key long, n long")
-    keys = seen.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    with _batches(spark, ROWS_AT_ONCE):
+        keys = _stored(seen.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), "phrase-keys")
     placed = with_global_position(keys, [F.col("key")], "_at")
     heads = known.select(F.col("cid").alias("_p"), F.col("words").alias("_head"))
     tails = known.select(F.col("cid").alias("_s"), F.element_at("words", -1).alias("_tail"))
@@ -399,16 +416,18 @@ def _count_level(spark: SparkSession, rows: DataFrame, known: DataFrame, k: int,
         "phrase-candidates",
     )
     build, ddl = _built(k, digits)
-    tries = _stored(cands.groupBy("shard").applyInArrow(build, ddl), "phrase-tries")
+    tries = _stored(cands.groupBy("shard").applyInArrow(build, ddl), "phrase-tries", wide=True)
     shards = sorted(r["shard"] for r in tries.select("shard").toLocalIterator())
     if not shards:
         return None
     counts = None
     for s in shards:
-        (r,) = tries.where(F.col("shard") == s).collect()  # one trie of at most SHARD phrases
+        with _batches(spark, ROWS_AT_ONCE):
+            (r,) = tries.where(F.col("shard") == s).collect()  # one trie of at most SHARD phrases
         trie = spark.sparkContext.broadcast(tuple(np.frombuffer(r[c], np.int32) for c in ("base", "check", "accept")))
         step = _walked(trie, r["size"], s * SHARD, k, digits, s == shards[0], s == shards[-1])
-        rows = _stored(rows.where("codes IS NOT NULL").select("codes", "states").mapInArrow(step, _ROW_DDL), "phrase-states")
+        with _batches(spark, ROWS_AT_ONCE):
+            rows = _stored(rows.where("codes IS NOT NULL").select("codes", "states").mapInArrow(step, _ROW_DDL), "phrase-states", wide=True)
         trie.destroy()
         cells = rows.where("hits IS NOT NULL").select("hits").mapInArrow(_cells, "at long, counts binary")
         sums = cells.groupBy("at").applyInArrow(_summed, "cid long, f long")
@@ -440,7 +459,8 @@ def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, top: int = 2
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"))
     counted = texts.mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = _stored(counted.where((F.col("n") >= min_count) | (F.col("word") == "")), "phrase-words")
+    with _batches(spark, TEXTS_AT_ONCE):
+        counted = _stored(counted.where((F.col("n") >= min_count) | (F.col("word") == "")), "phrase-words")
     prints = counted.where("word <> ''").mapInArrow(_word_prints, "lang string, word string, n long, fp long")
     # Unsigned order, as the tasks search it.
     placed = with_global_position(prints.withColumn("_u", F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))), [F.col("_u")], "_at")

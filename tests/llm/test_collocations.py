@@ -99,3 +99,23 @@ def test_tries_accept_what_was_put_in(digits, most):
         got = collocations.walk(trie, codes, k, digits)
         want = [known.get(tuple(codes[i : i + k].tolist()), 0) for i in range(len(codes))]
         assert got.tolist() == want and sum(map(bool, want)) >= 2000
+
+
+def test_rows_of_megabytes_are_written_and_read_a_few_at_a_time(spark):
+    import pyarrow as pa
+    import pyarrow.dataset as ds
+
+    rows = spark.range(40, numPartitions=1).selectExpr("CAST(repeat(CAST(uuid() AS STRING), 28000) AS BINARY) AS b")
+    stored = collocations._stored(rows, "wide", wide=True)
+    files = [ds.dataset(f.removeprefix("file:")) for f in stored.inputFiles()]
+    groups = [g.num_rows for d in files for f in d.get_fragments() for g in f.row_groups]
+    assert sum(groups) == 40 and max(groups) < 40
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows])], names=["n"])
+
+    with collocations._batches(spark, collocations.ROWS_AT_ONCE):
+        seen = [r.n for r in stored.mapInArrow(sizes, "n long").collect()]
+    assert sum(seen) == 40 and max(seen) == collocations.ROWS_AT_ONCE
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
