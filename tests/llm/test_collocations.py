@@ -105,7 +105,12 @@ def test_rows_of_megabytes_are_written_and_read_a_few_at_a_time(spark):
     import pyarrow as pa
     import pyarrow.dataset as ds
 
-    rows = spark.range(40, numPartitions=1).selectExpr("CAST(repeat(CAST(uuid() AS STRING), 28000) AS BINARY) AS b")
+    def long_rows(parts):
+        for part in parts:
+            for _ in range(part.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([np.random.default_rng().bytes(1 << 20)], pa.binary())], names=["b"])
+
+    rows = spark.range(40, numPartitions=1).mapInArrow(long_rows, "b binary")
     stored = collocations._stored(rows, "wide", wide=True)
     files = [ds.dataset(f.removeprefix("file:")) for f in stored.inputFiles()]
     groups = [g.num_rows for d in files for f in d.get_fragments() for g in f.row_groups]
