@@ -57,3 +57,10 @@ def test_rows_in_files_keep_their_numbers(spark, small_tables, tmp_dir, monkeypa
     assert len(found.paths_of(found.rows.select("_row"))) == found.files.count()
 
 
+def test_silver_of_the_tables_moves_no_full_rows(spark, small_tables, monkeypatch):  # noqa: F811
+    plans = []
+    write = queries.write_silver
+    monkeypatch.setattr(queries, "write_silver", lambda df, path, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, path, **k))
+    rows = {r.mart: r.rows for r in REGISTRY["mart_roundtrip"](spark, small_tables).collect()}
+    assert "REBALANCE" not in plans[0] and rows["sales_by_region"] > 0
+    assert rows["customer_segments"] == REGISTRY["rfm_base"](spark, small_tables).agg(F.count(F.lit(1))).first()[0]
