@@ -21,6 +21,16 @@ from orderlake.sources.tables import bronze_from_tables
 (SETTING,) = DROP_SHUFFLES
 
 
+def test_malformed_lines_land_compressed(spark, small_tables, monkeypatch):  # noqa: F811
+    made = []
+    path = queries.scratch_path
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: made.append(path(s, name)) or made[-1])
+    rows = REGISTRY["csv_corrupt_records"](spark, small_tables)
+    assert {f.rsplit(".", 1)[-1] for f, _ in Store(spark, made[0]).files()} == {"gz"}
+    assert spark.read.text(made[0]).count() == queries.raw_orders_from_tables(spark, small_tables).count()
+    assert rows.count() > 0 and rows.where("_corrupt_record IS NULL").count() == 0
+
+
 def test_stored_bronze_is_not_stored_again(spark, small_tables, tmp_dir, monkeypatch):  # noqa: F811
     bronze = bronze_from_tables(spark, small_tables)
     for rows in (bronze, bronze.limit(30), bronze.limit(0)):
