@@ -67,6 +67,26 @@ def test_rows_in_files_keep_their_numbers(spark, small_tables, tmp_dir, monkeypa
     assert len(found.paths_of(found.rows.select("_row"))) == found.files.count()
 
 
+@pytest.mark.parametrize("grouped", [True, False])
+def test_a_merge_moves_no_full_rows(spark, tmp_dir, monkeypatch, grouped):
+    rng = random.Random(5)
+    if not grouped:
+        monkeypatch.setattr(dedup, "FOLDER_FILES", 0)
+    plans = []
+    write = merge.write_silver
+    monkeypatch.setattr(merge, "write_silver", lambda df, path, **k: plans.append((df._jdf.queryExecution().executedPlan().toString(), k["clustered"])) or write(df, path, **k))
+    for i in range(2):
+        _arrive(spark, f"{tmp_dir}/bronze", f"run-{i}", _random_rows(rng, 20, 30), f"2024-01-0{i + 1} 00:00:00")
+        run_transformation(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", incremental=True)
+    ((plan, clustered),) = plans
+    assert clustered == grouped
+    # Bitmaps are grouped by bucket and broadcast; nothing is dealt out or sorted by order.
+    assert "order_id" not in "".join(line for line in plan.splitlines() if "Exchange" in line or "Sort " in line)
+    run_transformation(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/whole")
+    merged, whole = (read_silver(spark, f"{tmp_dir}/{s}", completed_only=False).drop("_transformed_at") for s in ("silver", "whole"))
+    assert _rows(merged) == _rows(whole)
+
+
 def test_silver_of_the_tables_moves_no_full_rows(spark, small_tables, monkeypatch):  # noqa: F811
     plans = []
     write = queries.write_silver
